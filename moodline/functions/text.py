@@ -28,6 +28,9 @@ WHITESPACE_CHARS = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Fixed value: text and aspect in the layout a sentence-pair classifier reads.
+PROMPT = "[CLS] %s [SEP] %s [SEP]"
+
 # Any three characters, overlapping; the class keeps a match from starting
 # inside a surrogate pair.
 TRIGRAM_PATTERN = r"(?s)(?=(\P{Cs}{3}))"
@@ -79,8 +82,8 @@ def compose_text(title: Column | str, description: Column | str, entities: Seque
 
 
 def aspect_prompt(text: Column | str, aspect: str) -> Column:
-    """Text and aspect in the layout a sentence-pair classifier reads."""
-    return F.format_string("[CLS] %s [SEP] %s [SEP]", _column(text), F.lit(aspect))
+    """The prompt of a text and an aspect; null for a null text."""
+    return F.when(_column(text).isNotNull(), F.format_string(PROMPT, _column(text), F.lit(aspect)))
 
 
 def tokens(text: Column | str) -> Column:

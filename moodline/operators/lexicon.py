@@ -78,11 +78,14 @@ def words_in_context(texts: DataFrame, key: str, text: str, contrast: str) -> Da
     for step in range(1, len(DECAY) + 1):
         pad = F.array(*[F.lit(None).cast("string")] * step)
         shifted.append(F.concat(pad, F.col("_words")))
-    split = texts.select(key, tokens(text).alias("_words")).select(
+    # all of an array's expressions come before the explode: behind it they would be
+    # evaluated, and the array copied, once per token
+    zipped = texts.select(key, tokens(text).alias("_words")).select(
         key,
         F.array_position("_words", F.lit(contrast)).alias("_contrast"),
-        F.posexplode_outer(F.arrays_zip(*shifted)).alias("_pos", "_at"),
+        F.arrays_zip(*shifted).alias("_places"),
     )
+    split = zipped.select(key, "_contrast", F.posexplode_outer("_places").alias("_pos", "_at"))
     # the longest shifted copy runs past the text: drop those places, keep null texts
     inside = split.filter(F.col("_at").isNull() | F.col("_at").getField("_words").isNotNull())
     place = F.col("_pos") + 1

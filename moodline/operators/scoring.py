@@ -18,7 +18,7 @@ from moodline.functions.measures import (
     threshold_label,
     top_label,
 )
-from moodline.functions.text import aspect_prompt
+from moodline.functions.text import PROMPT
 from moodline.operators.lexicon import Scorer, attach_scores
 from moodline.schemas import label_of, mention, score_of
 
@@ -58,18 +58,25 @@ def score_mentions(
     return scored.withColumns(gated).withColumns(labels).drop("_score_once")
 
 
-def _logits(scorer: AspectScorer, aspect: str, batch_size: int) -> Callable[[Column], Column]:
-    @F.pandas_udf("array<double>")
-    def logits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            out = pd.Series([None] * len(texts), index=texts.index, dtype="object")
-            present = texts[texts.notna()]
-            for start in range(0, len(present), batch_size):
-                part = present.iloc[start : start + batch_size]
-                scored = scorer(part.tolist(), aspect)
-                for row, values in zip(part.index, scored, strict=True):
-                    out.at[row] = [float(v) for v in values]
-            yield out
+def _logits(scorer: AspectScorer, entities: Sequence[str], batch_size: int, prompt: bool):
+    """UDF (text, flag per entity) -> one array of logits per entity, null without mention."""
+    fields = ", ".join(f"`{e}` array<double>" for e in entities)
+
+    @F.pandas_udf(f"struct<{fields}>")
+    def logits(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for texts, *flags in batches:
+            out = {}
+            for entity, flag in zip(entities, flags, strict=True):
+                out[entity] = [None] * len(texts)
+                places = ((flag == 1) & texts.notna()).to_numpy().nonzero()[0]
+                for start in range(0, len(places), batch_size):
+                    batch = places[start : start + batch_size]
+                    given = texts.iloc[batch].tolist()
+                    if prompt:
+                        given = [PROMPT % (text, entity) for text in given]
+                    for place, values in zip(batch, scorer(given, entity), strict=True):
+                        out[entity][place] = [float(v) for v in values]
+            yield pd.DataFrame({e: pd.Series(v, dtype="object") for e, v in out.items()})
 
     return logits
 
@@ -81,21 +88,20 @@ def label_aspects(
     *,
     text: str = "textdata",
     batch_size: int = 32,
-    prompted: bool = False,
+    prompt: bool = False,
 ) -> DataFrame:
     """Label per mentioned entity from a batched scorer; null where it is not mentioned.
 
     The scorer sees only texts that mention the entity, ``batch_size`` at a time, as
-    they are or in the prompt layout. Labels stay on their rows, so nothing is
-    shuffled or joined. The text column is gone from the result.
+    they are or in the prompt layout. Each text goes to Python once, whatever the
+    number of entities. Labels stay on their rows, so nothing is shuffled or joined.
+    The text column is gone from the result.
     """
-    out = df
-    for entity in entities:
-        shown = aspect_prompt(text, entity) if prompted else F.col(text)
-        gated = F.when((F.col(mention(entity)) == 1) & F.col(text).isNotNull(), shown)
-        out = out.withColumn("_logits", _logits(scorer, entity, batch_size)(gated))
-        out = out.withColumn(label_of(entity), top_label(softmax("_logits")))
-    return out.drop("_logits", text)
+    shown = F.when(mentions_any(entities), F.col(text))
+    logits = _logits(scorer, entities, batch_size, prompt)
+    scored = df.withColumn("_logits", logits(shown, *[F.col(mention(e)) for e in entities]))
+    labels = {label_of(e): top_label(softmax(f"_logits.`{e}`")) for e in entities}
+    return scored.drop(text).withColumns(labels).drop("_logits")
 
 
 class LexiconAspectScorer:

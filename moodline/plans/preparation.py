@@ -12,7 +12,6 @@ from moodline.functions.time import parse_timestamp
 from moodline.operators.language import LanguageProfiles, flag_language
 from moodline.operators.prepare import SOURCE_RANK, flag_mentions, merge_duplicates, tag_sources
 from moodline.schemas import mention
-from moodline.session import stage
 from moodline.sources.files import ROW_ORDER
 
 
@@ -38,10 +37,11 @@ def prepare_posts(
 ) -> DataFrame:
     """Merged posts with a timestamp, a language flag and cleaned text.
 
-    The language is judged on the raw text, before cleaning. Merged posts are stored
-    first: they are read twice, and the second reading needs only id and text.
+    The language is judged on the raw text, before cleaning. Merging leaves the posts
+    partitioned by id, which is also what counting trigrams per post and joining the
+    result back need: texts are shuffled once, and both uses read that one shuffle.
     """
-    merged = stage(merge_posts(sources, key=key, row_order=row_order), "merged-posts")
+    merged = merge_posts(sources, key=key, row_order=row_order)
     timed = merged.withColumn(
         "timestamp",
         F.col(created_at).cast("timestamp")

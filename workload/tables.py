@@ -60,7 +60,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents")
         .withColumn("event_id", F.col("doc_id") * 5)
         .join(events.select("event_id", "ts", "user_id", "value"), "event_id")
-        .join(users, "user_id")
+        .join(users, "user_id", "left")  # dropped from the plan where "joined" is unused
         .select(
             F.col("doc_id").alias("tweet_id"),
             F.col("text").alias("tweet"),
