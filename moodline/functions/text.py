@@ -4,25 +4,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as a Unicode-aware regex sees it, spelled out as class members so
-# that every regex dialect agrees on it.
-WHITESPACE = (
-    r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# Whitespace in Unicode terms, with the four separator control characters.
+WHITESPACE = r"\s\x1c-\x1f"
 WORD_CHARS = r"\p{L}\p{N}_"
 
-# What cleaning removes, in this order.
+# What cleaning removes, in this order, with marks that every match has.
 CLEANING_PATTERNS = (
-    rf"(http|www)[^{WHITESPACE}]+",  # links, case-sensitive
-    rf"@[{WORD_CHARS}]+|#",  # handles whole, hashtags only their sign
-    rf"[^a-zA-Z0-9{WHITESPACE}]",  # everything but ASCII letters, digits, whitespace
+    (rf"(?U)(?:http|www)[^{WHITESPACE}]+", ("http", "www")),  # links, case-sensitive
+    (rf"@[{WORD_CHARS}]+|#", ("@", "#")),  # handles whole, hashtags only their sign
+    (rf"(?U)[^a-zA-Z0-9{WHITESPACE}]+", ()),  # all but ASCII letters, digits, whitespace
 )
-# The same characters as a string, for trimming.
+# Whitespace as a string, for trimming.
 WHITESPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -31,6 +28,9 @@ WHITESPACE_CHARS = (
 # Fixed value: text and aspect in the layout a sentence-pair classifier reads.
 PROMPT = "[CLS] %s [SEP] %s [SEP]"
 
+# Runs of anything but word characters and apostrophes; the small class is tried first.
+TOKEN_BREAK = rf"[[^a-z0-9']&&[^{WORD_CHARS}]]+"
+
 # Any three characters, overlapping; the class keeps a match from starting
 # inside a surrogate pair.
 TRIGRAM_PATTERN = r"(?s)(?=(\P{Cs}{3}))"
@@ -41,10 +41,17 @@ def _column(value: Column | str) -> Column:
 
 
 def clean_text(text: Column | str) -> Column:
-    """Drop links, handles, hash signs and special characters; lowercase; strip."""
+    """Drop links, handles, hash signs and special characters; lowercase; strip.
+
+    A plain search for the marks is far cheaper than a pattern, and most texts have none.
+    """
     out = _column(text)
-    for pattern in CLEANING_PATTERNS:
-        out = F.regexp_replace(out, pattern, "")
+    for pattern, marks in CLEANING_PATTERNS:
+        cleaned = F.regexp_replace(out, pattern, "")
+        if marks:
+            marked = reduce(lambda a, b: a | b, [F.contains(out, F.lit(m)) for m in marks])
+            cleaned = F.when(marked, cleaned).otherwise(out)
+        out = cleaned
     return F.btrim(F.lower(out), F.lit(WHITESPACE_CHARS))
 
 
@@ -57,7 +64,10 @@ def mention_pattern(entity: str) -> str:
 
 def mention_flag(text: Column | str, entity: str) -> Column:
     """1 if the lowercased text has the entity as a whole word, else 0; null gives 0."""
-    hit = F.lower(_column(text)).rlike(mention_pattern(entity))
+    lowered = F.lower(_column(text))
+    pattern = mention_pattern(entity)
+    # the plain search spares most texts the pattern
+    hit = F.contains(lowered, F.lit(entity.lower())) & lowered.rlike(pattern)
     return F.coalesce(hit, F.lit(False)).cast("int")
 
 
@@ -91,7 +101,7 @@ def tokens(text: Column | str) -> Column:
 
     Text that starts or ends with other characters gives an empty token there.
     """
-    return F.split(F.lower(_column(text)), rf"[^{WORD_CHARS}']+")
+    return F.split(F.lower(_column(text)), TOKEN_BREAK)
 
 
 def bare_word(token: Column | str) -> Column:

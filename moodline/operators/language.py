@@ -9,16 +9,24 @@ trigrams never seen need no row in the profile.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodline.functions.text import trigrams
-from moodline.operators.lookup import lookup_join
+from moodline.functions.text import letters_only, trigrams
+from moodline.operators.lookup import MAX_ROWS, fits_broadcast, lookup_join
 from moodline.session import stage
 
+# Code of this module travels to the Python workers with the job, so they need not
+# have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _count(language: str) -> str:
     return f"count_{language}"
@@ -72,14 +80,17 @@ def profile_table(profiles: LanguageProfiles) -> DataFrame:
     return profiles.grams.select("gram", F.inline(rows)).filter("n > 0")
 
 
-def detect_language(df: DataFrame, profiles: LanguageProfiles, key: str, text: str) -> DataFrame:
-    """(key, language) of every text that has at least one trigram."""
-    weights = profiles.grams.select(
+def _weights(profiles: LanguageProfiles) -> DataFrame:
+    return profiles.grams.select(
         "gram", *[F.ln((F.col(_count(l)) + 1).cast("double")).alias(l) for l in profiles.languages]
     )
+
+
+def detect_by_join(df: DataFrame, profiles: LanguageProfiles, key: str, text: str) -> DataFrame:
+    """(key, language) of every text that has a trigram; for profiles of any size."""
     pieces = df.select(F.col(key), F.explode(trigrams(text)).alias("gram"))
     scores = (
-        lookup_join(pieces, weights, "gram", how="left", spread=key)
+        lookup_join(pieces, _weights(profiles), "gram", how="left", spread=key)
         .groupBy(key)
         .agg(
             F.count(F.lit(1)).alias("_n"),
@@ -93,13 +104,57 @@ def detect_language(df: DataFrame, profiles: LanguageProfiles, key: str, text: s
             ],
         )
     )
-    best = F.greatest(*profiles.languages) if len(profiles.languages) > 1 else F.col(
-        profiles.languages[0]
-    )
+    best = F.array_max(F.array(*profiles.languages))
     named = F.coalesce(*[F.when(F.col(l) == best, F.lit(l)) for l in profiles.languages])
     return scores.select(key, named.alias("language"))
 
 
+def _codes(texts: str) -> np.ndarray:
+    """Each trigram of a string as one integer, 21 bits per character."""
+    points = np.frombuffer(texts.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    return (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
+
+
+def row_detector(profiles: LanguageProfiles) -> Callable[[Column], Column]:
+    """A column function text -> language, for profiles proven small enough to broadcast.
+
+    Scoring needs a table lookup per character, which no built-in expression does
+    within a row. Exploding a text into its trigrams does it by join, at several times
+    the cost and with a shuffle to put the rows together again; here the table travels
+    to the tasks and a text is scored where it is.
+    """
+    table = _weights(profiles).toPandas()
+    codes = np.array([int(_codes(g)[0]) for g in table["gram"]], dtype=np.uint64)
+    order = np.argsort(codes)
+    # one row more, of zeros, for trigrams the profiles do not have
+    weights = np.vstack([table[list(profiles.languages)].to_numpy()[order], np.zeros(len(profiles.languages))])
+    sent = profiles.grams.sparkSession.sparkContext.broadcast(
+        (
+            codes[order],
+            weights,
+            np.array([profiles.log_totals[l] for l in profiles.languages]),
+            np.array(profiles.languages, dtype=object),
+        )
+    )
+
+    @F.pandas_udf("string")
+    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known, gains, log_totals, names = sent.value
+        for texts in batches:
+            found = [None] * len(texts)
+            for place, text in enumerate(texts):
+                if text is None or len(text) < 3:
+                    continue
+                grams, counts = np.unique(_codes(text), return_counts=True)
+                at = np.searchsorted(known, grams)
+                at[(at == len(known)) | (known[np.minimum(at, len(known) - 1)] != grams)] = len(known)
+                scores = counts @ gains[at] - counts.sum() * log_totals
+                found[place] = names[np.argmax(scores)]
+            yield pd.Series(found, dtype="object")
+
+    return lambda text: detect(letters_only(text))
+
+
 def flag_language(
     df: DataFrame,
     profiles: LanguageProfiles,
@@ -108,9 +163,13 @@ def flag_language(
     text: str,
     language: str = "en",
     flag: str = "is_en",
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Add whether each text is in the language; texts without letters are not."""
-    found = detect_language(df, profiles, key, text).select(
+    if fits_broadcast(profiles.grams, max_rows):
+        hit = row_detector(profiles)(F.col(text)) == language
+        return df.withColumn(flag, F.coalesce(hit, F.lit(False)))
+    found = detect_by_join(df, profiles, key, text).select(
         key, (F.col("language") == language).alias("_hit")
     )
     return (

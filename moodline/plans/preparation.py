@@ -37,9 +37,7 @@ def prepare_posts(
 ) -> DataFrame:
     """Merged posts with a timestamp, a language flag and cleaned text.
 
-    The language is judged on the raw text, before cleaning. Merging leaves the posts
-    partitioned by id, which is also what counting trigrams per post and joining the
-    result back need: texts are shuffled once, and both uses read that one shuffle.
+    The language is judged on the raw text, before cleaning.
     """
     merged = merge_posts(sources, key=key, row_order=row_order)
     timed = merged.withColumn(

@@ -3,12 +3,24 @@
 from __future__ import annotations
 
 from moodline.functions.measures import CLASS_LABELS
-from moodline.functions.text import CLEANING_PATTERNS, WHITESPACE_CHARS, WORD_CHARS
+from moodline.functions.text import WHITESPACE_CHARS, WORD_CHARS
 from workload.tables import CANDIDATES, ENTITIES, LANGUAGES, SHIFTING, VALENCES
 
 A, B = ENTITIES
 
 
+# Whitespace as members of a character class, for a dialect without Unicode classes.
+BLANK = (
+    r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+CLEANING = (
+    rf"(http|www)[^{BLANK}]+",
+    rf"@[{WORD_CHARS}]+|#",
+    rf"[^a-zA-Z0-9{BLANK}]",
+)
+
+
 def _list(words) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
@@ -23,7 +35,7 @@ def _contains(text: str) -> str:
 
 
 def _clean(text: str) -> str:
-    for pattern in CLEANING_PATTERNS:
+    for pattern in CLEANING:
         text = f"regexp_replace({text}, '{pattern}', '', 'g')"
     blanks = " || ".join(f"chr({ord(c)})" for c in WHITESPACE_CHARS)
     return f"trim(lower({text}), {blanks})"
@@ -210,7 +222,8 @@ ranked as (
            order by coalesce(hit, 0) - s.k * log_total desc, t.lang) as place
   from sizes s cross join totals t
   left join hits on hits.doc_id = s.doc_id and hits.lang = t.lang),
-english as (select doc_id from ranked where place = 1 and lang = 'en')"""
+best as (select doc_id, lang from ranked where place = 1),
+english as (select doc_id from best where lang = 'en')"""
 
 MERGED = f"""{POSTS},
 marked as (
@@ -354,6 +367,7 @@ def oracle_sql() -> dict[str, str]:
         "language_id": f"""with {IS_EN}
             select d.doc_id, cast(e.doc_id is not null as bigint) as is_en
             from documents d left join english e on e.doc_id = d.doc_id""",
+        "language_id_by_join": f"""with {IS_EN} select doc_id, lang as language from best""",
         "lexicon_score": f"""with {SUMS}
             select d.doc_id, {_r(f"coalesce({COMPOUND}, 0)")} as score
             from documents d left join sums on sums.doc_id = d.doc_id""",

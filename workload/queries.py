@@ -51,7 +51,7 @@ def report(df: DataFrame) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
-    return t.table(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("cleaned"))
+    return t.documents(spark, sf).select("doc_id", text.clean_text("text").alias("cleaned"))
 
 
 def mention_flags(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +65,7 @@ def compose_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prompt_template(spark: SparkSession, sf: str) -> DataFrame:
-    return t.table(spark, sf, "documents").select(
+    return t.documents(spark, sf).select(
         "doc_id", text.aspect_prompt("text", ENTITIES[0]).alias("prompt")
     )
 
@@ -123,7 +123,7 @@ def parsed_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prepare_posts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = t.table(spark, sf, "documents")
+    docs = t.documents(spark, sf)
     profiles = language.build_profiles(docs, "text", "lang", t.LANGUAGES)
     sources = {e: df.drop("is_en") for e, df in t.post_sources(spark, sf).items()}
     return preparation.prepare_posts(sources, profiles).select(
@@ -139,12 +139,12 @@ def prepare_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def language_profiles(spark: SparkSession, sf: str) -> DataFrame:
-    docs = t.table(spark, sf, "documents")
+    docs = t.documents(spark, sf)
     return language.profile_table(language.build_profiles(docs, "text", "lang", t.LANGUAGES))
 
 
 def language_id(spark: SparkSession, sf: str) -> DataFrame:
-    docs = t.table(spark, sf, "documents")
+    docs = t.documents(spark, sf)
     profiles = language.build_profiles(docs, "text", "lang", t.LANGUAGES)
     return language.flag_language(docs, profiles, key="doc_id", text="text").select(
         "doc_id", "is_en"
@@ -154,8 +154,15 @@ def language_id(spark: SparkSession, sf: str) -> DataFrame:
 # --- sentiment ------------------------------------------------------------------------
 
 
+def language_id_by_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by join, which profiles of any size can take."""
+    docs = t.documents(spark, sf)
+    profiles = language.build_profiles(docs, "text", "lang", t.LANGUAGES)
+    return language.detect_by_join(docs, profiles, "doc_id", "text")
+
+
 def _scored_texts(spark: SparkSession, sf: str, scorer: lexicon.Scorer) -> DataFrame:
-    docs = t.table(spark, sf, "documents")
+    docs = t.documents(spark, sf)
     scores = scorer(docs.select("doc_id", "text"), "doc_id", "text")
     return lexicon.attach_scores(docs.select("doc_id"), scores, "doc_id")
 
@@ -604,6 +611,7 @@ QUERIES: dict[str, Query] = {
         prepare_articles,
         language_profiles,
         language_id,
+        language_id_by_join,
         lexicon_score,
         lexicon_score_shifters,
         mean_polarity,

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodline.functions.time import utc_day
-from moodline.schemas import mention
 from moodline.operators.prepare import flag_mentions
+from moodline.schemas import mention
+from moodline.sources.files import spread
 
 # Words of the test texts that stand for entities.
 ENTITIES = ("with", "was")
@@ -47,6 +48,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def lexicon(spark: SparkSession) -> DataFrame:
     rows = ", ".join(f"('{word}', {value}D)" for word, value in VALENCES.items())
     return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(token, valence)")
@@ -57,7 +62,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     users = events.groupBy("user_id").agg(F.min("ts").alias("joined"))
     return (
-        table(spark, sf_dir, "documents")
+        documents(spark, sf_dir)
         .withColumn("event_id", F.col("doc_id") * 5)
         .join(events.select("event_id", "ts", "user_id", "value"), "event_id")
         .join(users, "user_id", "left")  # dropped from the plan where "joined" is unused
@@ -98,7 +103,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flagged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("textdata"))
+    docs = documents(spark, sf_dir).select("doc_id", F.col("text").alias("textdata"))
     return flag_mentions(docs, "textdata", ENTITIES)
 
 
