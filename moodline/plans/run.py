@@ -11,16 +11,24 @@ from pyspark.sql import functions as F
 
 from moodline.functions.measures import DEFAULT_THRESHOLD
 from moodline.operators.evaluation import evaluate
-from moodline.operators.labels import FORECAST, TEST, TRAIN, LabelTables, label_series
+from moodline.operators.labels import (
+    FORECAST,
+    MARKET,
+    TEST,
+    TRADE_COLUMNS,
+    TRAIN,
+    LabelTables,
+    label_series,
+)
 from moodline.operators.lexicon import Scorer, compound_scorer, polarity_scorer
-from moodline.operators.models import Fit, fit_model
+from moodline.operators.models import MODELS, Fit, fit_model
 from moodline.operators.scoring import (
     AspectScorer,
     label_aspects,
     long_by_entity,
     score_mentions,
 )
-from moodline.plans.features import TWO_RATIOS, build_features
+from moodline.plans.features import FEATURES, TWO_RATIOS, build_features
 from moodline.schemas import label_of, mention, score_of
 from moodline.session import stage
 
@@ -33,7 +41,7 @@ POST_COLUMNS = ("country", "is_en", "likes", "user_join_date", "user_followers_c
 
 @dataclass(frozen=True)
 class Run:
-    """What one run does. Unknown names raise when it starts, before any work."""
+    """What one run does. Unknown names raise here, before any work."""
 
     entities: tuple[str, ...]
     sentiment: str = COMPOUND
@@ -47,6 +55,18 @@ class Run:
     model_options: Mapping[str, object] = field(default_factory=dict)
     feature_options: Mapping[str, object] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        known = {
+            "sentiment": self.sentiment in (COMPOUND, POLARITY, ASPECT),
+            "features": (self.split, self.features) in FEATURES,
+            "model": self.model in MODELS,
+            "label_type": self.label_type in (FORECAST, MARKET),
+            "trade_type": self.trade_type in TRADE_COLUMNS,
+        }
+        for name, found in known.items():
+            if not found:
+                raise ValueError(f"unknown {name}: {getattr(self, name)!r} (split {self.split!r})")
+
 
 @dataclass(frozen=True)
 class Scorers:
