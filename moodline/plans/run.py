@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -179,14 +181,16 @@ def scenario_grid(
     sentiments: Iterable[str],
     features: Iterable[str],
     models: Sequence[tuple[str, Mapping[str, object]]],
+    parallelism: int = 4,
 ) -> DataFrame:
     """All combinations as one table of metrics.
 
     Texts are scored once per scorer and rolled up once per feature set; every model
-    is then fitted on the stored daily table.
+    is then fitted on the stored daily table. Fits are small and independent jobs, so
+    some run side by side.
     """
     labels = label_series(tables, base.label_type, base.trade_type, split=base.split)
-    rows = []
+    jobs: list[tuple[DataFrame, Run]] = []
     feature_sets = list(features)
     for name in sentiments:
         scoring = replace(base, sentiment=name)
@@ -196,8 +200,15 @@ def scenario_grid(
         for feature_set in feature_sets:
             shaped = replace(scoring, features=feature_set)
             table = stage(feature_table(scored, labels, shaped), "features")
-            for model, options in models:
-                run = replace(shaped, model=model, model_options=options)
-                fit = fit_run(table, run)
-                rows.append(describe(run, evaluate(fit.predictions, fit.label)))
+            jobs += [
+                (table, replace(shaped, model=model, model_options=options))
+                for model, options in models
+            ]
+
+    def metrics(job: tuple[DataFrame, Run]) -> DataFrame:
+        fit = fit_run(*job)
+        return describe(job[1], evaluate(fit.predictions, fit.label))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(inheritable_thread_target(metrics), jobs))
     return reduce(DataFrame.unionAll, rows)

@@ -36,13 +36,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folders: dict[str, str] = {}  # application id -> folder
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for stage tables: the cluster's setting, or a new local one if unset."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="moodline-stage-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    """Shared folder for stage tables: the session's setting.
+
+    Only a local session may go without; it gets a new local folder. Executors on
+    other machines could not read one.
+    """
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
+    app = context.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="moodline-stage-")
+    return _own_folders[app]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -27,12 +27,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Parquet. Rows of one partition value may come from many tasks, so a value that
-    holds much of the table is still written in parallel."""
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Parquet. A partitioned table is rebalanced on its partition columns first: files get
+    an even size, small values share a task, and a value that holds much of the table is
+    split over several."""
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_articles(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -125,3 +125,30 @@ def test_spread(spark):
     assert files.spread(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 16)
     assert files.spread(many, "id").rdd.getNumPartitions() == 16
+
+
+def test_stage_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from moodline import session
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+
+    def fake(master):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert session.checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    own = session.checkpoint_dir(fake("local[2]"))
+    assert own == session.checkpoint_dir(fake("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(fake("yarn"))
+
+
+def test_stage_cuts_lineage(spark):
+    from moodline.session import stage
+
+    df = spark.range(5).selectExpr("id", "id * 2 AS twice").filter("id > 1")
+    stored = stage(df, "test")
+    assert sorted(map(tuple, stored.collect())) == [(2, 4), (3, 6), (4, 8)]
+    assert "Range" not in stored._jdf.queryExecution().logical().toString()

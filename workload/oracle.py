@@ -534,7 +534,7 @@ def oracle_sql() -> dict[str, str]:
         "sentiment_table": f"""with {SCORED_POSTS}
             select doc_id as tweet_id, {_day()}, {A}_label as {A}_sentiment_label,
               {B}_label as {B}_sentiment_label
-            from scored_posts where scored_posts.date >= date '2024-01-05'""",
+            from scored_posts""",
         "articles_json": f"""with {ARTICLES}
             select cast(article_id as varchar) as uuid, title, description,
               epoch_us(published_at) // 1000 as published_at from articles""",

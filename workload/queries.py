@@ -508,8 +508,7 @@ def sentiment_table(spark: SparkSession, sf: str) -> DataFrame:
         "tweet_id", "date", *[label_of(e) for e in ENTITIES]
     )
     sinks.write_table(scored, path, ["date"])
-    back = files.read_table(spark, path, scored.schema)
-    return back.filter(F.col("date") >= F.lit(date(2024, 1, 5)))
+    return files.read_table(spark, path, scored.schema)
 
 
 def articles_json(spark: SparkSession, sf: str) -> DataFrame:
