@@ -41,6 +41,11 @@ def label_indicator(label: Column | str) -> Column:
     return out.cast("int")
 
 
+def entity_indicator(candidate: Column | str, entity: str) -> Column:
+    """1 on rows about the entity, else 0, also for unknown candidates."""
+    return F.when(_column(candidate) == entity, 1).otherwise(0)
+
+
 def ratio_of(total: Column, count: Column) -> Column:
     """total / count, null for an empty group."""
     return F.try_divide(total.cast("double"), count.cast("double"))

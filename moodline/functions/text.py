@@ -28,8 +28,8 @@ WHITESPACE_CHARS = (
 # Fixed value: text and aspect in the layout a sentence-pair classifier reads.
 PROMPT = "[CLS] %s [SEP] %s [SEP]"
 
-# Runs of anything but word characters and apostrophes; the small class is tried first.
-TOKEN_BREAK = rf"[[^a-z0-9']&&[^{WORD_CHARS}]]+"
+# Runs of anything but word characters and apostrophes.
+TOKEN_BREAK = rf"[^{WORD_CHARS}']+"
 
 # Any three characters, overlapping; the class keeps a match from starting
 # inside a surrogate pair.

@@ -12,7 +12,8 @@ from moodline.functions.time import parse_timestamp
 from moodline.operators.language import LanguageProfiles, flag_language
 from moodline.operators.prepare import SOURCE_RANK, flag_mentions, merge_duplicates, tag_sources
 from moodline.schemas import mention
-from moodline.sources.files import ROW_ORDER
+from moodline.sources.files import ROW_ORDER, read_table
+from moodline.sources.sinks import write_table
 
 
 def merge_posts(
@@ -34,10 +35,12 @@ def prepare_posts(
     created_at: str = "created_at",
     row_order: str = ROW_ORDER,
     language: str = "en",
+    dump_path: str | None = None,
 ) -> DataFrame:
     """Merged posts with a timestamp, a language flag and cleaned text.
 
-    The language is judged on the raw text, before cleaning.
+    The language is judged on the raw text, before cleaning. With ``dump_path`` the
+    result is written there as Parquet, and what is returned reads it back.
     """
     merged = merge_posts(sources, key=key, row_order=row_order)
     timed = merged.withColumn(
@@ -47,7 +50,11 @@ def prepare_posts(
         else parse_timestamp(created_at),
     )
     flagged = flag_language(timed, profiles, key=key, text=text, language=language)
-    return flagged.withColumn(text, clean_text(text)).withColumnRenamed(text, "textdata")
+    processed = flagged.withColumn(text, clean_text(text)).withColumnRenamed(text, "textdata")
+    if dump_path is None:
+        return processed
+    write_table(processed, dump_path)
+    return read_table(processed.sparkSession, dump_path, processed.schema)
 
 
 def prepare_articles(

@@ -207,8 +207,9 @@ def scenario_grid(
 
     def metrics(job: tuple[DataFrame, Run]) -> DataFrame:
         fit = fit_run(*job)
-        return describe(job[1], evaluate(fit.predictions, fit.label))
+        row = describe(job[1], evaluate(fit.predictions, fit.label))
+        return row.sparkSession.createDataFrame([row.first()], row.schema)
 
+    target = inheritable_thread_target(processed.sparkSession)(metrics)
     with ThreadPoolExecutor(parallelism) as pool:
-        rows = list(pool.map(inheritable_thread_target(metrics), jobs))
-    return reduce(DataFrame.unionAll, rows)
+        return reduce(DataFrame.unionAll, pool.map(target, jobs))

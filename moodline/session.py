@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows are whole texts: keep what goes to a Python worker at once small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -33,6 +33,11 @@ def test_label_indicator(spark):
     assert [r[0] for r in df.select(M.label_indicator("l")).collect()] == [1, 0, -1, None, None]
 
 
+def test_entity_indicator(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
+    assert [r[0] for r in df.select(M.entity_indicator("c", "a")).collect()] == [1, 0, 0]
+
+
 def test_softmax_and_top_label(spark):
     df = spark.createDataFrame([([0.1, 2.0, 2.0],), ([1000.0, 0.0, -5.0],), (None,)], "a array<double>")
     rows = df.select(M.softmax("a").alias("p"), M.top_label("a").alias("l")).collect()

@@ -181,6 +181,19 @@ def test_preparation(spark):
     assert "tweet" not in out.columns and "row_order" not in out.columns
 
 
+def test_dump(spark, tmp_path):
+    train = [("the cat and the dog that", "en")]
+    profiles = build_profiles(spark.createDataFrame(train, "t string, l string"), "t", "l", ["en"])
+    posts = spark.createDataFrame(
+        [(1, "The cat!", "2020-10-15", 0)],
+        "tweet_id long, tweet string, created_at string, row_order long",
+    )
+    path = str(tmp_path / "processed")
+    out = preparation.prepare_posts({"biden": posts}, profiles, dump_path=path)
+    assert out.inputFiles() and out.first()["textdata"] == "the cat"
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_article_preparation(spark):
     rows = [("Trump WINS", "so says Harris", dt.datetime(2024, 1, 1)), ("Other", None, None)]
     df = spark.createDataFrame(rows, "title string, description string, published_at timestamp")

@@ -429,6 +429,11 @@ def oracle_sql() -> dict[str, str]:
             from scored_posts group by scored_posts.date""",
         "daily_mean": f"""with {RATIOS}
             select {_day()}, candidate, {_r("ratio")} as sentiment_indic from ratios""",
+        "candidate_indicator": f"""select event_id,
+              cast(case when event_type = '{C}' then 1 else 0 end as bigint) as about,
+              cast(case when value >= 60 then 1 when value <= 20 then -1 end as bigint)
+                as indicator
+            from events""",
         "rolling_mean": f"""with {RATIOS}
             select {_day()}, candidate, {_r('''avg(ratio) over (order by ratios.date, candidate
               rows between 6 preceding and current row)''')} as rolling from ratios""",

@@ -281,6 +281,17 @@ def daily_mean(spark: SparkSession, sf: str) -> DataFrame:
     return daily.daily_mean(daily.with_day(t.signals(spark, sf)), CANDIDATES)
 
 
+def candidate_indicator(spark: SparkSession, sf: str) -> DataFrame:
+    """Label indicator of every event, and whether it is about the first candidate."""
+    return t.table(spark, sf, "events").select(
+        "event_id",
+        measures.entity_indicator("event_type", CANDIDATES[0]).alias("about"),
+        measures.label_indicator(
+            F.when(F.col("value") >= 60, "Positive").when(F.col("value") <= 20, "negative")
+        ).alias("indicator"),
+    )
+
+
 def rolling_mean(spark: SparkSession, sf: str) -> DataFrame:
     return _ratios(spark, sf).select(
         "date",
@@ -626,6 +637,7 @@ QUERIES: dict[str, Query] = {
         daily_ratio_wide,
         daily_ratio_wide_mentions,
         daily_mean,
+        candidate_indicator,
         rolling_mean,
         rolling_mean_per_entity,
         softsign_measures,
