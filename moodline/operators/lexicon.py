@@ -28,6 +28,8 @@ BOOST = 0.293
 NEGATED = -0.74
 DECAY = (1.0, 0.95, 0.9)  # by distance of the shifting word
 BEFORE_CONTRAST, AFTER_CONTRAST = 0.5, 1.5
+EXCLAMATION, MOST_EXCLAMATIONS = 0.292, 4  # per mark, up to so many
+QUESTION, MOST_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96  # from two marks on
 
 
 @dataclass(frozen=True)
@@ -68,8 +70,21 @@ def plain_words(texts: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def emphasis(text: Column | str) -> Column:
+    """How much the exclamation and question marks of a text add to its total."""
+    text = F.col(text) if isinstance(text, str) else text
+
+    def marks(mark: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+    questions = marks("?")
+    return F.least(marks("!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION + F.when(
+        questions > MOST_QUESTIONS, MANY_QUESTIONS
+    ).when(questions > 1, questions * QUESTION).otherwise(0.0)
+
+
 def words_in_context(texts: DataFrame, key: str, text: str, contrast: str) -> DataFrame:
-    """(key, token, before1.., side): a token, those before it, its side of the contrast word.
+    """(key, emphasis, token, before1.., side): a token, those before it, its side of the contrast.
 
     The neighbours come from shifted copies of the token array, so no window and
     no shuffle of tokens is needed.
@@ -80,12 +95,15 @@ def words_in_context(texts: DataFrame, key: str, text: str, contrast: str) -> Da
         shifted.append(F.concat(pad, F.col("_words")))
     # all of an array's expressions come before the explode: behind it they would be
     # evaluated, and the array copied, once per token
-    zipped = texts.select(key, tokens(text).alias("_words")).select(
+    zipped = texts.select(
+        key, emphasis(text).alias("emphasis"), tokens(text).alias("_words")
+    ).select(
         key,
+        "emphasis",
         F.array_position("_words", F.lit(contrast)).alias("_contrast"),
         F.arrays_zip(*shifted).alias("_places"),
     )
-    split = zipped.select(key, "_contrast", F.posexplode_outer("_places").alias("_pos", "_at"))
+    split = zipped.select(key, "emphasis", "_contrast", F.posexplode_outer("_places").alias("_pos", "_at"))
     # the longest shifted copy runs past the text: drop those places, keep null texts
     inside = split.filter(F.col("_at").isNull() | F.col("_at").getField("_words").isNotNull())
     place = F.col("_pos") + 1
@@ -94,6 +112,7 @@ def words_in_context(texts: DataFrame, key: str, text: str, contrast: str) -> Da
     )
     return inside.select(
         key,
+        "emphasis",
         bare_word(F.col("_at").getField("_words")).alias("token"),
         *[
             bare_word(F.col("_at").getField(str(step))).alias(f"before{step}")
@@ -121,13 +140,17 @@ def shifted_valence(shifters: Shifters) -> Column:
 
 
 def _sums(words: DataFrame, lexicon: DataFrame, key: str, valence: Column) -> DataFrame:
-    """(key, total, matched) over the words found in the lexicon."""
+    """(key, total, matched) over the words found in the lexicon.
+
+    Marks push a total away from zero.
+    """
+    total = F.sum(valence)
+    if "emphasis" in words.columns:
+        total = total + F.signum(total) * F.max("emphasis")
     joined = lookup_join(
         words, lexicon.select("token", "valence"), "token", how="left", spread=key
     ).filter(F.col("valence").isNotNull() | F.col("token").isNull())
-    return joined.groupBy(key).agg(
-        F.sum(valence).alias("total"), F.count("valence").alias("matched")
-    )
+    return joined.groupBy(key).agg(total.alias("total"), F.count("valence").alias("matched"))
 
 
 def compound(total: Column | str) -> Column:

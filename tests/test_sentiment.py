@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from moodline.operators import daily, lexicon, scoring
 
 WORDS = {"good": 2.0, "great": 3.0, "bad": -2.5, "awful": -3.0, "fine": 0.5}
-FILLER = ["very", "slightly", "not", "don't", "but", "the", "cat", "'good'", "so", "without"]
+FILLER = ["!", "?!", "?", "very", "slightly", "not", "don't", "but", "the", "cat", "'good'", "so", "without"]
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +52,12 @@ def plain_compound(text, shifters=None):
             if turn is not None and i != turn:
                 v *= 0.5 if i < turn else 1.5
         total += v
+    if shifters and total:
+        asked = text.count("?")
+        added = 0.292 * min(text.count("!"), 4) + (
+            0.96 if asked > 3 else 0.18 * asked if asked > 1 else 0
+        )
+        total += math.copysign(added, total)
     return round(total / math.sqrt(total * total + 15), 4)
 
 
@@ -79,6 +85,9 @@ def test_shifted_examples(spark, words):
         ["good", "very good", "slightly good", "not good"],
     )
     assert slightly < good < very and no < 0
+    loud, asked = scored(spark, lexicon.compound_scorer(words), ["good!", "bad ??"])
+    plain, bad = scored(spark, lexicon.compound_scorer(words), ["good", "bad ?"])
+    assert loud > plain and asked < bad
 
 
 def test_polarity(spark, words):

@@ -267,17 +267,27 @@ SHIFTED = f"""{LEXICON},
 {TOKENS},
 turns as (select doc_id, min(pos) as turn from tokens
   where raw = '{SHIFTING["contrast"]}' group by doc_id),
+marks as (
+  select doc_id, length(text) - length(replace(text, '!', '')) as loud,
+         length(text) - length(replace(text, '?', '')) as asked from documents),
+emphasis as (
+  select doc_id, least(loud, 4) * cast(0.292 as double)
+    + case when asked > 3 then cast(0.96 as double)
+           when asked > 1 then asked * cast(0.18 as double) else 0 end as added from marks),
 context as (
   select doc_id, pos, trim(raw, '''') as token,
          cast({" + ".join(_boost(k) for k in (1, 2, 3))} as double) as boost,
          cast({" * ".join(_flip(k) for k in (1, 2, 3))} as double) as flip
   from tokens window w as (partition by doc_id order by pos)),
-sums as (
+plain as (
   select c.doc_id, sum((valence + sign(valence) * boost) * flip
          * case when pos < turn then cast(0.5 as double) when pos > turn then cast(1.5 as double)
            else cast(1 as double) end) as total
   from context c join lexicon l on l.token = c.token
-  left join turns on turns.doc_id = c.doc_id group by c.doc_id)"""
+  left join turns on turns.doc_id = c.doc_id group by c.doc_id),
+sums as (
+  select plain.doc_id, total + sign(total) * added as total
+  from plain join emphasis on emphasis.doc_id = plain.doc_id)"""
 
 
 def _thirds(n: int) -> str:
