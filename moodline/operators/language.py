@@ -39,16 +39,54 @@ class LanguageProfiles:
     log_totals: dict[str, float]
 
 
+def _codes(texts: str) -> np.ndarray:
+    """Each trigram of a string as one integer, 21 bits per character."""
+    points = np.frombuffer(texts.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    return (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
+
+
+def _gram(code: int) -> str:
+    return "".join(chr(code >> shift & 0x1FFFFF) for shift in (42, 21, 0))
+
+
+BLANKS = np.uint64(ord(" ") << 21 | ord(" "))
+PAIR = np.uint64((1 << 42) - 1)
+
+
+def count_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, letters) rows -> (lang, gram, n), counted within each batch.
+
+    Every text starts and ends with a blank and has no two blanks in a row, so the
+    trigrams that span two texts are just those with a pair of blanks.
+    """
+    for batch in batches:
+        for lang, letters in batch.groupby("lang")["letters"]:
+            codes = _codes("".join(letters))
+            whole = ((codes >> np.uint64(21)) != BLANKS) & ((codes & PAIR) != BLANKS)
+            grams, n = np.unique(codes[whole], return_counts=True)
+            yield pd.DataFrame({"lang": lang, "gram": [_gram(int(c)) for c in grams], "n": n})
+
+
 def build_profiles(
     df: DataFrame, text: str, language: str, languages: Sequence[str]
 ) -> LanguageProfiles:
-    """Count trigrams per language over labelled texts."""
+    """Count trigrams per language over labelled texts.
+
+    Counted per Arrow batch first, which leaves a few thousand rows for thousands of
+    texts; those are added up by Spark.
+    """
     languages = tuple(sorted(languages))
     counts = (
-        df.filter(F.col(language).isin(*languages))
-        .select(F.col(language).alias("_lang"), F.explode(trigrams(text)).alias("gram"))
+        df.filter(F.col(language).isin(*languages) & F.col(text).isNotNull())
+        .select(F.col(language).alias("lang"), letters_only(text).alias("letters"))
+        .mapInPandas(count_batch, "lang string, gram string, n long")
         .groupBy("gram")
-        .agg(*[F.count_if(F.col("_lang") == l).alias(_count(l)) for l in languages])
+        .agg(
+            *[
+                F.coalesce(F.sum(F.when(F.col("lang") == l, F.col("n"))), F.lit(0)).alias(_count(l))
+                for l in languages
+            ]
+        )
     )
     grams = stage(counts, "language-profiles")
     totals = grams.agg(
@@ -109,12 +147,6 @@ def detect_by_join(df: DataFrame, profiles: LanguageProfiles, key: str, text: st
     return scores.select(key, named.alias("language"))
 
 
-def _codes(texts: str) -> np.ndarray:
-    """Each trigram of a string as one integer, 21 bits per character."""
-    points = np.frombuffer(texts.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    return (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
-
-
 def row_detector(profiles: LanguageProfiles) -> Callable[[Column], Column]:
     """A column function text -> language, for profiles proven small enough to broadcast.
 
