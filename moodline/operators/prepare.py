@@ -36,6 +36,19 @@ def tag_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def propagate_flags(df: DataFrame, key: str, entities: Sequence[str]) -> DataFrame:
+    """All rows, each flag raised to its maximum over the rows of the same key.
+
+    Rows without a key lose their flags. To go on with one row per key, use
+    ``merge_duplicates`` alone. The maxima are aggregated and joined back, since a
+    window would bring all rows of a key into one task; adaptive execution splits the
+    join where a key is that frequent.
+    """
+    flags = [mention(e) for e in entities]
+    highest = df.groupBy(key).agg(*[F.max(flag).alias(flag) for flag in flags])
+    return df.drop(*flags).join(highest, key, "left")
+
+
 def merge_duplicates(
     df: DataFrame, key: str, entities: Sequence[str], order: Sequence[str]
 ) -> DataFrame:

@@ -46,7 +46,7 @@ def score_mentions(
     """Score and label per entity; rows that do not mention it get 0 and neutral.
 
     Each text is scored once, however many entities it mentions, and not at all if
-    it mentions none. The text column is gone from the result.
+    it mentions none. ``key`` is unique per row. The text column is gone from the result.
     """
     texts = df.filter(mentions_any(entities)).select(key, text)
     scored = attach_scores(df.drop(text), scorer(texts, key, text), key, "_score_once")

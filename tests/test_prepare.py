@@ -4,6 +4,7 @@ import random
 from moodline.operators.prepare import (
     flag_mentions,
     merge_duplicates,
+    propagate_flags,
     quality_filter,
     tag_sources,
 )
@@ -29,6 +30,15 @@ def test_merge_keeps_first_and_all_flags(spark):
     assert rows(merge_posts(sources(spark))) == WANT
 
 
+def test_propagated_flags(spark):
+    tagged = tag_sources(sources(spark))
+    got = propagate_flags(tagged, "tweet_id", ["x", "y"])
+    want = {1: (1, 0), 2: (1, 1), 3: (0, 1), None: (None, None)}
+    rows = got.collect()
+    assert len(rows) == tagged.count()
+    assert all((r["mentions_x"], r["mentions_y"]) == want[r["tweet_id"]] for r in rows)
+
+
 def test_merge_does_not_depend_on_partitioning(spark):
     tagged = tag_sources(sources(spark))
     for n in (1, 3, 7):

@@ -357,6 +357,11 @@ def oracle_sql() -> dict[str, str]:
               epoch_us(user_join_date) // 1000 as user_join_date,
               cast(fa as bigint) as mentions_{A}, cast(fb as bigint) as mentions_{B}
             from merged""",
+        "flag_propagation": f"""with {MERGED}
+            select tweet_id, cast(source_rank as bigint) as source_rank,
+              cast(max(mentions_{A}) over (partition by tweet_id) as bigint) as mentions_{A},
+              cast(max(mentions_{B}) over (partition by tweet_id) as bigint) as mentions_{B}
+            from tagged""",
         "account_age_filter": f"""with {POSTS}
             select tweet_id, {AGE} as account_age, {_r("likes")} as likes,
               {_r("user_followers_count")} as user_followers_count from posts

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from moodline.functions import measures, text, time
 from moodline.operators import daily, evaluation, labels, language, lexicon, models, scoring
-from moodline.operators.prepare import quality_filter
+from moodline.operators.prepare import propagate_flags, quality_filter, tag_sources
 from moodline.plans import features, preparation, run
 from moodline.schemas import label_of, mention, processed_news, score_of
 from moodline.session import configure, stage, stage_path
@@ -91,6 +91,13 @@ def tag_union_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return preparation.merge_posts(t.post_sources(spark, sf)).drop("is_en")
 
 
+def flag_propagation(spark: SparkSession, sf: str) -> DataFrame:
+    tagged = tag_sources(t.post_sources(spark, sf))
+    return propagate_flags(tagged, "tweet_id", ENTITIES).select(
+        "tweet_id", "source_rank", *[mention(e) for e in ENTITIES]
+    )
+
+
 def account_age_filter(spark: SparkSession, sf: str) -> DataFrame:
     return quality_filter(
         t.posts(spark, sf),
@@ -613,6 +620,7 @@ QUERIES: dict[str, Query] = {
         compose_text,
         prompt_template,
         search_articles,
+        flag_propagation,
         tag_union_dedup,
         account_age_filter,
         epoch_roundtrip,
