@@ -32,7 +32,7 @@ def ordered(rows):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"gbt_fit", "arimax_fit", "scenario_grid"}
+    assert set(QUERIES) - set(SQL) == {"gbt_fit", "scenario_grid"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

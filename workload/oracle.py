@@ -197,6 +197,50 @@ select 'discount' as feature, {_r("b")} as beta, {_r(r2)} as r2 from slope
 union all select 'intercept', {_r("my - b * mx")}, {_r(r2)} from slope"""
 
 
+def _less(target: str, by: str) -> str:
+    """A column without its component along another one."""
+    return f"{target} - {by} * sum({target} * {by}) over () / sum({by} * {by}) over ()"
+
+
+def _partial_out(name: str, columns: int, steps: int) -> str:
+    """CTEs name1.. that take c0, then the next one and so on, out of y and the rest of name0."""
+    ctes = []
+    for step in range(steps):
+        rest = [f"{_less(f'c{i + 1}', 'c0')} as c{i}" for i in range(columns - step - 1)]
+        kept = ", ".join(["t", f"{_less('y', 'c0')} as y", *rest])
+        ctes.append(f"{name}{step + 1} as materialized (select {kept} from {name}{step})")
+    return ", ".join(ctes)
+
+
+def _last_beta(name: str, source: str, label: str, columns: list[str]) -> str:
+    """CTEs that end in name(beta): the coefficient of the last column in a regression on all."""
+    first = ", ".join(f"{c} as c{i}" for i, c in enumerate(columns))
+    steps = len(columns) - 1
+    return (
+        f"{name}0 as (select t, {label} as y, {first} from {source}), "
+        f"{_partial_out(name, len(columns), steps)}, "
+        f"{name} as (select sum(y * c0) / sum(c0 * c0) as beta from {name}{steps})"
+    )
+
+
+ARIMAX = f"""dated as (
+  select prices.date as t, x, y from prices join discounts on discounts.date = prices.date),
+diffs as (
+  select t, y - lag(y) over (order by t) as dy, x - lag(x) over (order by t) as dx from dated),
+lags as (
+  select t, dy, dx, lag(dy, 1) over w as l1, lag(dy, 2) over w as l2, lag(dy, 3) over w as l3,
+         lag(dy, 4) over w as l4 from diffs window w as (order by t)),
+long0 as materialized (
+  select t, dy as y, dx as c0, l1 as c1, l2 as c2, l3 as c3, l4 as c4 from lags
+  where l4 is not null and dx is not null),
+{_partial_out("long", 5, 5)},
+shocks as (select t, lag(y) over (order by t) as s1 from long5),
+short as materialized (
+  select lags.t, dy, dx, l1, s1 from shocks join lags on lags.t = shocks.t where s1 is not null),
+{_last_beta("b_x", "short", "dy", ["l1", "s1", "dx"])},
+{_last_beta("b_ar", "short", "dy", ["dx", "s1", "l1"])},
+{_last_beta("b_ma", "short", "dy", ["dx", "l1", "s1"])}"""
+
 GRAMS = r"""spaced as (
   select doc_id, lang,
          string_split(' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ', '') as c
@@ -509,6 +553,10 @@ def oracle_sql() -> dict[str, str]:
         "linear_fit": _one_feature("sxy / sxx"),
         "ridge_fit": _one_feature("sxy / (sxx + 2)"),
         "lasso_fit": _one_feature("sign(sxy) * greatest(abs(sxy) / n - 0.0005, 0) / (sxx / n)"),
+        "arimax_fit": f"""with {SERIES}, {ARIMAX}
+            select 'discount' as feature, {_r("beta")} as beta from b_x
+            union all select 'ar1', {_r("beta")} from b_ar
+            union all select 'ma1', {_r("beta")} from b_ma""",
         "ols_predictions": f"""with {OLS}
             select {_day()}, {_r("y")} as p_win, {_r("p")} as prediction from fitted""",
         "eval_metrics": f"""with {METRICS}
