@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from moodline.functions.columns import as_column
+
 # Label words, their indicators, class order of the aspect scorer.
 POSITIVE, NEUTRAL, NEGATIVE = "positive", "neutral", "negative"
 INDICATORS = {NEUTRAL: 0, POSITIVE: 1, NEGATIVE: -1}
@@ -14,19 +16,15 @@ CLASS_LABELS = (NEGATIVE, NEUTRAL, POSITIVE)
 DEFAULT_THRESHOLD = 0.05
 
 
-def _column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
 def nan_to_null(value: Column | str) -> Column:
     """NaN sorts above every number in Spark; as null it compares as unknown."""
-    value = _column(value)
+    value = as_column(value)
     return F.when(~F.isnan(value), value)
 
 
 def threshold_label(score: Column | str, threshold: float = DEFAULT_THRESHOLD) -> Column:
     """positive at or above the threshold, negative at or below its mirror, else neutral."""
-    score = nan_to_null(_column(score).cast("double"))
+    score = nan_to_null(as_column(score).cast("double"))
     return (
         F.when(score >= threshold, POSITIVE).when(score <= -threshold, NEGATIVE).otherwise(NEUTRAL)
     )
@@ -34,7 +32,7 @@ def threshold_label(score: Column | str, threshold: float = DEFAULT_THRESHOLD) -
 
 def label_indicator(label: Column | str) -> Column:
     """1, 0 or -1 for a label in any letter case; unknown labels give null."""
-    label = F.lower(_column(label))
+    label = F.lower(as_column(label))
     out = None
     for word, value in INDICATORS.items():
         out = F.when(label == word, value) if out is None else out.when(label == word, value)
@@ -43,7 +41,7 @@ def label_indicator(label: Column | str) -> Column:
 
 def entity_indicator(candidate: Column | str, entity: str) -> Column:
     """1 on rows about the entity, else 0, also for unknown candidates."""
-    return F.when(_column(candidate) == entity, 1).otherwise(0)
+    return F.when(as_column(candidate) == entity, 1).otherwise(0)
 
 
 def ratio_of(total: Column, count: Column) -> Column:
@@ -52,22 +50,22 @@ def ratio_of(total: Column, count: Column) -> Column:
 
 
 def softsign(value: Column | str) -> Column:
-    value = _column(value)
+    value = as_column(value)
     return value / (F.abs(value) + 1)
 
 
 def complement(probability: Column | str) -> Column:
-    return F.lit(1.0) - _column(probability)
+    return F.lit(1.0) - as_column(probability)
 
 
 def binarise(value: Column | str, cut: float = 0.5) -> Column:
     """1 above the cut, else 0."""
-    return F.when(nan_to_null(_column(value)) > cut, 1).otherwise(0)
+    return F.when(nan_to_null(as_column(value)) > cut, 1).otherwise(0)
 
 
 def softmax(logits: Column | str) -> Column:
     """Class probabilities; shifted by the largest logit so that exp cannot overflow."""
-    logits = _column(logits)
+    logits = as_column(logits)
     powers = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
     return F.transform(
         powers, lambda p: p / F.aggregate(powers, F.lit(0.0), lambda acc, q: acc + q)
@@ -76,7 +74,7 @@ def softmax(logits: Column | str) -> Column:
 
 def top_label(scores: Column | str, labels: Sequence[str] = CLASS_LABELS) -> Column:
     """Label of the largest score, the first one on a tie."""
-    scores = _column(scores)
+    scores = as_column(scores)
     position = F.array_position(scores, F.array_max(scores)).cast("int")
     names = F.array(*[F.lit(name) for name in labels])
     return F.when(position > 0, F.element_at(names, position))

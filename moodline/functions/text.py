@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from moodline.functions.columns import as_column
+
 # Whitespace in Unicode terms, with the four separator control characters.
 WHITESPACE = r"\s\x1c-\x1f"
 WORD_CHARS = r"\p{L}\p{N}_"
@@ -36,16 +38,12 @@ TOKEN_BREAK = rf"[^{WORD_CHARS}']+"
 TRIGRAM_PATTERN = r"(?s)(?=(\P{Cs}{3}))"
 
 
-def _column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
 def clean_text(text: Column | str) -> Column:
     """Drop links, handles, hash signs and special characters; lowercase; strip.
 
     A plain search for the marks is far cheaper than a pattern, and most texts have none.
     """
-    out = _column(text)
+    out = as_column(text)
     for pattern, marks in CLEANING_PATTERNS:
         cleaned = F.regexp_replace(out, pattern, "")
         if marks:
@@ -64,7 +62,7 @@ def mention_pattern(entity: str) -> str:
 
 def mention_flag(text: Column | str, entity: str) -> Column:
     """1 if the lowercased text has the entity as a whole word, else 0; null gives 0."""
-    lowered = F.lower(_column(text))
+    lowered = F.lower(as_column(text))
     pattern = mention_pattern(entity)
     # the plain search spares most texts the pattern
     hit = F.contains(lowered, F.lit(entity.lower())) & lowered.rlike(pattern)
@@ -73,7 +71,7 @@ def mention_flag(text: Column | str, entity: str) -> Column:
 
 def contains_any(text: Column | str, needles: Sequence[str]) -> Column:
     """True if the lowercased text contains any needle as a substring; null gives false."""
-    lowered = F.lower(_column(text))
+    lowered = F.lower(as_column(text))
     hit = F.lit(False)
     for needle in needles:
         hit = hit | F.coalesce(F.contains(lowered, F.lit(needle.lower())), F.lit(False))
@@ -85,7 +83,7 @@ def compose_text(title: Column | str, description: Column | str, entities: Seque
 
     A blank or null description names nothing, so it needs no test of its own.
     """
-    title, description = _column(title), _column(description)
+    title, description = as_column(title), as_column(description)
     return F.when(
         contains_any(description, entities), F.concat(title, F.lit(" . "), description)
     ).otherwise(title)
@@ -93,7 +91,7 @@ def compose_text(title: Column | str, description: Column | str, entities: Seque
 
 def aspect_prompt(text: Column | str, aspect: str) -> Column:
     """The prompt of a text and an aspect; null for a null text."""
-    return F.when(_column(text).isNotNull(), F.format_string(PROMPT, _column(text), F.lit(aspect)))
+    return F.when(as_column(text).isNotNull(), F.format_string(PROMPT, as_column(text), F.lit(aspect)))
 
 
 def tokens(text: Column | str) -> Column:
@@ -101,17 +99,17 @@ def tokens(text: Column | str) -> Column:
 
     Text that starts or ends with other characters gives an empty token there.
     """
-    return F.split(F.lower(_column(text)), TOKEN_BREAK)
+    return F.split(F.lower(as_column(text)), TOKEN_BREAK)
 
 
 def bare_word(token: Column | str) -> Column:
     """A token without quoting apostrophes at its ends."""
-    return F.btrim(_column(token), F.lit("'"))
+    return F.btrim(as_column(token), F.lit("'"))
 
 
 def letters_only(text: Column | str) -> Column:
     """Lowercased letters, every other run one blank, one blank at either end."""
-    spaced = F.regexp_replace(F.lower(_column(text)), r"[^\p{L}]+", " ")
+    spaced = F.regexp_replace(F.lower(as_column(text)), r"[^\p{L}]+", " ")
     return F.concat(F.lit(" "), F.trim(spaced), F.lit(" "))
 
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moodline.functions.columns import as_column
 from moodline.functions.text import bare_word, tokens
 from moodline.operators.lookup import lookup_join
 
@@ -72,7 +73,7 @@ def plain_words(texts: DataFrame, key: str, text: str) -> DataFrame:
 
 def emphasis(text: Column | str) -> Column:
     """How much the exclamation and question marks of a text add to its total."""
-    text = F.col(text) if isinstance(text, str) else text
+    text = as_column(text)
 
     def marks(mark: str) -> Column:
         return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
@@ -154,7 +155,7 @@ def _sums(words: DataFrame, lexicon: DataFrame, key: str, valence: Column) -> Da
 
 
 def compound(total: Column | str) -> Column:
-    total = F.col(total) if isinstance(total, str) else total
+    total = as_column(total)
     return F.round(total / F.sqrt(total * total + F.lit(NORMALISER)), DIGITS)
 
 

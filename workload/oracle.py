@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from moodline.functions.measures import CLASS_LABELS
 from moodline.functions.text import WHITESPACE_CHARS, WORD_CHARS
-from workload.tables import CANDIDATES, ENTITIES, LANGUAGES, SHIFTING, VALENCES
+from workload.tables import CANDIDATES, ENTITIES, SHIFTING, VALENCES
 
 A, B = ENTITIES
 
