@@ -5,8 +5,8 @@ t / s times: the whole part is certain, the rest is its inclusion probability. T
 the cube method (Deville & Tille 2004) moves these probabilities along the null space of the
 constraints, here the source's totals of words and of documents, until all but two of a block are
 0 or 1. Blocks of a source are flown side by side; what is left of them meets in fewer blocks,
-round by round, until the landing problem of a source is two documents, which are rounded to the
-side nearer to the target.
+round by round, until the landing problem of a source is two documents, which are rounded so that
+the source comes nearest to its target.
 
 Sizes of 0 take no part and are taken 0 times. A null text has size 0; a null source is a source
 of its own, the last one. Repeated rows are separate documents. The order within blocks is drawn
@@ -111,7 +111,7 @@ def fly(p: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[int]]:
 
 
 def in_flight_order(frame: pd.DataFrame) -> pd.DataFrame:
-    """Large documents first: the ones still open at the end, which get rounded, are small."""
+    """Large documents first: most of those still open at the end are small."""
     return frame.sort_values(["size", "mix"], ascending=[False, True], kind="stable").reset_index(drop=True)
 
 
@@ -122,17 +122,26 @@ def _flown(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _landed(frame: pd.DataFrame) -> pd.DataFrame:
-    """At most two open documents of a source (fewer than three constraints hold them)."""
+    """The last flight of a source, then the landing problem of its two open documents.
+
+    They are rounded to the nearest total of words; the one document whose change of side brings
+    the total nearest to what is due settles the rest.
+    """
     frame = in_flight_order(frame)
-    p, rest = fly(frame["p"].to_numpy(), frame["size"].to_numpy())
     size = frame["size"].to_numpy()
-    due = float(sum(p[i] * size[i] for i in rest))
+    due = float((frame["p"] * size).sum())
+    p, rest = fly(frame["p"].to_numpy(), size)
+    off = float((p * size).sum()) - float((p[rest] * size[rest]).sum()) - due
     best = min(
         range(1 << len(rest)),
-        key=lambda m: (abs(sum(size[i] for k, i in enumerate(rest) if m >> k & 1) - due), m),
+        key=lambda m: (abs(sum(size[i] for k, i in enumerate(rest) if m >> k & 1) + off), m),
     )
-    for k, i in enumerate(rest):
-        p[i] = float(best >> k & 1)
+    p[rest] = [float(best >> k & 1) for k in range(len(rest))]
+    change = size * (1 - 2 * p)
+    off = float((p * size).sum()) - due
+    nearest = int(np.argmin(np.abs(off + change)))
+    if abs(off + change[nearest]) < abs(off):
+        p[nearest] = 1 - p[nearest]
     return frame.assign(p=p)
 
 
