@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import exact_dedup, mixing
+from moodline.llm import bpe, exact_dedup, mixing
 from moodline.llm.common import table
 from moodline.session import configure
 
@@ -18,6 +18,18 @@ def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_copies(table(configure(spark), sf, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.tokenize(table(configure(spark), sf, "documents"), path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(configure(spark), sf, "documents"))
 
