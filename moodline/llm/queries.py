@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import bpe, exact_dedup, mixing
+from moodline.llm import bpe, exact_dedup, mixing, toxicity
 from moodline.llm.common import table
 from moodline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(configure(spark), sf, "documents"), table(spark, sf, "labels")
+    chain = toxicity.fit(docs, labels, toxicity.label_categories(labels), "toxic")
+    return toxicity.score(docs, chain)
+
+
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_copies(table(configure(spark), sf, "documents"))
 
