@@ -4,26 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodline.llm import exact_dedup, mixing
+from moodline.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
 from moodline.llm.common import table
 from moodline.session import configure, stage
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier chain, fitted on the labelled ones, calls toxic."""
+    labels = table(configure(spark), sf_dir, "labels")
+    chain = toxicity.fit(docs, labels, toxicity.label_categories(labels), "toxic")
+    return toxicity.keep_clean(docs, chain)
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops all but the first of equal texts."""
     configure(spark)
     return exact_dedup.drop_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the first document of each group of near copies."""
+    configure(spark)
+    return ngram_join.drop_near_copies(docs)
+
+
 def weighted_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     configure(spark)
     return mixing.take(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its token ids and the text they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    keep = [c for c in docs.columns if c != "text"]
+    return bpe.tokenize(docs, path, keep=keep).withColumnRenamed("decoded", "text")
+
+
 STAGES = [
+    ("toxicity", clean),
     ("exact dedup", exact_copies),
+    ("n-gram jaccard join", near_copies),
     ("mixing", weighted_mix),
+    ("bpe", tokens),
 ]
 
 #: SQL can't express the toxicity model or the draws of the mix.
@@ -32,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (name, apply) in enumerate(STAGES):
+    for k, (_, apply) in enumerate(STAGES):
         docs = apply(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stage(docs, f"pipeline-{k}")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import bpe, exact_dedup, mixing, toxicity
+from moodline.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
 from moodline.llm.common import table
 from moodline.session import configure
 
@@ -36,6 +36,10 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_copies(table(configure(spark), sf, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(configure(spark), sf, "documents"))
 
@@ -45,6 +49,31 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op8_ngram_join": r"""
+        with recursive
+        split as (
+            select doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+            from documents),
+        sets as (
+            select doc_id, list_distinct(case
+                when len(w) = 0 then []
+                when len(w) < 5 then [array_to_string(w, ' ')]
+                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+            from split),
+        shingles as (select doc_id, len(s) as n, unnest(s) as g from sets),
+        links as (
+            select a.doc_id as a, b.doc_id as b
+            from shingles a join shingles b on a.g = b.g and a.doc_id <> b.doc_id
+            group by a.doc_id, b.doc_id, a.n, b.n
+            having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        reach as (
+            select doc_id as a, doc_id as b from sets
+            union
+            select reach.a, links.b from reach join links on reach.b = links.a)
+        select doc_id, len(s) as n_shingles, c as component_id
+        from sets join (select a, min(b) as c from reach group by a) on a = doc_id""",
     "op3_exact_dedup": r"""
         with hashed as (
             select doc_id,
