@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
+from moodline.llm import bpe, exact_dedup, mixing, ngram_join, topk, toxicity
 from moodline.llm.common import table
 from moodline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(configure(spark), sf, "embeddings")
+    return topk.search(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(configure(spark), sf, "documents"), table(spark, sf, "labels")
     chain = toxicity.fit(docs, labels, toxicity.label_categories(labels), "toxic")
@@ -49,6 +54,20 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q
+            from embeddings
+            where vec_id is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (
+            select a.vec_id as query_id, b.vec_id, list_inner_product(a.q, b.q)::bigint as score
+            from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+        r as (
+            select query_id, row_number() over (
+                partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+            from s)
+        select query_id, rank, vec_id, score from r where rank <= 5""",
     "op8_ngram_join": r"""
         with recursive
         split as (
