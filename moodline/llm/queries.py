@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import bpe, exact_dedup, mixing, ngram_join, topk, toxicity
+from moodline.llm import bpe, exact_dedup, mixing, ngram_join, pii, topk, toxicity
 from moodline.llm.common import table
 from moodline.session import configure
 
@@ -41,6 +41,10 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digest(pii.find(table(configure(spark), sf, "documents")))
+
+
 def op8_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_copies(table(configure(spark), sf, "documents"))
 
