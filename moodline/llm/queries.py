@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import bpe, exact_dedup, mixing, ngram_join, pii, topk, toxicity
-from moodline.llm.common import table
+from moodline.llm import bpe, exact_dedup, langid, mixing, ngram_join, pii, topk, toxicity
+from moodline.llm.common import fold_of, table
 from moodline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,13 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(configure(spark), sf, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(configure(spark), sf, "documents")
+    model = langid.fit(docs, fold_of("doc_id", 5) != 0)
+    found = langid.predict(docs, model)
+    return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)
 }
