@@ -5,8 +5,9 @@ A document is the set of its distinct 5-word shingles. Two documents link when
 
 1. Documents with equal sets are one class. A class stands for its copies from here on.
 2. Of each set only a prefix is exchanged: the n - ceil(0.8 n) + k smallest hashes, k = n // 10. Sets
-   that link share k of these at least, so a class with fewer shared ones is out.
-3. What is left is ordered from rare to frequent and indexed by a second prefix: rare shingles
+   that link share k of these at least, so a class with fewer shared ones is out. Then the same
+   with the whole sets of what is left: 0.8 n of them must occur in other classes.
+3. The shared shingles are ordered from rare to frequent and indexed by a second prefix: rare ones
    alone; frequent ones in combinations of two from an extended prefix. The prefix is extended so
    that a linking pair shares one more frequent shingle than there are bins, so some bin holds two.
 4. Classes that share a key are verified on their full sets, first against the key's most central
@@ -39,8 +40,8 @@ from moodline.session import stage
 SHINGLE = 5
 NUM, DEN = 80, 100  # Jaccard similarity of a link, at least
 FREQUENT = 64  # classes that share a shingle, over which it is indexed in combinations
-PAIRS_PER_ENTRY = 8  # go on with central classes while more pairs than this are left
-ROUNDS = 12
+PAIRS_PER_ENTRY = 16  # go on with central classes while more pairs than this are left
+ROUNDS = 6
 BLOCK = 1 << 20  # shingles that one verifying group holds, about
 CACHE = 400_000  # word hashes kept by a task
 
@@ -86,8 +87,8 @@ def prefix_size(n: int) -> int:
 
 
 def needed(n: int) -> int:
-    """What a set of size n shares at least with any it links to: k of the smallest of those."""
-    return max(1, (NUM * n) // (DEN * 10))
+    """What a set of size n shares at least with any it links to."""
+    return -(-NUM * n // DEN)
 
 
 def links(a: np.ndarray, b: np.ndarray) -> bool:
@@ -131,19 +132,32 @@ def with_only(rows: DataFrame, some: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(some) if fits_broadcast(some) else some, key, "left_semi")
 
 
-def _shared(prefixes: DataFrame) -> DataFrame:
-    """rid, n, token, df: prefix shingles of more than one class, of classes that share enough."""
-    needs = F.greatest(F.lit(1), F.expr(f"n * {NUM} div {DEN * 10}"))
+def _common(rows: DataFrame) -> DataFrame:
+    """token, df of the shingles of more than one class."""
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+
+
+def _sharing(prefixes: DataFrame) -> DataFrame:
+    """rid of the classes whose prefix shares enough shingles with other classes."""
+    # a partner has 0.8 n shingles at least, and k with it
+    least = F.greatest(F.lit(1), F.expr(f"n * {NUM} div {DEN * 10}"))
     rows = prefixes.select("rid", "n", F.explode("prefix").alias("token"))
-    common = stage(rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "join-common")
-    rows = stage(rows.join(common.select("token"), "token"), "join-shared")
-    for _ in range(2):  # what leaves takes its shingles along
-        enough = stage(rows.groupBy("rid", "n").count().filter(F.col("count") >= needs).select("rid"), "join-enough")
-        rows = rows.join(enough, "rid", "left_semi")
-        common = stage(rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "join-common")
-        rows = stage(rows.join(common, "token"), "join-shared") if _ else stage(
-            rows.join(common.select("token"), "token", "left_semi"), "join-shared"
-        )
+    common = stage(_common(rows).select("token"), "join-common")
+    found = rows.join(common, "token").groupBy("rid", "n").count()
+    return stage(found.filter(F.col("count") >= least).select("rid"), "join-sharing")
+
+
+def _shared(sets: DataFrame) -> DataFrame:
+    """rid, n, token, df: shingles of more than one class, of classes that share enough."""
+    enough = F.expr(f"count * {DEN} >= n * {NUM}")
+    rows = sets.select("rid", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("token"))
+    for turn in range(3):  # what leaves takes its shingles along
+        common = stage(_common(rows), "join-common")
+        found = stage(rows.join(common, "token").select("rid", "n", "token", "df"), "join-shared")
+        left = stage(found.groupBy("rid", "n").count().filter(enough).select("rid"), "join-enough")
+        rows = found.join(left, "rid", "left_semi")
+        if turn < 2:
+            rows = rows.drop("df")
     return rows
 
 
@@ -156,13 +170,11 @@ def keys_of(n: int, df: np.ndarray, token: np.ndarray) -> np.ndarray:
     df, token = df[order], token[order]
     first = r - need + 1
     rare = token[:first][df[:first] <= FREQUENT]
-    if len(rare) == first:
-        return rare
-    if need < 2:
+    if len(rare) == first or n < 16:
         return token[:first]
-    if need == 2:  # meets sets of need 1, which have no combinations
+    if n < 20:  # meets sets that are too small for combinations
         rare = token[:first]
-    top = 1 << ((need - 1).bit_length() - 1)  # bins: the largest power of 2 below ``need``
+    top = 1 << ((n // 8).bit_length() - 1)  # bins
     keys = [rare]
     for bins in {top, max(1, top // 2)}:  # sizes of linking sets are at most one level apart
         reach = r - need + bins + 1
@@ -188,7 +200,7 @@ def _index(shared: DataFrame) -> DataFrame:
             ]
             size = [len(k) for k in keys]
             # a class all of whose prefix is shared is most likely what others were copied from
-            rank = [-1000 * len(f) // prefix_size(n) for n, f in zip(frame["n"].tolist(), frame["df"], strict=True)]
+            rank = [-1000 * len(f) // n for n, f in zip(frame["n"].tolist(), frame["df"], strict=True)]
             yield pd.DataFrame(
                 {
                     "key": np.concatenate(keys) if keys else np.zeros(0, np.int64),
@@ -208,7 +220,6 @@ def _index(shared: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """hub, rid of the pairs that link. Pairs of a hub are dealt to blocks of bounded size."""
-    pairs = stage(pairs, "join-pairs")
     load = stage(
         pairs.groupBy("hub").agg((F.sum("n") / F.lit(BLOCK) + 1).cast("long").alias("blocks")), "join-load"
     )
@@ -222,9 +233,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         own = frame["rid"] == frame["hub"]
         if not own.any() or own.all():
             return frame.iloc[:0][["hub", "rid"]]
-        hub = np.frombuffer(frame.loc[own, "shingles"].iloc[0], np.int64)
+        hub = frame.loc[own, "shingles"].iloc[0]
         rest = frame[~own]
-        good = [links(hub, np.frombuffer(s, np.int64)) for s in rest["shingles"]]
+        good = [links(hub, s) for s in rest["shingles"]]
         return rest.loc[good, ["hub", "rid"]]
 
     return rows.groupBy("hub", "block").applyInPandas(verify, "hub long, rid long")
@@ -306,6 +317,11 @@ def _linked(index: DataFrame, sets: DataFrame) -> DataFrame:
         both = [pairs.select("hub", "rid"), pairs.select(F.col("rid").alias("hub"), F.col("hub").alias("rid"))]
         tried = both[0].unionByName(both[1])
         checked = tried if checked is None else checked.unionByName(tried)
+        if not new.limit(1).count():
+            if last:
+                return comps
+            entries = entries.join(lists.select("key", F.col("hub").alias("rid")), ["key", "rid"], "left_anti")
+            continue
         # only components that a new link joins change
         of = [comps.select(F.col("rid").alias(x), F.col("comp").alias(y)) for x, y in (("hub", "a"), ("rid", "b"))]
         joined = components(new.join(of[0], "hub").join(of[1], "rid"))
@@ -336,19 +352,17 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         .filter("rid <> rep").select("rid"),
         "join-copies",
     )
-    shared = _shared(without(every.filter("n > 0").select("rid", "n", "prefix"), copies, "rid"))
-    index = _index(shared)
-    involved = stage(index.select("rid").distinct(), "join-involved")
+    sharing = _sharing(without(every.filter("n > 0").select("rid", "n", "prefix"), copies, "rid"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
         for batch in batches:
-            sets = [shingles(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rid", "shingles"])
+            sets = pa.array([shingles(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["rid", "shingles"])
 
     texts = numbered(docs).select("rid", F.col(f"row.`{text_col}`").cast("string").alias("text"))
-    sets = stage(with_only(texts, involved, "rid").mapInArrow(whole, "rid long, shingles binary"), "join-full")
-    comps = _linked(index, sets)
+    sets = stage(with_only(texts, sharing, "rid").mapInArrow(whole, "rid long, shingles array<long>"), "join-full")
+    comps = _linked(_index(_shared(sets)), sets)
     # lead of a component: the least lead of its classes
     member = classes.join(comps, classes["rep"] == comps["rid"]).select("sig", "lead", "comp")
     leads = stage(member.groupBy("comp").agg(F.min("lead").alias("head")), "join-leads")
