@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import bpe, exact_dedup, langid, mixing, ngram_join, pii, topk, toxicity
+from moodline.llm import bpe, exact_dedup, html, langid, lm, mixing, ngram_join, pii, topk, toxicity
 from moodline.llm.common import fold_of, table
 from moodline.session import configure
 
@@ -41,6 +41,17 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_lm(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(configure(spark), sf, "documents")
+    scores = lm.score(docs, fold_of("doc_id", 7) != 2)
+    return scores.select("doc_id", (fold_of("doc_id", 7) == 2).alias("held_out"), *scores.columns[1:])
+
+
+def op7_html(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(configure(spark), sf, "pages")
+    return html.extract(pages, html.fit(pages))
+
+
 def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digest(pii.find(table(configure(spark), sf, "documents")))
 
