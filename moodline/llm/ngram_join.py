@@ -39,8 +39,8 @@ from moodline.session import stage
 
 SHINGLE = 5
 NUM, DEN = 80, 100  # Jaccard similarity of a link, at least
-FREQUENT = 64  # classes that share a shingle, over which it is indexed in combinations
-PAIRS_PER_ENTRY = 16  # go on with central classes while more pairs than this are left
+FREQUENT = 256  # classes that share a shingle, over which it is indexed in combinations
+PAIRS_PER_ENTRY = 2  # go on with central classes while more pairs than this are left
 ROUNDS = 6
 BLOCK = 1 << 20  # shingles that one verifying group holds, about
 CACHE = 400_000  # word hashes kept by a task
@@ -149,16 +149,13 @@ def _sharing(prefixes: DataFrame) -> DataFrame:
 
 def _shared(sets: DataFrame) -> DataFrame:
     """rid, n, token, df: shingles of more than one class, of classes that share enough."""
-    enough = F.expr(f"count * {DEN} >= n * {NUM}")
     rows = sets.select("rid", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("token"))
-    for turn in range(3):  # what leaves takes its shingles along
-        common = stage(_common(rows), "join-common")
-        found = stage(rows.join(common, "token").select("rid", "n", "token", "df"), "join-shared")
-        left = stage(found.groupBy("rid", "n").count().filter(enough).select("rid"), "join-enough")
-        rows = found.join(left, "rid", "left_semi")
-        if turn < 2:
-            rows = rows.drop("df")
-    return rows
+    common = stage(_common(rows).select("token"), "join-common")
+    found = stage(rows.join(common, "token"), "join-shared")
+    enough = found.groupBy("rid", "n").count().filter(f"count * {DEN} >= n * {NUM}").select("rid")
+    left = stage(found.join(enough, "rid", "left_semi"), "join-left")
+    # what left took its shingles along
+    return left.join(_common(left), "token")
 
 
 def keys_of(n: int, df: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -174,9 +171,11 @@ def keys_of(n: int, df: np.ndarray, token: np.ndarray) -> np.ndarray:
         return token[:first]
     if n < 20:  # meets sets that are too small for combinations
         rare = token[:first]
-    top = 1 << ((n // 8).bit_length() - 1)  # bins
+    own = 1 << ((n // 4).bit_length() - 1)  # bins
+    # sizes of linking sets are at most one level apart: near the bottom of a level, take the next too
+    levels = (own,) if NUM * n >= DEN * 4 * own else (own, own // 2)
     keys = [rare]
-    for bins in {top, max(1, top // 2)}:  # sizes of linking sets are at most one level apart
+    for bins in levels:
         reach = r - need + bins + 1
         often = token[:reach][df[:reach] > FREQUENT].view(np.uint64)
         place = (often * _MIX[1] >> np.uint64(40)) % np.uint64(bins)
@@ -220,9 +219,7 @@ def _index(shared: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """hub, rid of the pairs that link. Pairs of a hub are dealt to blocks of bounded size."""
-    load = stage(
-        pairs.groupBy("hub").agg((F.sum("n") / F.lit(BLOCK) + 1).cast("long").alias("blocks")), "join-load"
-    )
+    load = pairs.groupBy("hub").agg((F.sum("n") / F.lit(BLOCK) + 1).cast("long").alias("blocks"))
     dealt = pairs.select("hub", "rid").join(load, "hub").select(
         "hub", F.pmod(F.xxhash64("rid"), "blocks").alias("block"), "rid"
     )
@@ -252,14 +249,11 @@ def components(edges: DataFrame) -> DataFrame:
     tree = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "rid"), "cc-tree")
     while True:
         while True:  # shorten
-            up = tree.select(F.col("rid").alias("root"), F.col("root").alias("next"))
-            tree = stage(
-                tree.join(up, "root", "left").select(
-                    "rid", F.coalesce("next", "root").alias("root"), (F.col("next") != F.col("root")).alias("moved")
-                ),
-                "cc-tree",
-            )
-            moved = tree.filter("moved").limit(1).count()
+            for _ in range(2):
+                up = tree.select(F.col("rid").alias("root"), F.col("root").alias("next"))
+                tree = tree.join(up, "root").select("rid", F.col("next").alias("root"), F.col("root").alias("was"))
+            tree = stage(tree, "cc-tree")
+            moved = tree.filter("root <> was").limit(1).count()
             tree = tree.select("rid", "root")
             if not moved:
                 break
@@ -283,32 +277,31 @@ SIZES_FIT = f"least(n, hub_n) * {DEN} >= greatest(n, hub_n) * {NUM}"
 
 def _linked(index: DataFrame, sets: DataFrame) -> DataFrame:
     """rid, comp of every class in ``index``."""
-    nodes = stage(index.select("rid").distinct(), "join-nodes")
+    comps = stage(index.select("rid", F.col("rid").alias("comp")).distinct(), "join-nodes")
+    entries = index.withColumn("comp", F.col("rid"))
     checked = None
-    comps = nodes.withColumn("comp", F.col("rid"))
-    entries = index
     for turn in range(ROUNDS + 1):
-        entries = stage(entries.drop("comp").join(comps, "rid"), "join-entries")
         lists = entries.groupBy("key").agg(
             F.count(F.lit(1)).alias("size"),
             F.min("comp").alias("low"),
             F.max("comp").alias("high"),
-            F.min(F.struct("rank", "rid", "n")).alias("hub"),
+            F.min(F.struct("rank", "rid", "n", "comp")).alias("hub"),
         ).filter("low <> high")
-        lists = stage(lists.select("key", "size", F.col("hub.rid").alias("hub"), F.col("hub.n").alias("hub_n")), "join-lists")
+        lists = lists.select(
+            "key", "size", F.col("hub.rid").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.comp").alias("hub_comp")
+        )
+        lists = stage(lists, "join-lists")
         rows, pairs = lists.agg(F.sum("size"), F.sum(F.expr("size * (size - 1.0) / 2"))).first()
         if not rows:
             return comps
         last = turn == ROUNDS or pairs <= PAIRS_PER_ENTRY * rows
-        hubs = lists if not last else entries.join(lists.select("key"), "key", "left_semi").select(
-            "key", F.col("rid").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp")
-        )
         if last:  # all pairs that are left, each once
-            pairs = entries.join(hubs, "key").filter(f"comp < hub_comp and {SIZES_FIT}")
+            other = entries.join(lists.select("key"), "key", "left_semi").select(
+                "key", F.col("rid").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp")
+            )
+            pairs = entries.join(other, "key").filter(f"comp < hub_comp and {SIZES_FIT}")
         else:
-            own = comps.select(F.col("rid").alias("hub"), F.col("comp").alias("hub_comp"))
-            hubs = stage(lists.join(own, "hub"), "join-hubs")
-            pairs = entries.join(hubs, "key").filter(f"comp <> hub_comp and {SIZES_FIT}")
+            pairs = entries.join(lists, "key").filter(f"comp <> hub_comp and {SIZES_FIT}")
         pairs = pairs.select("hub", "rid", "n").distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["hub", "rid"], "left_anti")
@@ -317,21 +310,17 @@ def _linked(index: DataFrame, sets: DataFrame) -> DataFrame:
         both = [pairs.select("hub", "rid"), pairs.select(F.col("rid").alias("hub"), F.col("hub").alias("rid"))]
         tried = both[0].unionByName(both[1])
         checked = tried if checked is None else checked.unionByName(tried)
-        if not new.limit(1).count():
-            if last:
-                return comps
-            entries = entries.join(lists.select("key", F.col("hub").alias("rid")), ["key", "rid"], "left_anti")
-            continue
-        # only components that a new link joins change
-        of = [comps.select(F.col("rid").alias(x), F.col("comp").alias(y)) for x, y in (("hub", "a"), ("rid", "b"))]
-        joined = components(new.join(of[0], "hub").join(of[1], "rid"))
-        joined = joined.select(F.col("rid").alias("comp"), F.col("comp").alias("into"))
-        comps = comps.join(joined, "comp", "left")
-        comps = stage(comps.select("rid", F.coalesce("into", "comp").alias("comp")), "join-comps")
+        if new.limit(1).count():  # only components that a new link joins change
+            of = [comps.select(F.col("rid").alias(x), F.col("comp").alias(y)) for x, y in (("hub", "a"), ("rid", "b"))]
+            joined = components(new.join(of[0], "hub").join(of[1], "rid"))
+            joined = joined.select(F.col("rid").alias("comp"), F.col("comp").alias("into"))
+            comps = comps.join(joined, "comp", "left")
+            comps = stage(comps.select("rid", F.coalesce("into", "comp").alias("comp")), "join-comps")
         if last:
             return comps
         # a hub has met all of its list
         entries = entries.join(lists.select("key", F.col("hub").alias("rid")), ["key", "rid"], "left_anti")
+        entries = stage(entries.drop("comp").join(comps, "rid"), "join-entries")
     return comps
 
 
@@ -365,7 +354,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     comps = _linked(_index(_shared(sets)), sets)
     # lead of a component: the least lead of its classes
     member = classes.join(comps, classes["rep"] == comps["rid"]).select("sig", "lead", "comp")
-    leads = stage(member.groupBy("comp").agg(F.min("lead").alias("head")), "join-leads")
+    leads = member.groupBy("comp").agg(F.min("lead").alias("head"))
     moved = member.select("sig", "comp").join(leads, "comp").select("sig", "head")
     heads = stage(
         classes.join(moved, "sig", "left").filter("copies > 1 or head is not null")
