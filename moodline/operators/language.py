@@ -191,7 +191,6 @@ def flag_language(
     df: DataFrame,
     profiles: LanguageProfiles,
     *,
-    key: str,
     text: str,
     language: str = "en",
     flag: str = "is_en",
@@ -201,11 +200,13 @@ def flag_language(
     if fits_broadcast(profiles.grams, max_rows):
         hit = row_detector(profiles)(F.col(text)) == language
         return df.withColumn(flag, F.coalesce(hit, F.lit(False)))
-    found = detect_by_join(df, profiles, key, text).select(
-        key, (F.col("language") == language).alias("_hit")
+    # by row, as in place: keys may repeat or be null
+    rows = stage(df.withColumn("_row_number", F.monotonically_increasing_id()), "language-rows")
+    found = detect_by_join(rows, profiles, "_row_number", text).select(
+        "_row_number", (F.col("language") == language).alias("_hit")
     )
     return (
-        df.join(found, key, "left")
+        rows.join(found, "_row_number", "left")
         .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False)))
-        .drop("_hit")
+        .drop("_hit", "_row_number")
     )

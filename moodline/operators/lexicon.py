@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 from moodline.functions.columns import as_column
 from moodline.functions.text import bare_word, tokens
 from moodline.operators.lookup import lookup_join
+from moodline.session import stage
 
-# A scorer takes (texts, key, text column) and returns (key, score) for every text
+ROW = "_row_number"
+
+# A scorer takes (texts, key, text column), with a key that tells rows apart (``score_rows``
+# makes one), and returns (key, score) for every text
 # that has a score other than 0; unreadable (null) texts come back with a null score.
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 
@@ -37,31 +41,14 @@ QUESTION, MOST_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96  # from two marks on
 class Shifters:
     """Words that change the valence of a word up to three places later, or of a whole side.
 
-    The lists are words of the language, not of the corpus, and end up as literals in
-    the plan.
+    The user's lists, like the lexicon: none is built in. They are words of the language,
+    not of the corpus, and end up as literals in the plan.
     """
 
-    # English shifting words.
-    intensifiers: tuple[str, ...] = (
-        "absolutely", "amazingly", "completely", "considerably", "deeply", "enormously",
-        "entirely", "especially", "exceptionally", "extremely", "fully", "greatly", "highly",
-        "hugely", "incredibly", "intensely", "more", "most", "particularly", "purely", "quite",
-        "really", "remarkably", "so", "substantially", "thoroughly", "totally", "tremendously",
-        "unusually", "utterly", "very",
-    )
-    dampeners: tuple[str, ...] = (
-        "almost", "barely", "hardly", "kinda", "less", "little", "marginally", "occasionally",
-        "partly", "scarcely", "slightly", "somewhat",
-    )
-    negations: tuple[str, ...] = (
-        "ain't", "aint", "aren't", "arent", "can't", "cannot", "cant", "couldn't", "couldnt",
-        "despite", "didn't", "didnt", "doesn't", "doesnt", "don't", "dont", "hadn't", "hadnt",
-        "hasn't", "hasnt", "haven't", "havent", "isn't", "isnt", "neither", "never", "no",
-        "none", "nope", "nor", "not", "nothing", "nowhere", "rarely", "seldom", "shouldn't",
-        "shouldnt", "wasn't", "wasnt", "weren't", "werent", "without", "won't", "wont",
-        "wouldn't", "wouldnt",
-    )
-    contrast: str = "but"
+    intensifiers: tuple[str, ...]
+    dampeners: tuple[str, ...]
+    negations: tuple[str, ...]
+    contrast: str
 
 
 def plain_words(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -159,7 +146,7 @@ def compound(total: Column | str) -> Column:
     return F.round(total / F.sqrt(total * total + F.lit(NORMALISER)), DIGITS)
 
 
-def compound_scorer(lexicon: DataFrame, shifters: Shifters | None = Shifters()) -> Scorer:
+def compound_scorer(lexicon: DataFrame, shifters: Shifters | None = None) -> Scorer:
     """Normalised sum of valences in [-1, 1], shifted by nearby words unless there are none."""
 
     def score(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -183,6 +170,12 @@ def polarity_scorer(lexicon: DataFrame) -> Scorer:
     return score
 
 
+def score_rows(df: DataFrame, scorer: Scorer, text: str, column: str = "score") -> DataFrame:
+    """Add a score per row, whatever its keys: repeated and null ones are scored by row."""
+    rows = stage(df.withColumn(ROW, F.monotonically_increasing_id()), "scored-rows")
+    return attach_scores(rows, scorer(rows.select(ROW, text), ROW, text), ROW, column).drop(ROW)
+
+
 def attach_scores(df: DataFrame, scores: DataFrame, key: str, column: str = "score") -> DataFrame:
     """Add a score per row: 0 where no word matched, null where the text is null."""
     found = scores.select(key, F.col("score").alias("_score"), F.lit(True).alias("_found"))

@@ -19,8 +19,9 @@ from moodline.functions.measures import (
     top_label,
 )
 from moodline.functions.text import PROMPT
-from moodline.operators.lexicon import Scorer, attach_scores
+from moodline.operators.lexicon import ROW, Scorer, attach_scores
 from moodline.schemas import label_of, mention, score_of
+from moodline.session import stage
 
 # Code of this module travels to the Python workers with the job, so they need not
 # have the package installed.
@@ -39,17 +40,19 @@ def score_mentions(
     scorer: Scorer,
     entities: Sequence[str],
     *,
-    key: str,
     text: str = "textdata",
     threshold: float = DEFAULT_THRESHOLD,
 ) -> DataFrame:
     """Score and label per entity; rows that do not mention it get 0 and neutral.
 
     Each text is scored once, however many entities it mentions, and not at all if
-    it mentions none. ``key`` is unique per row. The text column is gone from the result.
+    it mentions none. Rows are told apart by a number of their own, so keys may repeat or
+    be null: the table is stored once, which also spares what made it a second run. The
+    text column is gone from the result.
     """
-    texts = df.filter(mentions_any(entities)).select(key, text)
-    scored = attach_scores(df.drop(text), scorer(texts, key, text), key, "_score_once")
+    rows = stage(df.withColumn(ROW, F.monotonically_increasing_id()), "mentions")
+    texts = rows.filter(mentions_any(entities)).select(ROW, text)
+    scored = attach_scores(rows.drop(text), scorer(texts, ROW, text), ROW, "_score_once").drop(ROW)
     gated = {
         score_of(e): F.when(F.col(mention(e)) == 1, F.col("_score_once")).otherwise(F.lit(0.0))
         for e in entities
@@ -105,10 +108,13 @@ def label_aspects(
 
 
 class LexiconAspectScorer:
-    """Aspect scorer without a trained model: mean valence of the known words."""
+    """Aspect scorer without a trained model: mean valence of the known words.
 
-    def __init__(self, valences: Mapping[str, float]):
-        self.valences = dict(valences)
+    The middle logit is the threshold, so a mean nearer to 0 is neutral.
+    """
+
+    def __init__(self, valences: Mapping[str, float], threshold: float = DEFAULT_THRESHOLD):
+        self.valences, self.threshold = dict(valences), threshold
 
     def __call__(self, texts: Sequence[str], aspect: str) -> list[list[float]]:
         out = []
@@ -116,7 +122,7 @@ class LexiconAspectScorer:
             words = (w.strip("'") for w in re.split(r"[^\w']+", text.lower()))
             known = [self.valences[w] for w in words if w in self.valences]
             mean = sum(known) / len(known) if known else 0.0
-            out.append([-mean, 0.0, mean])
+            out.append([-mean, self.threshold, mean])
         return out
 
 

@@ -49,7 +49,7 @@ def prepare_posts(
         if merged.schema[created_at].dataType.typeName().startswith("timestamp")
         else parse_timestamp(created_at),
     )
-    flagged = flag_language(timed, profiles, key=key, text=text, language=language)
+    flagged = flag_language(timed, profiles, text=text, language=language)
     processed = flagged.withColumn(text, clean_text(text)).withColumnRenamed(text, "textdata")
     if dump_path is None:
         return processed

@@ -106,7 +106,6 @@ def score_texts(
             texts,
             scorers.lexicon_scorer(run.sentiment),
             run.entities,
-            key=key,
             threshold=run.threshold,
         )
         scores = [score_of(e) for e in run.entities]

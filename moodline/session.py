@@ -51,6 +51,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if folder:
         return folder
     context = spark.sparkContext
+    folder = context.getCheckpointDir()  # by setCheckpointDir
+    if folder:
+        return folder
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
     app = context.applicationId

@@ -15,8 +15,7 @@ from moodline.functions.text import mention_pattern
 TOPIC_WORDS = ("president", "presidential", "election", "campaign")
 ENTITY_PHRASES = ("kamala harris", "donald trump")
 PUBLISHED_AFTER, PUBLISHED_BEFORE = date(2024, 1, 1), date(2024, 11, 5)
-PAGE_SIZE, PAGE_LIMIT = 25, 800
-RESULT_CAP = PAGE_SIZE * PAGE_LIMIT
+PAGE_SIZE = 25  # of a result page
 
 
 def _any_of(text: Column, phrases: Sequence[str]) -> Column:
@@ -34,19 +33,14 @@ def search_articles(
     equals: dict[str, str] | None = None,
     title: str = "title",
     published_at: str = "published_at",
-    key: str = "uuid",
-    cap: int | None = RESULT_CAP,
 ) -> DataFrame:
-    """Articles whose title has one of the words and one of the phrases, oldest first.
+    """Articles whose title has one of the words and one of the phrases, in no order.
 
-    ``equals`` holds column values to match (language, country). The search service
-    returns at most ``cap`` results, which is part of what it does; ``None`` lifts it.
+    ``equals`` holds column values to match (language, country).
     """
     lowered = F.lower(title)
     hits = articles
     for column, value in (equals or {}).items():
         hits = hits.filter(F.col(column) == value)
     hits = hits.filter((F.col(published_at) >= F.lit(after)) & (F.col(published_at) < F.lit(before)))
-    hits = hits.filter(_any_of(lowered, words) & _any_of(lowered, phrases))
-    ordered = hits.orderBy(published_at, key)
-    return ordered if cap is None else ordered.limit(cap)
+    return hits.filter(_any_of(lowered, words) & _any_of(lowered, phrases))

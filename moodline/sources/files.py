@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,18 +34,37 @@ def read_csv(
 ) -> DataFrame:
     """CSV with header and doubled quotes. Bytes that are no text become U+FFFD.
 
+    Columns are found by their names in the header: files may have more of them, in any
+    order, and a missing one is an error. All files of a path have the same header. A
+    whole number (``LongType``: ids, counts) that does not parse is an error too, since
+    rows would lose their key; other values that don't parse are null.
+
     With ``multiline`` quoted line breaks survive and one file is one task: keep the
     files of a large table small and many. Without it files are split.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
+    raw = (
+        spark.read.option("header", True)
         .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
         .option("sep", sep)
         .csv(path)
     )
+    missing = [f.name for f in schema if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"no columns {missing} in the header of {path}: {raw.columns}")
+    return raw.select(*[_typed(f) for f in schema])
+
+
+def _typed(field: T.StructField) -> Column:
+    text = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return text
+    value = text.try_cast(field.dataType)
+    if isinstance(field.dataType, T.LongType):
+        broken = F.concat(F.lit(f"not a whole number in {field.name}: "), text)
+        value = F.when(text.isNotNull() & value.isNull(), F.raise_error(broken).cast("long")).otherwise(value)
+    return value.alias(field.name)
 
 
 def read_posts(spark: SparkSession, path: str, *, multiline: bool = True) -> DataFrame:
@@ -59,25 +78,51 @@ def read_lexicon(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     return rows.select(F.lower("token").alias("token"), "valence").dropna()
 
 
-def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """Articles from JSON files that hold an array of records, or one record per line."""
-    return spark.read.schema(RAW_ARTICLES).option("multiLine", True).json(path)
+FAIL_FAST = {"mode": "FAILFAST"}
+
+
+def _documents(raw: DataFrame) -> DataFrame:
+    """The JSON documents of whole files (``value``): one, or one on each line.
+
+    A file is taken by lines if each of its lines looks like a document of its own.
+    """
+    text = F.trim(F.regexp_replace("value", "^\ufeff", ""))
+    broken = F.rlike(text, F.lit(r"(?m)^(?!\s*$)(?!\s*[{\[].*[}\]]\s*$)"))
+    lines = F.when(broken, F.array(text)).otherwise(F.split(text, "\\R"))
+    return raw.select(F.explode(lines).alias("document")).filter(F.trim("document") != "")
+
+
+def read_articles(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_ARTICLES, *, per_line: bool = False
+) -> DataFrame:
+    """Articles from JSON files that hold an array of records, or one record per line.
+
+    Files are told apart by what they hold, so each is read by one task; ``per_line``
+    promises lines, and files are split. Text that is no JSON is an error.
+    """
+    if per_line:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    documents = _documents(spark.read.text(path, wholetext=True))
+    rows = F.from_json("document", T.ArrayType(schema), FAIL_FAST)  # a record is an array of one
+    return documents.select(F.inline(rows))
+
+
+def page_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The articles of whole files of result pages."""
+    page = T.StructType([T.StructField("data", T.ArrayType(schema))])
+    return _documents(raw).select(F.inline(F.from_json("document", page, FAIL_FAST)["data"]))
 
 
 def read_article_pages(
     spark: SparkSession,
     path: str,
     schema: T.StructType = RAW_ARTICLES,
-    *,
-    multiline: bool = True,
 ) -> DataFrame:
     """Articles from result pages ``{"data": [...]}``, a page per file or per line.
 
-    Empty pages give no rows.
+    Empty pages give no rows; text that is no JSON is an error.
     """
-    page = T.StructType([T.StructField("data", T.ArrayType(schema))])
-    pages = spark.read.schema(page).option("multiLine", multiline).json(path)
-    return pages.select(F.inline("data"))
+    return page_rows(spark.read.text(path, wholetext=True), schema)
 
 
 def read_nested_records(

@@ -11,6 +11,9 @@ from moodline.functions.time import to_epoch_ms
 from moodline.operators.models import Fit
 
 
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # the writers' own format stops at milliseconds
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header and doubled quotes; blanks at the ends of values are kept."""
     (
@@ -20,6 +23,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("timestampFormat", MICROSECONDS)
         .csv(path)
     )
 
@@ -38,7 +42,7 @@ def write_table(
 
 def write_articles(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Articles as JSON, one record per line."""
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).option("timestampFormat", MICROSECONDS).json(path)
 
 
 def news_records(df: DataFrame, timestamp: str = "timestamp") -> DataFrame:

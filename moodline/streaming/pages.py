@@ -8,10 +8,10 @@ when there are none, and goes on from there at the next call.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodline.schemas import RAW_ARTICLES
+from moodline.sources.files import page_rows
 
 
 def stream_pages(
@@ -20,17 +20,12 @@ def stream_pages(
     schema: T.StructType = RAW_ARTICLES,
     *,
     max_files: int = 1000,
-    multiline: bool = True,
 ) -> DataFrame:
-    """A stream of the articles on the pages of a folder."""
-    page = T.StructType([T.StructField("data", T.ArrayType(schema))])
+    """A stream of the articles on the pages of a folder, a page per file or per line."""
     pages = (
-        spark.readStream.schema(page)
-        .option("multiLine", multiline)
-        .option("maxFilesPerTrigger", max_files)
-        .json(path)
+        spark.readStream.option("maxFilesPerTrigger", max_files).text(path, wholetext=True)
     )
-    return pages.select(F.inline("data"))
+    return page_rows(pages, schema)
 
 
 def collect_pages(
@@ -41,14 +36,13 @@ def collect_pages(
     schema: T.StructType = RAW_ARTICLES,
     *,
     max_files: int = 1000,
-    multiline: bool = True,
 ) -> None:
     """Append the articles of all new pages to a Parquet table, each page once.
 
     ``checkpoint`` remembers the pages already taken: keep it on shared storage.
     """
     query = (
-        stream_pages(spark, pages, schema, max_files=max_files, multiline=multiline)
+        stream_pages(spark, pages, schema, max_files=max_files)
         .writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)

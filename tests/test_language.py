@@ -58,8 +58,8 @@ def test_both_detectors_are_the_plain_definition(spark, profiles):
 
 def test_flag_with_profiles_too_large_to_send(spark, profiles):
     df = spark.createDataFrame(list(enumerate(TEST)), "id int, t string")
-    small = language.flag_language(df, profiles, key="id", text="t")
-    large = language.flag_language(df, profiles, key="id", text="t", max_rows=2)
+    small = language.flag_language(df, profiles, text="t")
+    large = language.flag_language(df, profiles, text="t", max_rows=2)
     want = {i: plain_detect(t) == "en" for i, t in enumerate(TEST)}
     assert {r["id"]: r["is_en"] for r in small.collect()} == want
     assert {r["id"]: r["is_en"] for r in large.collect()} == want

@@ -61,13 +61,31 @@ def plain_compound(text, shifters=None):
     return round(total / math.sqrt(total * total + 15), 4)
 
 
+SHIFTERS = lexicon.Shifters(("very", "so", "really"), ("slightly", "hardly"), ("not", "no", "never", "don't"), "but")
+
+
+def test_rows_of_repeated_and_null_keys(spark, words):
+    rows = [(1, "good"), (1, "good"), (1, "bad"), (None, "good"), (None, None)]
+    df = spark.createDataFrame(rows, "id int, t string")
+    got = [(r["t"], r["score"]) for r in lexicon.score_rows(df, lexicon.compound_scorer(words), "t").collect()]
+    one = dict(got)
+    assert len(got) == 5 and got.count(("good", one["good"])) == 3
+    assert one["good"] > 0 > one["bad"] and one[None] is None
+
+
+def test_aspect_scorer_can_be_neutral():
+    scorer = scoring.LexiconAspectScorer({"good": 1.0, "bad": -1.0, "so": 0.01})
+    best = [max(range(3), key=v.__getitem__) for v in scorer(["good", "bad", "so", "nothing of note"], "x")]
+    assert best == [2, 0, 1, 1]
+
+
 def scored(spark, scorer, values):
     df = spark.createDataFrame(list(enumerate(values)), "id int, t string").repartition(3)
     out = lexicon.attach_scores(df.select("id"), scorer(df, "id", "t"), "id")
     return [r["score"] for r in out.orderBy("id").collect()]
 
 
-@pytest.mark.parametrize("shifters", [None, lexicon.Shifters()])
+@pytest.mark.parametrize("shifters", [None, SHIFTERS])
 def test_compound(spark, words, shifters):
     values = texts()
     got = scored(spark, lexicon.compound_scorer(words, shifters), values)
@@ -81,12 +99,12 @@ def test_compound(spark, words, shifters):
 def test_shifted_examples(spark, words):
     good, very, slightly, no = scored(
         spark,
-        lexicon.compound_scorer(words),
+        lexicon.compound_scorer(words, SHIFTERS),
         ["good", "very good", "slightly good", "not good"],
     )
     assert slightly < good < very and no < 0
-    loud, asked = scored(spark, lexicon.compound_scorer(words), ["good!", "bad ??"])
-    plain, bad = scored(spark, lexicon.compound_scorer(words), ["good", "bad ?"])
+    loud, asked = scored(spark, lexicon.compound_scorer(words, SHIFTERS), ["good!", "bad ??"])
+    plain, bad = scored(spark, lexicon.compound_scorer(words, SHIFTERS), ["good", "bad ?"])
     assert loud > plain and asked < bad
 
 
@@ -119,7 +137,7 @@ def mentions(spark):
 
 def test_mention_gate(spark, words):
     out = scoring.score_mentions(
-        mentions(spark), lexicon.compound_scorer(words), ["a", "b"], key="id"
+        mentions(spark), lexicon.compound_scorer(words), ["a", "b"]
     )
     assert "textdata" not in out.columns
     got = {
@@ -144,8 +162,8 @@ def test_aspect_labels_stay_on_their_rows(spark):
     out = scoring.label_aspects(
         df.repartition(5), scoring.LexiconAspectScorer(WORDS), ["a", "b"], batch_size=7
     )
-    # a word not in the table gives three equal scores, and the first label wins
-    label = {"great": "positive", "awful": "negative", "cat": "negative"}
+    # a text without known words is neutral
+    label = {"great": "positive", "awful": "negative", "cat": "neutral"}
     got = {r["id"]: (r["a_sentiment_label"], r["b_sentiment_label"]) for r in out.collect()}
     assert got == {i: (label[t] if a else None, label[t] if b else None) for i, t, a, b in data}
     assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
@@ -165,7 +183,7 @@ def test_aspect_batches_and_prompt(spark):
 
 def test_long_by_entity(spark, words):
     out = scoring.score_mentions(
-        mentions(spark), lexicon.compound_scorer(words), ["a", "b"], key="id"
+        mentions(spark), lexicon.compound_scorer(words), ["a", "b"]
     )
     got = sorted(tuple(r) for r in scoring.long_by_entity(out, ["a", "b"], ["id"]).collect())
     assert got == [
@@ -179,7 +197,7 @@ def test_long_by_entity(spark, words):
 
 def test_summaries(spark, words):
     out = scoring.score_mentions(
-        mentions(spark), lexicon.polarity_scorer(words), ["a", "b"], key="id"
+        mentions(spark), lexicon.polarity_scorer(words), ["a", "b"]
     )
     got = {r["entity"]: (r["mentions"], r["mean_score"]) for r in daily.entity_summary(out, ["a", "b"]).collect()}
     assert got == {"a": (3, 0.0), "b": (2, -1.5)}

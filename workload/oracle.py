@@ -87,7 +87,7 @@ composed as (
 
 NEWS = f"""{COMPOSED},
 news as (
-  select article_id, lower(composed) as textdata, epoch_us(published_at) // 1000 as timestamp,
+  select article_id, lower(composed) as textdata, epoch_us(published_at) as timestamp,
          {_mention("composed", A)} as mentions_{A}, {_mention("composed", B)} as mentions_{B}
   from composed)"""
 
@@ -348,6 +348,7 @@ powers as (
          exp(l2 - greatest(l0, l1, l2)) as e2 from logits)"""
 
 NEG, NEU, POS = CLASS_LABELS
+BAND = 0.05  # means within it are neutral
 
 ENHANCED = f"""{SCORED_POSTS},
 {LABELS},
@@ -389,16 +390,15 @@ def oracle_sql() -> dict[str, str]:
         "prompt_template": f"""select doc_id, '[CLS] ' || text || ' [SEP] {A} [SEP]' as prompt
             from documents""",
         "search_articles": f"""with {ARTICLES}
-            select article_id, title, epoch_us(published_at) // 1000 as published_at from articles
+            select article_id, title, epoch_us(published_at) as published_at from articles
             where language = 'en' and published_at >= timestamp '2024-01-02'
               and published_at < timestamp '2024-01-12'
               and ({" or ".join(f"{_mention('title', w)} = 1" for w in ("for", "is", "that"))})
-              and ({" or ".join(f"{_mention('title', w)} = 1" for w in ("of the", "and the", "the", "with"))})
-            order by articles.published_at, article_id limit 500""",
+              and ({" or ".join(f"{_mention('title', w)} = 1" for w in ("of the", "and the", "the", "with"))})""",
         "tag_union_dedup": f"""with {MERGED}
-            select tweet_id, tweet, country, epoch_us(created_at) // 1000 as created_at,
+            select tweet_id, tweet, country, epoch_us(created_at) as created_at,
               {_r("likes")} as likes, {_r("user_followers_count")} as user_followers_count,
-              epoch_us(user_join_date) // 1000 as user_join_date,
+              epoch_us(user_join_date) as user_join_date,
               cast(fa as bigint) as mentions_{A}, cast(fb as bigint) as mentions_{B}
             from merged""",
         "flag_propagation": f"""with {MERGED}
@@ -415,7 +415,7 @@ def oracle_sql() -> dict[str, str]:
         "parsed_dates": """select o_orderkey, cast(cast(o_orderdate as date) as varchar) as day
             from orders""",
         "prepare_posts": f"""with {MERGED}, {IS_EN}
-            select tweet_id, {_clean("tweet")} as textdata, epoch_us(created_at) // 1000 as timestamp,
+            select tweet_id, {_clean("tweet")} as textdata, epoch_us(created_at) as timestamp,
               cast(english.doc_id is not null as bigint) as is_en,
               cast(fa as bigint) as mentions_{A}, cast(fb as bigint) as mentions_{B}
             from merged left join english on english.doc_id = merged.tweet_id""",
@@ -448,11 +448,11 @@ def oracle_sql() -> dict[str, str]:
                    else '{POS}' end as sentiment_label
             from powers""",
         "aspect_batch": f"""with {SUMS}, {FLAGGED},
-            sided as (
-              select f.*, case when coalesce(total, 0) > 0 then 'positive'
-                when coalesce(total, 0) < 0 then 'negative' else '@' end as side
+            means as (
+              select f.*, coalesce(total / nullif(matched, 0), 0) as mean
               from flagged f left join sums s on s.doc_id = f.doc_id),
-            named as (select *, case side when '@' then '{NEG}' else side end as label from sided)
+            named as (select *, case when mean <= -{BAND} then '{NEG}' when mean > {BAND} then '{POS}'
+              else '{NEU}' end as label from means)
             select doc_id, case when mentions_{A} = 1 then label end as {A}_sentiment_label,
               case when mentions_{B} = 1 then label end as {B}_sentiment_label from named""",
         "unpivot_entities": f"""with {SCORED}
@@ -596,8 +596,8 @@ def oracle_sql() -> dict[str, str]:
             union all
             select '{B}_ratio', {_r("b2")}, {_r("(b1 * s1y + b2 * s2y) / syy")} from betas""",
         "posts_csv": f"""with {POSTS}
-            select epoch_us(created_at) // 1000 as created_at, tweet_id, tweet, {_r("likes")} as likes,
-              epoch_us(user_join_date) // 1000 as user_join_date,
+            select epoch_us(created_at) as created_at, tweet_id, tweet, {_r("likes")} as likes,
+              epoch_us(user_join_date) as user_join_date,
               {_r("user_followers_count")} as user_followers_count, country from posts""",
         "sentiment_table": f"""with {SCORED_POSTS}
             select doc_id as tweet_id, {_day()}, {A}_label as {A}_sentiment_label,
@@ -605,9 +605,9 @@ def oracle_sql() -> dict[str, str]:
             from scored_posts""",
         "articles_json": f"""with {ARTICLES}
             select cast(article_id as varchar) as uuid, title, description,
-              epoch_us(published_at) // 1000 as published_at from articles""",
+              epoch_us(published_at) as published_at from articles""",
         "article_pages": f"""with {ARTICLES}
-            select article_id as uuid, title, epoch_us(published_at) // 1000 as published_at
+            select article_id as uuid, title, description, epoch_us(published_at) as published_at
             from articles""",
         "params_table": f"""with {OLS}
             select 'betas' as params, {_r("b1")} as {C}, {_r("b2")} as {V} from betas""",
@@ -616,8 +616,15 @@ def oracle_sql() -> dict[str, str]:
         sql[f"market_labels_{trade}"] = f"""select cast(cast(l_shipdate as date) as varchar) as date,
             {_r(f"avg({column})")} as p_win, {_r(f"1 - avg({column})")} as p_lose
             from lineitem group by 1"""
-    news = f"with {NEWS} select textdata, timestamp, mentions_{A}, mentions_{B} from news"
+    news = f"with {NEWS} select textdata, timestamp // 1000 as timestamp, mentions_{A}, mentions_{B} from news"
     sql["news_records_json"] = sql["nested_json"] = news
     sql["collected_pages"] = sql["article_pages"]
+    sql["articles_array_json"] = sql["articles_json"]
+    sql["posts_csv_wide"] = sql["posts_csv"]
+    sql["toplines_csv"] = sql["topline_labels"]
+    key = "case doc_id % 3 when 1 then doc_id % 50 when 2 then doc_id end as key, doc_id"
+    scores, flags = sql["lexicon_score"], sql["language_id"]
+    sql["lexicon_score_by_row"] = f"select {key}, score from ({scores})"
+    sql["language_id_by_row"] = f"select {key}, is_en as in_place, is_en as by_join from ({flags})"
     sql["feature_export"] = sql["features_two_ratios"]
     return sql

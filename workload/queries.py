@@ -13,7 +13,7 @@ from moodline.functions import measures, text, time
 from moodline.operators import daily, evaluation, labels, language, lexicon, models, scoring
 from moodline.operators.prepare import propagate_flags, quality_filter, tag_sources
 from moodline.plans import features, preparation, run
-from moodline.schemas import label_of, mention, processed_news, score_of
+from moodline.schemas import TOPLINES, label_of, mention, processed_news, score_of
 from moodline.session import configure, stage, stage_path
 from moodline.sources import articles as article_search
 from moodline.sources import files, sinks
@@ -40,7 +40,7 @@ def report(df: DataFrame) -> DataFrame:
         elif isinstance(kind, T.IntegralType | T.BooleanType):
             column = column.cast("long")
         elif isinstance(kind, T.TimestampType):
-            column = F.unix_millis(column)
+            column = F.unix_micros(column)
         else:
             column = column.cast("string")
         shown.append(column.alias(field.name))
@@ -71,7 +71,6 @@ def prompt_template(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_articles(spark: SparkSession, sf: str) -> DataFrame:
-    """The search with its result cap: the earliest 500 hits."""
     return article_search.search_articles(
         t.articles(spark, sf),
         words=("for", "is", "that"),
@@ -79,8 +78,6 @@ def search_articles(spark: SparkSession, sf: str) -> DataFrame:
         after=date(2024, 1, 2),
         before=date(2024, 1, 12),
         equals={"language": "en"},
-        key="article_id",
-        cap=500,
     ).select("article_id", "title", "published_at")
 
 
@@ -153,7 +150,7 @@ def language_profiles(spark: SparkSession, sf: str) -> DataFrame:
 def language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = t.documents(spark, sf)
     profiles = language.build_profiles(docs, "text", "lang", t.LANGUAGES)
-    return language.flag_language(docs, profiles, key="doc_id", text="text").select(
+    return language.flag_language(docs, profiles, text="text").select(
         "doc_id", "is_en"
     )
 
@@ -170,8 +167,7 @@ def language_id_by_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored_texts(spark: SparkSession, sf: str, scorer: lexicon.Scorer) -> DataFrame:
     docs = t.documents(spark, sf)
-    scores = scorer(docs.select("doc_id", "text"), "doc_id", "text")
-    return lexicon.attach_scores(docs.select("doc_id"), scores, "doc_id")
+    return lexicon.score_rows(docs.select("doc_id", "text"), scorer, "text").drop("text")
 
 
 def lexicon_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,7 +188,6 @@ def _scored_documents(spark: SparkSession, sf: str) -> DataFrame:
         t.flagged_documents(spark, sf),
         lexicon.compound_scorer(t.lexicon(spark), None),
         ENTITIES,
-        key="doc_id",
     )
 
 
@@ -520,6 +515,48 @@ def posts_csv(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_posts(spark, path).drop("row_order")
 
 
+def posts_csv_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with more columns than are asked for, in another order."""
+    path = stage_path(spark, "posts-wide")
+    sinks.write_csv(t.posts(spark, sf).select(
+        F.lit("web").alias("source"), "country", "tweet", F.lit(7).alias("retweet_count"), "tweet_id",
+        "user_followers_count", "created_at", "user_join_date", "likes",
+    ), path)
+    return files.read_posts(spark, path).drop("row_order")
+
+
+def toplines_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Topline labels from a file with the columns such files have around the three that count."""
+    path = stage_path(spark, "toplines")
+    sinks.write_csv(t.toplines(spark, sf).select(
+        F.lit(2020).alias("cycle"), F.lit("President").alias("branch"), F.lit("polls-plus").alias("model"),
+        "modeldate", "ecwin_chal", F.lit(0.5).alias("popwin_inc"), "ecwin_inc",
+    ), path)
+    return labels.topline_labels(files.read_csv(spark, path, TOPLINES))
+
+
+def _awkward_keys(docs: DataFrame) -> DataFrame:
+    """Documents under keys that are null for a third of them and repeat for another."""
+    third = F.col("doc_id") % 3
+    key = F.when(third == 0, None).when(third == 1, F.col("doc_id") % 50).otherwise(F.col("doc_id"))
+    return docs.withColumn("key", key)
+
+
+def lexicon_score_by_row(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _awkward_keys(t.documents(spark, sf)).select("key", "doc_id", "text")
+    return lexicon.score_rows(docs, lexicon.compound_scorer(t.lexicon(spark), None), "text").drop("text")
+
+
+def language_id_by_row(spark: SparkSession, sf: str) -> DataFrame:
+    """Both ways of language identification, by size of the profiles, side by side."""
+    docs = t.documents(spark, sf)
+    profiles = language.build_profiles(docs, "text", "lang", t.LANGUAGES)
+    docs = _awkward_keys(docs).select("key", "doc_id", "text")
+    both = language.flag_language(docs, profiles, text="text", flag="in_place")
+    both = language.flag_language(both, profiles, text="text", flag="by_join", max_rows=0)
+    return both.drop("text")
+
+
 def sentiment_table(spark: SparkSession, sf: str) -> DataFrame:
     path = stage_path(spark, "sentiment")
     scored = daily.with_day(_scored_posts(spark, sf)).select(
@@ -534,8 +571,21 @@ def articles_json(spark: SparkSession, sf: str) -> DataFrame:
     sinks.write_articles(
         t.articles(spark, sf).withColumnRenamed("article_id", "uuid"), path
     )
-    lines = spark.read.schema(files.RAW_ARTICLES).json(path)
-    return lines.select("uuid", "title", "description", "published_at")
+    return files.read_articles(spark, path).select("uuid", "title", "description", "published_at")
+
+
+def articles_array_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from files that hold an array each, 25 articles to a file's line break."""
+    path = stage_path(spark, "articles-array")
+    record = F.struct(F.col("article_id").cast("string").alias("uuid"), "title", "description", "published_at")
+    (
+        t.articles(spark, sf)
+        .groupBy(F.floor(F.col("article_id") / article_search.PAGE_SIZE).alias("page"))
+        .agg(F.to_json(F.collect_list(record), {"timestampFormat": sinks.MICROSECONDS}).alias("value"))
+        .select("value")
+        .write.text(path)
+    )
+    return files.read_articles(spark, path).select("uuid", "title", "description", "published_at")
 
 
 def news_records_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -568,9 +618,10 @@ def _write_pages(spark: SparkSession, sf: str, path: str) -> None:
         t.articles(spark, sf)
         .withColumnRenamed("article_id", "uuid")
         .groupBy(F.floor(F.col("uuid") / article_search.PAGE_SIZE).alias("page"))
-        .agg(F.collect_list(F.struct("uuid", "title", "published_at")).alias("data"))
+        .agg(F.collect_list(F.struct("uuid", "title", "description", "published_at")).alias("data"))
         .select("data")
-        .write.json(path)
+        .write.option("timestampFormat", sinks.MICROSECONDS)
+        .json(path)
     )
 
 
@@ -578,6 +629,7 @@ PAGE_RECORD = (
     T.StructType()
     .add("uuid", T.LongType())
     .add("title", T.StringType())
+    .add("description", T.StringType())
     .add("published_at", T.TimestampType())
 )
 
@@ -585,7 +637,7 @@ PAGE_RECORD = (
 def article_pages(spark: SparkSession, sf: str) -> DataFrame:
     path = stage_path(spark, "pages")
     _write_pages(spark, sf, path)
-    return files.read_article_pages(spark, path, PAGE_RECORD, multiline=False)
+    return files.read_article_pages(spark, path, PAGE_RECORD)
 
 
 def collected_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -593,7 +645,7 @@ def collected_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages, out = stage_path(spark, "pages"), stage_path(spark, "collected")
     _write_pages(spark, sf, pages)
     for _ in range(2):
-        collect_pages(spark, pages, out, f"{out}-progress", PAGE_RECORD, multiline=False)
+        collect_pages(spark, pages, out, f"{out}-progress", PAGE_RECORD)
     return files.read_table(spark, out, PAGE_RECORD)
 
 
@@ -632,6 +684,11 @@ QUERIES: dict[str, Query] = {
         language_id_by_join,
         lexicon_score,
         lexicon_score_shifters,
+        lexicon_score_by_row,
+        language_id_by_row,
+        posts_csv_wide,
+        toplines_csv,
+        articles_array_json,
         mean_polarity,
         sentiment_label,
         softmax_label,
