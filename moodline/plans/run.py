@@ -33,6 +33,7 @@ from moodline.operators.scoring import (
 from moodline.plans.features import FEATURES, TWO_RATIOS, build_features
 from moodline.schemas import label_of, mention, score_of
 from moodline.session import stage
+from moodline.sources.sinks import write_params
 
 # Scorer names, batch sizes, and what "OLS" means in either split.
 COMPOUND, POLARITY, ASPECT = "VADER", "TextBlob", "ABSA"
@@ -53,6 +54,7 @@ class Run:
     threshold: float = DEFAULT_THRESHOLD
     label_type: str = FORECAST
     trade_type: str = "close"
+    market_only: bool = False  # market labels, whatever the label type
     rolling: bool = False
     model_options: Mapping[str, object] = field(default_factory=dict)
     feature_options: Mapping[str, object] = field(default_factory=dict)
@@ -143,17 +145,23 @@ def execute(
     *,
     key: str,
     sentiment: DataFrame | None = None,
+    params_root: str | None = None,
 ) -> tuple[Fit, DataFrame]:
     """One run: the fit and its one-row metrics. A stored ``sentiment`` table skips scoring.
+    Coefficients, where the model has some, are stored below ``params_root``.
 
     The feature table, a row per day, is stored before the fit: a fit reads its input
     many times and must not go back to the texts.
     """
-    labels = label_series(tables, run.label_type, run.trade_type, split=run.split)
+    labels = label_series(
+        tables, run.label_type, run.trade_type, split=run.split, market_only=run.market_only
+    )
     if sentiment is None:
         sentiment = score_texts(processed, run, scorers, key=key)
     features = stage(feature_table(sentiment, labels, run), "features")
     fit = fit_run(features, run)
+    if params_root is not None and fit.betas:
+        write_params(fit, params_root, run.split, run.sentiment, run.features)
     return fit, evaluate(fit.predictions, fit.label)
 
 
@@ -188,7 +196,9 @@ def scenario_grid(
     is then fitted on the stored daily table. Fits are small and independent jobs, so
     some run side by side.
     """
-    labels = label_series(tables, base.label_type, base.trade_type, split=base.split)
+    labels = label_series(
+        tables, base.label_type, base.trade_type, split=base.split, market_only=base.market_only
+    )
     jobs: list[tuple[DataFrame, Run]] = []
     feature_sets = list(features)
     for name in sentiments:

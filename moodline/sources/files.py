@@ -140,15 +140,17 @@ def read_nested_records(
     return parsed.select(F.inline(F.get("_nested", F.lit(0))))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a scan over all cores, by hash of a key, if it has fewer splits than cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan over all cores, in turn, if it has fewer splits than cores.
+
+    Not by a key: later joins and aggregations shuffle as they would without it.
 
     For work that costs much more per byte than a shuffle, on tables that come in a few
     small files. A large table has more splits than the cluster has cores and is left
     as it is. Use it on scans only: on other plans, counting splits would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

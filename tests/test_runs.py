@@ -200,3 +200,13 @@ def test_article_preparation(spark):
     out = preparation.prepare_articles(df, ["trump", "harris"]).collect()
     assert tuple(out[0]) == ("trump wins . so says harris", rows[0][2], 1, 1)
     assert tuple(out[1]) == ("other", None, 0, 0)
+
+
+def test_a_run_stores_its_coefficients(spark, processed, tables, scorers, tmp_path):
+    plan = replace(BASE, label_type=L.FORECAST, market_only=True)
+    fit, _ = run.execute(processed, tables, plan, scorers, key="tweet_id", params_root=str(tmp_path))
+    same, _ = run.execute(processed, tables, replace(BASE, label_type=L.MARKET), scorers, key="tweet_id")
+    assert fit.betas == pytest.approx(same.betas)
+    path = f"{tmp_path}/train/VADER_{plan.features}_{fit.name}_params"
+    row = spark.read.option("header", True).csv(path).first()
+    assert {k: float(row[k]) for k in fit.betas} == pytest.approx(dict(fit.betas))

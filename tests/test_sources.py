@@ -180,9 +180,9 @@ def test_partitioned_table_prunes(spark, tmp_path):
 
 def test_spread(spark):
     df = spark.range(100).coalesce(1)
-    assert files.spread(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert files.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 16)
-    assert files.spread(many, "id").rdd.getNumPartitions() == 16
+    assert files.spread(many).rdd.getNumPartitions() == 16
 
 
 def test_stage_folder(spark, monkeypatch):

@@ -619,6 +619,7 @@ def oracle_sql() -> dict[str, str]:
     news = f"with {NEWS} select textdata, timestamp // 1000 as timestamp, mentions_{A}, mentions_{B} from news"
     sql["news_records_json"] = sql["nested_json"] = news
     sql["collected_pages"] = sql["article_pages"]
+    sql["news_run_market_only"] = sql["news_run"]
     sql["articles_array_json"] = sql["articles_json"]
     sql["posts_csv_wide"] = sql["posts_csv"]
     sql["toplines_csv"] = sql["topline_labels"]

@@ -503,6 +503,16 @@ def news_run(spark: SparkSession, sf: str) -> DataFrame:
     return _params(fit)
 
 
+def news_run_market_only(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with forecast labels asked for and market labels put in their place."""
+    processed, tables, scorers = _run_inputs(spark, sf)
+    plan = run.Run(
+        ENTITIES, split="test", label_type=labels.FORECAST, market_only=True, sentiment=run.POLARITY
+    )
+    fit, _ = run.execute(processed, tables, plan, scorers, key="tweet_id")
+    return _params(fit)
+
+
 # --- sources and sinks: what is written is what is read back --------------------------
 
 
@@ -686,6 +696,7 @@ QUERIES: dict[str, Query] = {
         lexicon_score_shifters,
         lexicon_score_by_row,
         language_id_by_row,
+        news_run_market_only,
         posts_csv_wide,
         toplines_csv,
         articles_array_json,

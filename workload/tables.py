@@ -49,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
