@@ -189,6 +189,36 @@ m as (
   from series)"""
 
 
+SALES = """sales as (
+  select avg(l_extendedprice) / 100000 as x1, avg(l_tax) * 10 as x2,
+         avg(l_extendedprice * (1 - l_discount)) / 100000 as y
+  from lineitem group by cast(l_shipdate as date)),
+m as (
+  select count(*) as n, avg(x1) as m1, avg(x2) as m2, avg(y) as my, regr_sxx(y, x1) as s11,
+         regr_sxx(y, x2) as s22, regr_sxy(x1, x2) as s12, regr_sxy(y, x1) as s1y, regr_sxy(y, x2) as s2y,
+         regr_syy(y, x1) as syy
+  from sales)"""
+
+
+def _two_features(b1: str, b2: str) -> str:
+    """Coefficients and R² of a plane with given slopes through the means."""
+    r2 = "(2 * (b1 * s1y + b2 * s2y) - b1 * b1 * s11 - 2 * b1 * b2 * s12 - b2 * b2 * s22) / syy"
+    return f"""with {SALES}, slopes as (select *, {b1} as b1, {b2} as b2 from m)
+select 'price' as feature, {_r("b1")} as beta, {_r(r2)} as r2 from slopes
+union all select 'tax', {_r("b2")}, {_r(r2)} from slopes
+union all select 'intercept', {_r("my - b1 * m1 - b2 * m2")}, {_r(r2)} from slopes"""
+
+
+def _ridge_slopes(alpha: float) -> tuple[str, str]:
+    det = f"((s11 + {alpha}) * (s22 + {alpha}) - s12 * s12)"
+    return f"(s1y * (s22 + {alpha}) - s2y * s12) / {det}", f"(s2y * (s11 + {alpha}) - s1y * s12) / {det}"
+
+
+LASSO_KEEPS = "sign(s1y) * greatest(abs(s1y) - 0.0002 * n, 0) / s11"
+#: the second slope is 0 where its gradient at 0 is within the penalty; null would be no match
+LASSO_DROPS = f"case when abs(s2y - {LASSO_KEEPS} * s12) <= 0.0002 * n then cast(0 as double) end"
+
+
 def _one_feature(slope: str) -> str:
     """Coefficients and R² of a line with a given slope through the means."""
     r2 = "(2 * b * sxy - b * b * sxx) / syy"
@@ -553,6 +583,9 @@ def oracle_sql() -> dict[str, str]:
         "linear_fit": _one_feature("sxy / sxx"),
         "ridge_fit": _one_feature("sxy / (sxx + 2)"),
         "lasso_fit": _one_feature("sign(sxy) * greatest(abs(sxy) / n - 0.0005, 0) / (sxx / n)"),
+        "linear_fit_two": _two_features(*_ridge_slopes(0)),
+        "ridge_fit_two": _two_features(*_ridge_slopes(2)),
+        "lasso_fit_two": _two_features(LASSO_KEEPS, LASSO_DROPS),
         "arimax_fit": f"""with {SERIES}, {ARIMAX}
             select 'discount' as feature, {_r("beta")} as beta from b_x
             union all select 'ar1', {_r("beta")} from b_ar

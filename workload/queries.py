@@ -420,6 +420,23 @@ def lasso_fit(spark: SparkSession, sf: str) -> DataFrame:
     return _params(models.fit_model(_series(spark, sf), "Lasso", alpha=0.0005))
 
 
+def _sales(spark: SparkSession, sf: str) -> DataFrame:
+    return stage(t.daily_sales(spark, sf), "sales")
+
+
+def linear_fit_two(spark: SparkSession, sf: str) -> DataFrame:
+    return _params(models.fit_model(_sales(spark, sf), "Linear Regression"))
+
+
+def ridge_fit_two(spark: SparkSession, sf: str) -> DataFrame:
+    return _params(models.fit_model(_sales(spark, sf), "Ridge", alpha=2.0))
+
+
+def lasso_fit_two(spark: SparkSession, sf: str) -> DataFrame:
+    """A penalty that keeps the price and drops the tax."""
+    return _params(models.fit_model(_sales(spark, sf), "Lasso", alpha=0.0002))
+
+
 def gbt_fit(spark: SparkSession, sf: str) -> DataFrame:
     fit = models.fit_model(
         _series(spark, sf), "Gradient Boosting", n_estimators=20, max_depth=2
@@ -730,6 +747,9 @@ QUERIES: dict[str, Query] = {
         linear_fit,
         ridge_fit,
         lasso_fit,
+        linear_fit_two,
+        ridge_fit_two,
+        lasso_fit_two,
         gbt_fit,
         arimax_fit,
         ols_predictions,

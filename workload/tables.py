@@ -198,3 +198,16 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg((F.avg("l_discount") * 10).alias("discount"))
     )
     return discounts.join(prices, "date")
+
+
+def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(date, price, tax, p_win): a regressor with signal, one without, and a label per day."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(utc_day("l_shipdate").alias("date"))
+        .agg(
+            (F.avg("l_extendedprice") / 100000).alias("price"),
+            (F.avg("l_tax") * 10).alias("tax"),
+            (F.avg(F.col("l_extendedprice") * (1 - F.col("l_discount"))) / 100000).alias("p_win"),
+        )
+    )
