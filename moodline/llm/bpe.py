@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Characters of a partition that share one index: bounds a task's memory, not its result.
-INDEXED_CHARS = 12_000_000
+INDEXED_CHARS = 5_000_000
 
 END, GONE = -1, -2  # end of a word; a symbol merged into the one before it
 

@@ -43,7 +43,7 @@ FREQUENT = 256  # classes that share a shingle, over which it is indexed in comb
 PAIRS_PER_ENTRY = 2  # go on with central classes while more pairs than this are left
 ROUNDS = 6
 BLOCK = 1 << 20  # shingles that one verifying group holds, about
-CACHE = 400_000  # word hashes kept by a task
+CACHE = 100_000  # word hashes kept by a task
 
 _MIX = np.array([xxhash.xxh64_intdigest(f"shingle {k}") | 1 for k in range(SHINGLE)], np.uint64)
 
