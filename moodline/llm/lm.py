@@ -36,7 +36,6 @@ END = b""  # no word is empty
 TABLE = 1 << 18  # most frequent tokens that are looked up in place, at most
 CLASSES, WIDTH = 32, 32  # the last class holds the tokens outside the softmax
 ROWS = (1 << 14, 1 << 15)  # of the weight tables of classes and of tokens
-STRIDE = 4  # a gradient update takes every fourth position; the first is drawn for each document
 BATCH, STEP = 512, 0.2  # positions of an update; AdaGrad's step
 CHUNK = 1 << 14  # positions scored at once
 FLUSH = 400_000  # distinct tokens a task counts before it passes them on
@@ -210,8 +209,11 @@ class Trainer:
         table[at] -= STEP * gradient / np.sqrt(self.squares[which][at])[:, None]
 
 
-def train(docs: DataFrame, text: Column, lexicon, model: Model) -> Model:
-    """One pass of gradient updates over all ``docs``, averaged over the tasks."""
+UPDATES = "block int, part long, seen double, data binary"
+
+
+def updates(docs: DataFrame, text: Column, lexicon, model: Model) -> DataFrame:
+    """What each task's gradient updates over all positions of its documents change, in blocks."""
     spark = docs.sparkSession
     start = spark.sparkContext.broadcast(model.weights)
 
@@ -226,9 +228,7 @@ def train(docs: DataFrame, text: Column, lexicon, model: Model) -> Model:
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 numbers, _ = lexicon.value.read(t)
-                pick = slice(zlib.crc32(numbers[:8].tobytes()) % min(STRIDE, len(numbers)), None, STRIDE)
-                kind, place = targets(numbers)
-                held.append((contexts(numbers)[:, pick], kind[pick], place[pick]))
+                held.append((contexts(numbers), *targets(numbers)))
                 seen += len(held[-1][1])
                 if sum(len(h[1]) for h in held[-200:]) >= 16 * BATCH or len(held) >= 200:
                     flush(held)
@@ -245,8 +245,12 @@ def train(docs: DataFrame, text: Column, lexicon, model: Model) -> Model:
                     schema=pa.schema([("block", pa.int32()), ("part", pa.int64()), ("seen", pa.float64()), ("data", pa.binary())]),
                 )
 
-    schema = "block int, part long, seen double, data binary"
-    moved = stage(docs.select(text.alias("text")).mapInArrow(learn, schema), "lm-updates")
+    return stage(docs.select(text.alias("text")).mapInArrow(learn, UPDATES), "lm-updates")
+
+
+def train(docs: DataFrame, text: Column, lexicon, model: Model) -> Model:
+    """One pass of gradient updates over all positions of ``docs``, averaged over the tasks."""
+    moved = updates(docs, text, lexicon, model)
 
     def mean(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("part")
@@ -260,7 +264,7 @@ def train(docs: DataFrame, text: Column, lexicon, model: Model) -> Model:
         if not most:
             break
         grouped = moved.groupBy("block", F.floor(F.col("part") / GATHER).alias("of"))
-        moved = stage(grouped.applyInPandas(mean, schema), "lm-means")
+        moved = stage(grouped.applyInPandas(mean, UPDATES), "lm-means")
     weights = model.weights.copy()
     for row in moved.collect():  # as many weights as the model has
         at = row["block"] * BLOCK

@@ -278,6 +278,16 @@ def test_language_model_is_a_distribution():
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def test_language_model_learns_every_position(docs):
+    text = F.col("text").cast("string")
+    table = lm.counts_of(docs, text).toPandas()
+    lexicon = lm.Lexicon.of([bytes(t) for t in table["token"]], table["c"].to_numpy())
+    total = int(table["c"].sum())
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    moved = lm.updates(docs, text, shared, lm.Model.initial(lexicon, total))
+    assert moved.filter("block = 0").agg(F.sum("seen")).first()[0] == total
+
+
 def luhn(digits):
     return sum((int(d) * 2 - 9 * (d > "4")) if k % 2 else int(d) for k, d in enumerate(reversed(digits))) % 10 == 0
 
