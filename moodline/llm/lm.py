@@ -1,23 +1,26 @@
 """Language-model scores from a hashed maximum-entropy model with a class-factored softmax.
 
-The next token's probability is that of its class times that of the token in its class. Both are
-softmaxes over sums of weights, looked up by hashed features: none, the token before, the one before
-that (skip), and both together. The most frequent tokens make up the classes; the last class holds
-all others, which share its probability by their counts. Weights start at the counts' logarithms and
-are trained by gradient updates on all tasks side by side, each on its own documents; the tasks'
-updates are averaged by the tokens they saw, in groups of bounded size.
+Every token of the training documents has a place in a tree of classes, the frequent ones near its
+root: 31 classes of 32 tokens, an escape to 31 classes of 32 x 32, and so on, as deep as the counted
+vocabulary needs. The next token's probability is the product of softmaxes down its path, over sums of
+weights looked up by hashed features: none, the token before, the one before that (skip), and both
+together. The last leaf stands for all tokens that training has not seen. Weights start at the counts'
+logarithms, so that the untrained model gives the base score, and the hashed table grows with the
+vocabulary. They are trained by gradient updates on all tasks side by side, each on every position of
+its own documents. Tasks pass on the rows that they touched, in blocks; a row's updates are averaged by
+the positions that touched it, in groups of bounded size.
 
 Counts cover all training documents. Tokens frequent enough for a bounded table are looked up in
-place; the others are joined by shuffle, one row for each document and distinct token.
+place; the others are numbered by a sort and joined by shuffle, one row for each document and distinct
+token. After that texts are arrays of numbers.
 
 A null or empty text is one end token. Null ids count as empty text for the fold. Repeated rows are
-scored, and trained on, each. Without training documents nothing is known and all classes are alike.
-An empty table gives an empty result.
+scored, and trained on, each. Without training documents nothing is known. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -25,21 +28,24 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodline.llm.common import numbered, words
+from moodline.llm.common import words
 from moodline.session import stage
 
 END = b""  # no word is empty
 TABLE = 1 << 18  # most frequent tokens that are looked up in place, at most
-CLASSES, WIDTH = 32, 32  # the last class holds the tokens outside the softmax
-ROWS = (1 << 14, 1 << 15)  # of the weight tables of classes and of tokens
+CLASSES, WIDTH = 32, 32  # branches of a root, the last one the escape, and of all other nodes
+ROWS = (1 << 14, 1 << 15)  # their sum is the size of the weight table of a small vocabulary
+KINDS_PER_ROW = 8  # of a large one
 BATCH, STEP = 512, 0.2  # positions of an update; AdaGrad's step
-CHUNK = 1 << 14  # positions scored at once
+CHUNK = 1 << 13  # positions scored at once
 FLUSH = 400_000  # distinct tokens a task counts before it passes them on
-BLOCK = 1 << 16  # weights of a block
+BLOCK = 1 << 11  # rows of a block
+PER_ROW = 64  # positions that a training task has for each row of the table, if there are tasks enough
 GATHER = 64  # updates summed by one task
 
 OUTSIDE = CLASSES - 1
@@ -83,16 +89,16 @@ class Lexicon:
         order = sorted(range(len(tokens)), key=lambda i: (-counts[i], tokens[i]))
         return cls({bytes(tokens[i]): k for k, i in enumerate(order)}, np.asarray(counts, np.int64)[order])
 
-    def read(self, text: str | None) -> tuple[np.ndarray, list[bytes]]:
-        """Numbers of a text's tokens, the rare ones as -1 - hash, and the rare tokens."""
+    def read(self, text: str | None) -> tuple[list[int], list[bytes]]:
+        """Numbers of a text's tokens, the rare ones as -1 - place, and the distinct rare tokens."""
         tokens = words(text)
         tokens.append(END)
         get = self.numbers.get
         found = [get(t) for t in tokens]
-        rare = [t for t, k in zip(tokens, found, strict=True) if k is None]
-        if rare:
-            found = [k if k is not None else -1 - (zlib.crc32(t) & 0xFFFF) for t, k in zip(tokens, found, strict=True)]
-        return np.array(found, np.int64), rare
+        rare: dict[bytes, int] = {}
+        if None in found:
+            found = [k if k is not None else -1 - rare.setdefault(t, len(rare)) for t, k in zip(tokens, found, strict=True)]
+        return found, list(rare)
 
 
 def _mixed(h: np.ndarray, rows: int) -> np.ndarray:
@@ -101,14 +107,16 @@ def _mixed(h: np.ndarray, rows: int) -> np.ndarray:
     return ((h >> np.uint64(33)) % np.uint64(rows)).astype(np.int64)
 
 
-def contexts(numbers: np.ndarray) -> np.ndarray:
-    """Hashes of the four features at each position of a text."""
+def contexts(numbers: np.ndarray, starts: Sequence[int] = (0,)) -> np.ndarray:
+    """Hashes of the three features at each position of texts that begin at ``starts``."""
     own = (numbers + (1 << 20)).astype(np.uint64)
-    one = np.concatenate(([START], own[:-1]))
-    two = np.concatenate(([START, START], own[:-2]))[: len(own)]
+    starts = np.asarray(starts, np.int64)
+    one, two = np.roll(own, 1), np.roll(own, 2)
+    one[starts] = two[starts] = START
+    second = starts + 1
+    two[second[second < len(own)]] = START
     return np.stack(
         (
-            np.zeros(len(own), np.uint64),
             one * np.uint64(4) + np.uint64(1),
             two * np.uint64(4) + np.uint64(2),
             (one * np.uint64(0x9E3779B1) + two) * np.uint64(4) + np.uint64(3),
@@ -116,173 +124,290 @@ def contexts(numbers: np.ndarray) -> np.ndarray:
     )
 
 
-def targets(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class and place in the class."""
-    inside = (numbers >= 0) & (numbers < OUTSIDE * WIDTH)
-    return np.where(inside, numbers // WIDTH, OUTSIDE), np.where(inside, numbers % WIDTH, 0)
+class Tree:
+    """Paths of the numbers below ``leaves``: shell k has a root and 31 classes of 32^(k+1) numbers."""
+
+    def __init__(self, leaves: int):
+        self.leaves = leaves
+        self.shells: list[tuple[int, int, list[int]]] = []  # first number, numbers, first node of each level
+        self.partial: list[tuple[int, int]] = []  # nodes with fewer branches, and how many
+        self.nodes, start = 0, 0
+        while start < leaves:
+            depth = len(self.shells) + 1
+            size = min(leaves - start, OUTSIDE * WIDTH**depth)
+            more = start + size < leaves
+            levels = []
+            for level in range(depth + 1):
+                branches = -(-size // WIDTH ** (depth - level)) + (more and level == 0)
+                levels.append(self.nodes)
+                self.nodes += -(-branches // WIDTH)
+                if branches % WIDTH:
+                    self.partial.append((self.nodes - 1, branches % WIDTH))
+            self.shells.append((start, size, levels))
+            start += size
+
+    def paths(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in ``numbers``, node and branch of every step down."""
+        at, node, branch = [], [], []
+        for k, (start, size, levels) in enumerate(self.shells):
+            place = np.flatnonzero(numbers >= start)
+            if not len(place):
+                break
+            rank = numbers[place] - start
+            inside = rank < size
+            at.append(place)
+            node.append(np.full(len(place), levels[0]))
+            branch.append(np.where(inside, rank // WIDTH ** (k + 1), OUTSIDE))
+            place, rank = place[inside], rank[inside]
+            for level in range(1, k + 2):
+                at.append(place)
+                up = rank // WIDTH ** (k + 1 - level)
+                node.append(levels[level] + up // WIDTH)
+                branch.append(up % WIDTH)
+        return np.concatenate(at), np.concatenate(node), np.concatenate(branch)
+
+    def initial(self, ends: np.ndarray, mass: np.ndarray) -> np.ndarray:
+        """Weights of the constants: ``mass`` of all numbers below each of ``ends``, linear between."""
+        out = np.zeros((self.nodes, WIDTH), np.float32)
+        for k, (start, size, levels) in enumerate(self.shells):
+            for level, first in enumerate(levels):
+                last = levels[level + 1] if level <= k else self._after(k)
+                step = WIDTH ** (k + 1 - level)
+                edges = start + np.minimum(np.arange((last - first) * WIDTH + 1) * step, size)
+                below = np.interp(edges, ends, mass)
+                part = np.diff(below).reshape(-1, WIDTH)
+                if level == 0 and start + size < self.leaves:
+                    part[0, OUTSIDE] = mass[-1] - below[-1]
+                out[first:last] = np.log(np.maximum(part, 1e-9) / part.sum(axis=1, keepdims=True))
+        return out
+
+    def _after(self, k: int) -> int:
+        return self.shells[k + 1][2][0] if k + 1 < len(self.shells) else self.nodes
 
 
 class Model:
-    def __init__(self, weights: np.ndarray):
-        self.weights = weights
-        cut = ROWS[0] * CLASSES
-        self.classes = weights[:cut].reshape(ROWS[0], CLASSES)
-        self.tokens = weights[cut:].reshape(ROWS[1], WIDTH)
+    def __init__(self, weights: np.ndarray, tree: Tree | None = None):
+        table = weights.reshape(-1, WIDTH)
+        self.tree = tree or Tree(OUTSIDE * WIDTH + 1)
+        self.constants, self.hashed = table[: self.tree.nodes], table[self.tree.nodes :]
 
     @classmethod
-    def initial(cls, lexicon: Lexicon, total: int) -> Model:
-        """The counts' own model: what every context without features would say."""
-        model = cls(np.zeros(ROWS[0] * CLASSES + ROWS[1] * WIDTH, np.float32))
-        inside = np.zeros(OUTSIDE * WIDTH)
-        inside[: len(lexicon.counts[: len(inside)])] = lexicon.counts[: len(inside)]
-        by_class = inside.reshape(OUTSIDE, WIDTH)
-        mass = np.append(by_class.sum(axis=1), total - inside.sum()) + 1.0
-        none = np.zeros((4, 1), np.uint64)
-        model.classes[model.rows(none)[0, 0]] = np.log(mass / mass.sum())
-        for k in range(OUTSIDE):
-            row = model.token_rows(none, np.array([k]))[0, 0]
-            model.tokens[row] = np.log((by_class[k] + 0.1) / (by_class[k] + 0.1).sum())
+    def of(cls, tree: Tree, constants: np.ndarray, hashed: np.ndarray) -> Model:
+        model = cls(constants, tree)
+        model.hashed = hashed
         return model
 
-    def rows(self, features: np.ndarray) -> np.ndarray:
-        return _mixed(features, ROWS[0] - 1) + (features != 0)  # row 0 belongs to the constant
-
-    def token_rows(self, features: np.ndarray, of: np.ndarray) -> np.ndarray:
-        """Rows of the features within a class; the constants of all classes have rows of their own."""
-        hashed = _mixed(features * np.uint64(CLASSES) + of.astype(np.uint64), ROWS[1] - CLASSES) + CLASSES
-        return np.where(features == 0, of, hashed)
+    @classmethod
+    def rows_for(cls, tree: Tree) -> int:
+        """Hashed rows."""
+        return max(sum(ROWS), tree.leaves // KINDS_PER_ROW)
+
+    def sums(self, features: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logits at nodes, and the hashed rows they came from."""
+        rows = _mixed(features + node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), len(self.hashed))
+        z = self.constants[node]
+        for r in rows:
+            z += self.hashed[r]
+        for partial, branches in self.tree.partial:
+            z[node == partial, branches:] = -np.inf
+        return z, rows
+
+    def logs(self, numbers: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """Natural logarithm of the probability at each position."""
+        out = np.zeros(len(numbers))
+        for first in range(0, len(numbers), CHUNK):
+            n = numbers[first : first + CHUNK]
+            at, node, branch = self.tree.paths(n)
+            z, _ = self.sums(features[:, first : first + CHUNK][:, at], node)
+            z -= z.max(axis=1, keepdims=True)
+            own = z[np.arange(len(z)), branch].astype(np.float64)
+            own -= np.log(np.exp(z, out=z).sum(axis=1))
+            out[first : first + CHUNK] = np.bincount(at, own, len(n))
+        return out
 
     def log10(self, numbers: np.ndarray) -> float:
-        """Of the classes and tokens of a text; nothing for the tokens within the last class."""
-        total = 0.0
-        features = contexts(numbers)
-        kind, place = targets(numbers)
-        for at in range(0, len(numbers), CHUNK):
-            f, k, p = features[:, at : at + CHUNK], kind[at : at + CHUNK], place[at : at + CHUNK]
-            total += float(_log_softmax(self.classes, self.rows(f), k).sum())
-            inside = k < OUTSIDE
-            if inside.any():
-                rows = self.token_rows(f[:, inside], k[inside])
-                total += float(_log_softmax(self.tokens, rows, p[inside]).sum())
-        return total / np.log(10)
-
-
-def _sums(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = table[rows[0]]
-    for r in rows[1:]:
-        out = out + table[r]
-    return out
-
-
-def _log_softmax(table: np.ndarray, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
-    z = _sums(table, rows)
-    top = z.max(axis=1)
-    return z[np.arange(len(z)), target].astype(np.float64) - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+        """Of a text."""
+        return float(self.logs(numbers, contexts(numbers)).sum()) / np.log(10)
 
 
 class Trainer:
-    """AdaGrad on a copy of the weights; a row's step follows the mean square of its gradients."""
+    """AdaGrad on weights of its own; a row's step follows the mean square of its gradients."""
 
-    def __init__(self, model: Model):
-        self.model = Model(model.weights.copy())
-        self.squares = [np.full(r, 1.0, np.float32) for r in ROWS]
+    def __init__(self, tree: Tree, constants: np.ndarray, rows: int):
+        self.start = constants
+        self.model = Model.of(tree, constants.copy(), np.zeros((rows, WIDTH), np.float32))
+        self.squares = [np.full(r, 1.0, np.float32) for r in (tree.nodes, rows)]
+        self.touched = [np.zeros(r, np.int64) for r in (tree.nodes, rows)]
 
-    def update(self, features: np.ndarray, kind: np.ndarray, place: np.ndarray) -> None:
+    def update(self, numbers: np.ndarray, features: np.ndarray) -> None:
         model = self.model
-        self._step(0, model.classes, model.rows(features), kind)
-        inside = kind < OUTSIDE
-        if inside.any():
-            self._step(1, model.tokens, model.token_rows(features[:, inside], kind[inside]), place[inside])
-
-    def _step(self, which: int, table: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
-        z = _sums(table, rows)
-        z = np.exp(z - z.max(axis=1, keepdims=True))
+        at, node, branch = model.tree.paths(numbers)
+        z, rows = model.sums(features[:, at], node)
+        np.exp(z - z.max(axis=1, keepdims=True), out=z)
         z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(len(z)), target] -= 1  # the gradient
-        flat = rows.ravel()
+        z[np.arange(len(z)), branch] -= 1  # the gradient
+        self._step(0, model.constants, node, z)
+        self._step(1, model.hashed, rows.ravel(), z)
+
+    def _step(self, which: int, table: np.ndarray, flat: np.ndarray, z: np.ndarray) -> None:
         order = np.argsort(flat, kind="stable")
-        touched = flat[order]
-        first = np.flatnonzero(np.r_[True, touched[1:] != touched[:-1]])
+        sorted_ = flat[order]
+        first = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
         gradient = np.add.reduceat(z[order % len(z)], first, axis=0)
-        at = touched[first]
+        at = sorted_[first]
+        self.touched[which][at] += np.diff(first, append=len(flat))
         self.squares[which][at] += (gradient**2).mean(axis=1)
         table[at] -= STEP * gradient / np.sqrt(self.squares[which][at])[:, None]
 
+    def moved(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Block, its touched rows, the positions that touched each, and what that changed."""
+        touched = np.concatenate(self.touched)
+        nodes = len(self.start)
+        for first in range(0, len(touched), BLOCK):
+            rows = first + np.flatnonzero(touched[first : first + BLOCK])
+            if len(rows):
+                low, high = rows[rows < nodes], rows[rows >= nodes] - nodes
+                data = np.concatenate((self.model.constants[low] - self.start[low], self.model.hashed[high]))
+                yield first // BLOCK, rows - first, touched[rows], data
 
-UPDATES = "block int, part long, seen double, data binary"
 
+NUMBERED = "rid long, learn boolean, n_rare int, numbers array<int>, k array<int>, number array<int>"
 
-def updates(docs: DataFrame, text: Column, lexicon, model: Model) -> DataFrame:
-    """What each task's gradient updates over all positions of its documents change, in blocks."""
-    spark = docs.sparkSession
-    start = spark.sparkContext.broadcast(model.weights)
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        trainer, seen, held = Trainer(Model(start.value)), 0, []
+def _resolved(batch: pa.RecordBatch, unseen: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a batch's texts in a row, and where each begins."""
 
-        def flush(parts: list) -> None:
-            features, kind, place = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
-            for at in range(0, len(kind), BATCH):
-                trainer.update(features[:, at : at + BATCH], kind[at : at + BATCH], place[at : at + BATCH])
+    def flat(name: str) -> tuple[np.ndarray, np.ndarray]:
+        column = batch.column(name)
+        length = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), length.astype(np.int64)
 
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                numbers, _ = lexicon.value.read(t)
-                held.append((contexts(numbers), *targets(numbers)))
-                seen += len(held[-1][1])
-                if sum(len(h[1]) for h in held[-200:]) >= 16 * BATCH or len(held) >= 200:
-                    flush(held)
-                    held = []
-        if held:
-            flush(held)
-        if seen:
-            part = TaskContext.get().partitionId()
-            moved = trainer.model.weights - start.value
-            for at in range(0, len(moved), BLOCK):
-                data = moved[at : at + BLOCK].astype(np.float16).tobytes()
-                yield pa.RecordBatch.from_pylist(
-                    [{"block": at // BLOCK, "part": part, "seen": float(seen), "data": data}],
-                    schema=pa.schema([("block", pa.int32()), ("part", pa.int64()), ("seen", pa.float64()), ("data", pa.binary())]),
-                )
+    numbers, length = flat("numbers")
+    n_rare = batch.column("n_rare").to_numpy(zero_copy_only=False).astype(np.int64)
+    if n_rare.any():
+        base = np.cumsum(n_rare) - n_rare
+        slots = np.full(n_rare.sum(), unseen, np.int64)
+        k, found = flat("k")
+        slots[np.repeat(base, found) + k] = flat("number")[0]
+        rare = np.flatnonzero(numbers < 0)
+        numbers[rare] = slots[np.repeat(base, length)[rare] - 1 - numbers[rare]]
+    return numbers, np.cumsum(length) - length
 
-    return stage(docs.select(text.alias("text")).mapInArrow(learn, UPDATES), "lm-updates")
 
+UPDATES = "block int, part long, rows binary, seen binary, data binary"
 
-def train(docs: DataFrame, text: Column, lexicon, model: Model) -> Model:
-    """One pass of gradient updates over all positions of ``docs``, averaged over the tasks."""
-    moved = updates(docs, text, lexicon, model)
 
-    def mean(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("part")
-        seen = frame["seen"].sum()
-        total = sum(w * np.frombuffer(d, np.float16).astype(np.float64) for w, d in zip(frame["seen"], frame["data"], strict=True))
-        row = {"block": frame["block"].iloc[0], "part": frame["part"].iloc[0] // GATHER, "seen": seen}
-        return pd.DataFrame([row | {"data": (total / seen).astype(np.float16).tobytes()}])
+def updates(texts: DataFrame, constants, tree: Tree, rows: int) -> DataFrame:
+    """What each task's gradient updates over all positions of ``texts`` (NUMBERED) change, in blocks."""
 
-    while True:
-        most = moved.agg(F.max("part")).first()[0]
-        if not most:
-            break
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, seen = None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            trainer = trainer or Trainer(tree, constants.value, rows)
+            numbers, starts = _resolved(batch, tree.leaves - 1)
+            features = contexts(numbers, starts)
+            for at in range(0, len(numbers), BATCH):
+                trainer.update(numbers[at : at + BATCH], features[:, at : at + BATCH])
+        if trainer is not None:
+            part = TaskContext.get().partitionId()
+            for block, touched, times, data in trainer.moved():
+                columns = [touched.astype(np.uint16), times.astype(np.float64), data.astype(np.float16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int32()), pa.array([part], pa.int64()), *[pa.array([c.tobytes()], pa.binary()) for c in columns]],
+                    names=["block", "part", "rows", "seen", "data"],
+                )
+
+    return stage(texts.mapInArrow(learn, UPDATES), "lm-updates")
+
+
+def averaged(frame: pd.DataFrame) -> pd.DataFrame:
+    """Updates of one block as one: each row's by the positions that touched it."""
+    total, seen = np.zeros((BLOCK, WIDTH)), np.zeros(BLOCK)
+    for _, x in frame.sort_values("part").iterrows():
+        rows, times = np.frombuffer(x["rows"], np.uint16), np.frombuffer(x["seen"], np.float64)
+        total[rows] += times[:, None] * np.frombuffer(x["data"], np.float16).reshape(-1, WIDTH)
+        seen[rows] += times
+    at = np.flatnonzero(seen)
+    row = {"block": frame["block"].iloc[0], "part": frame["part"].min() // GATHER, "rows": at.astype(np.uint16).tobytes()}
+    data = (total[at] / seen[at][:, None]).astype(np.float16)
+    return pd.DataFrame([row | {"seen": seen[at].tobytes(), "data": data.tobytes()}])
+
+
+def train(texts: DataFrame, constants: np.ndarray, tree: Tree, positions: int) -> Model:
+    """One pass of gradient updates over all positions of ``texts``, averaged over the tasks."""
+    context = texts.sparkSession.sparkContext
+    rows = Model.rows_for(tree)
+    tasks = max(context.defaultParallelism, -(-positions // (PER_ROW * rows)))
+    moved = updates(texts.coalesce(tasks), context.broadcast(constants), tree, rows)
+    while moved.agg(F.max("part")).first()[0]:
         grouped = moved.groupBy("block", F.floor(F.col("part") / GATHER).alias("of"))
-        moved = stage(grouped.applyInPandas(mean, UPDATES), "lm-means")
-    weights = model.weights.copy()
-    for row in moved.collect():  # as many weights as the model has
-        at = row["block"] * BLOCK
-        weights[at : at + BLOCK] += np.frombuffer(row["data"], np.float16)
-    return Model(weights)
-
-
-def _frequent(counts: DataFrame) -> int:
-    """The count from which on a token is looked up in place."""
-    sizes = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    held, least = 0, None
-    # numbers of tokens by count: few of them are large
-    for row in sizes.orderBy(F.desc("c")).limit(TABLE).toLocalIterator():
-        held += row["n"]
+        moved = stage(grouped.applyInPandas(averaged, UPDATES), "lm-means")
+    own, hashed = constants.copy(), np.zeros((rows, WIDTH), np.float16)
+    for x in moved.toLocalIterator():  # as many rows as the model has
+        at = x["block"] * BLOCK + np.frombuffer(x["rows"], np.uint16).astype(np.int64)
+        data = np.frombuffer(x["data"], np.float16).reshape(-1, WIDTH)
+        low = at < tree.nodes
+        own[at[low]] += data[low]
+        hashed[at[~low] - tree.nodes] = data[~low]
+    return Model.of(tree, own, hashed)
+
+
+def _frequent(sizes: Sequence[tuple[int, int]]) -> int:
+    """The count from which on a token is looked up in place; ``sizes``: falling counts, tokens of each."""
+    held, least = 0, 1 << 62
+    for c, n in sizes:
+        held += n
         if held > TABLE:
             break
-        least = row["c"]
-    return least if least is not None else 1 << 62
+        least = c
+    return least
+
+
+def _others(counts: DataFrame, least: int, first: int) -> DataFrame:
+    """rare, number: the tokens below ``least`` by falling count, numbered from ``first`` on."""
+    order = counts.filter(F.col("c") < least).orderBy(F.desc("c"), "token")
+    rows = stage(order.select(F.col("token").alias("rare"), F.monotonically_increasing_id().alias("place")), "lm-others")
+    part = F.shiftright("place", 33)
+    sizes = rows.groupBy(part.alias("part")).count().orderBy("part").collect()  # a row for each task
+    offsets, at = [], first
+    for x in sizes:
+        offsets.append((x["part"], at))
+        at += x["count"]
+    table = counts.sparkSession.createDataFrame(offsets or [(0, first)], "part long, at long")
+    number = F.col("at") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.withColumn("part", part).join(F.broadcast(table), "part").select("rare", number.cast("int").alias("number"))
+
+
+def numbered_texts(docs: DataFrame, learn: Column, id_col: str, text: Column, lexicon, others: DataFrame | None) -> DataFrame:
+    """NUMBERED and id: texts as numbers. Where ``n_rare`` > 0 some are -1 - k; those not in k are unseen."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [lexicon.value.read(t) for t in batch.column(3).to_pylist()]
+            numbers = pa.array([n for n, _ in found], pa.list_(pa.int32()))
+            rare = pa.array([r for _, r in found], pa.list_(pa.binary()))
+            n_rare = pa.array([len(r) for _, r in found], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], n_rare, numbers, rare], names=["rid", "id", "learn", "n_rare", "numbers", "rare"]
+            )
+
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("rid"),
+        F.col(f"`{id_col}`").alias("id"),
+        F.coalesce(learn, F.lit(False)).alias("learn"),
+        text.alias("text"),
+    ).mapInArrow(read, f"rid long, id {kind}, learn boolean, n_rare int, numbers array<int>, rare array<binary>")
+    rows = stage(rows, "lm-texts")
+    if others is None:
+        none = F.lit(None).cast("array<int>")
+        return rows.drop("rare").withColumns({"k": none, "number": none})
+    each = rows.select("rid", F.posexplode("rare").alias("k", "rare"))
+    known = each.join(others, "rare").groupBy("rid").agg(F.collect_list(F.struct("k", "number")).alias("x"))
+    known = known.select("rid", F.col("x.k").alias("k"), F.col("x.number").alias("number"))
+    return stage(rows.drop("rare").join(known, "rid", "left"), "lm-numbers")
 
 
 def score(
@@ -292,71 +417,48 @@ def score(
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score; trained on rows where ``learn`` holds."""
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     text = F.col(f"`{text_col}`").cast("string")
-    training = docs.filter(learn)
-    counts = stage(counts_of(training, text), "lm-counts")
-    total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    least = _frequent(counts)
+    counts = stage(counts_of(docs.filter(learn), text), "lm-counts")
+    # numbers of tokens by count: large counts are few
+    sizes = sorted(((x["c"], x["count"]) for x in counts.groupBy("c").count().collect()), reverse=True)
+    c, n = (np.array([x[k] for x in sizes], np.int64) for k in (0, 1))
+    total, kinds = int((c * n).sum()), int(n.sum())
+    least = _frequent(sizes)
     table = counts.filter(F.col("c") >= least).toPandas()  # at most TABLE rows
     lexicon = Lexicon.of([bytes(t) for t in table["token"]], table["c"].to_numpy(np.int64))
-    shared = spark.sparkContext.broadcast(lexicon)
-    model = train(training, text, shared, Model.initial(lexicon, total)) if total else Model.initial(lexicon, 0)
-    trained = spark.sparkContext.broadcast(model.weights)
-    inside = min(len(lexicon.counts), OUTSIDE * WIDTH)
+    others = _others(counts, least, len(table)) if len(table) < kinds else None
+    texts = numbered_texts(docs, learn, id_col, text, context.broadcast(lexicon), others)
+    tree = Tree(kinds + 1)
+    ends = np.concatenate(([0], np.cumsum(n), [kinds + 1]))
+    mass = np.concatenate(([0.0], np.cumsum((c + 1.0) * n), [total + kinds + 1.0]))
+    constants = tree.initial(ends, mass)
+    if total:
+        model = train(texts.filter("learn").drop("id"), constants, tree, total)
+    else:
+        model = Model.of(tree, constants, np.zeros((1, WIDTH), np.float16))
+    trained = context.broadcast((model.constants, model.hashed))
     base_of = float(np.log10(total + kinds + 1))
-    #: counts and kinds in the last class, with one place for all unseen tokens
-    rest_of = float(np.log10(total - int(lexicon.counts[:inside].sum()) + kinds - inside + 1))
+    steps, logs = ends[1:-1], np.append(np.log10(c + 1.0), 0.0)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, lm = shared.value, Model(trained.value)
-        logs = np.log10(lex.counts + 1.0)
+        lm = Model.of(tree, *trained.value)
         for batch in batches:
-            out: list[tuple] = []
-            for t in batch.column(2).to_pylist():
-                numbers, rare = lex.read(t)
-                common = numbers[numbers >= 0]
-                spread = Counter(rare)
-                outer = common[common >= OUTSIDE * WIDTH]
-                n_outer = len(outer) + len(rare)
-                out.append(
-                    (
-                        len(numbers),
-                        len(common),
-                        float(logs[common].sum()) - len(numbers) * base_of,
-                        lm.log10(numbers) + float(logs[outer].sum()) - n_outer * rest_of,
-                        list(spread.keys()),
-                        list(spread.values()),
-                    )
-                )
-            columns = list(zip(*out, strict=True)) if out else [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+            if not batch.num_rows:
+                continue
+            numbers, starts = _resolved(batch, kinds)
+            length = np.diff(starts, append=len(numbers))
+            sums = [
+                np.add.reduceat((numbers < kinds).astype(np.int64), starts),
+                np.add.reduceat(logs[np.searchsorted(steps, numbers, side="right")], starts) - length * base_of,
+                np.add.reduceat(lm.logs(numbers, contexts(numbers, starts)), starts) / np.log(10),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
-                names=["rid", "id", "n_tokens", "n_known", "base", "model", "rare", "times"],
+                [batch.column("id"), pa.array(length), pa.array(sums[0]), pa.array(np.full(len(length), total)), *map(pa.array, sums[1:])],
+                names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = numbered(docs).select("rid", F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").cast("string").alias("text"))
-    rows = stage(
-        rows.mapInArrow(
-            scored,
-            f"rid long, id {kind}, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<long>",
-        ),
-        "lm-scores",
-    )
-    # rare tokens: what training has of them
-    each = rows.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", "x.rare", "x.times")
-    known = each.join(counts.filter(F.col("c") < least).withColumnRenamed("token", "rare"), "rare")
-    more = known.groupBy("rid").agg(
-        F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more")
-    )
-    zero = F.lit(0.0)
-    return rows.drop("rare", "times").join(more, "rid", "left").select(
-        F.col("id").alias("doc_id"),
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", zero)).alias("base_score"),
-        (F.col("model") + F.coalesce("more", zero)).alias("score"),
+    return texts.mapInArrow(
+        scored, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

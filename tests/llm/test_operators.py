@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -282,10 +283,45 @@ def test_language_model_learns_every_position(docs):
     text = F.col("text").cast("string")
     table = lm.counts_of(docs, text).toPandas()
     lexicon = lm.Lexicon.of([bytes(t) for t in table["token"]], table["c"].to_numpy())
-    total = int(table["c"].sum())
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-    moved = lm.updates(docs, text, shared, lm.Model.initial(lexicon, total))
-    assert moved.filter("block = 0").agg(F.sum("seen")).first()[0] == total
+    context = docs.sparkSession.sparkContext
+    texts = lm.numbered_texts(docs, F.lit(True), "doc_id", text, context.broadcast(lexicon), None).drop("id")
+    tree = lm.Tree(len(table) + 1)
+    moved = lm.updates(texts, context.broadcast(np.zeros((tree.nodes, lm.WIDTH), np.float32)), tree, 1000)
+    root = [np.frombuffer(r.seen)[0] for r in moved.filter("block = 0").collect()]
+    assert sum(root) == table["c"].sum()
+
+
+def test_language_model_tree_covers_the_vocabulary():
+    for leaves in (1, 31, 993, 40_000):
+        tree = lm.Tree(leaves)
+        start = tree.initial(np.array([0, leaves]), np.array([0.0, leaves]))
+        model = lm.Model.of(tree, start, np.zeros((1, lm.WIDTH), np.float16))
+        numbers = np.arange(leaves)
+        assert np.allclose(model.logs(numbers, np.zeros((3, leaves), np.uint64)), -math.log(leaves), atol=1e-4)
+        assert len(set(zip(*(x.tolist() for x in tree.paths(numbers)), strict=True))) >= leaves
+    assert lm.Model.rows_for(lm.Tree(10**7)) > 20 * lm.Model.rows_for(lm.Tree(1000))
+
+
+def test_language_model_averages_by_touch():
+    def part(k, rows, seen, value):
+        data = np.full((len(rows), lm.WIDTH), value, np.float16)
+        return {"block": 0, "part": k, "rows": np.array(rows, np.uint16).tobytes(), "seen": np.array(seen, float).tobytes(), "data": data.tobytes()}
+
+    got = lm.averaged(pd.DataFrame([part(0, [1, 5], [30, 4], 1.0), part(1, [1], [10], 2.0)])).iloc[0]
+    data = np.frombuffer(got["data"], np.float16).reshape(-1, lm.WIDTH)
+    assert np.frombuffer(got["rows"], np.uint16).tolist() == [1, 5] and data[:, 0].tolist() == [1.25, 1.0]
+
+
+def test_language_model_beats_the_base_score_on_rare_tokens(spark):
+    """Beyond the most frequent tokens, too, what follows what is learned."""
+    rnd = random.Random(6)
+    rows = []
+    for k in range(1500):
+        pairs = [rnd.randrange(1500) for _ in range(20)]
+        rows.append((k, " ".join(f"a{p} b{p}" for p in pairs), "en", "a"))
+    scores = lm.score(awkward(spark, rows).repartition(8), fold_of("doc_id", 7) != 2).toPandas()
+    held_out = scores[[fold(int(i), 7) == 2 for i in scores["doc_id"]]]
+    assert (held_out["score"] - held_out["base_score"]).sum() > 0.2 * held_out["n_tokens"].sum()
 
 
 def luhn(digits):
