@@ -81,15 +81,43 @@ def read_lexicon(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
 FAIL_FAST = {"mode": "FAILFAST"}
 
 
+END_MARK = "_end_of_document"
+
+
 def _documents(raw: DataFrame) -> DataFrame:
     """The JSON documents of whole files (``value``): one, or one on each line.
 
-    A file is taken by lines if each of its lines looks like a document of its own.
+    A file is taken by lines if each of its lines looks like a document of its own. Lines
+    end with a line feed; strings may hold any other break as it is.
     """
     text = F.trim(F.regexp_replace("value", "^\ufeff", ""))
-    broken = F.rlike(text, F.lit(r"(?m)^(?!\s*$)(?!\s*[{\[].*[}\]]\s*$)"))
-    lines = F.when(broken, F.array(text)).otherwise(F.split(text, "\\R"))
-    return raw.select(F.explode(lines).alias("document")).filter(F.trim("document") != "")
+    broken = F.rlike(text, F.lit(r"(?dm)^(?!\s*$)(?!\s*[{\[].*[}\]]\s*$)"))
+    lines = F.when(broken, F.array(text)).otherwise(F.split(text, "\r?\n"))
+    return raw.select(F.explode(lines).alias("document")).filter(F.rlike("document", F.lit("\\S")))
+
+
+def _records(documents: DataFrame, schema: T.StructType) -> DataFrame:
+    """The records of documents that are a record or an array of them, and nothing after that.
+
+    The parser stops after a first value, so a document is read as the first of two. The second
+    holds the document's hash: it is found in its place only if the first was all there was.
+    """
+    marked = T.StructType([*schema.fields, T.StructField(END_MARK, T.StringType())])
+    hashed = F.sha2("document", 256)
+    single = F.rlike("document", F.lit("^\\s*[{]"))
+    listed = F.when(single, F.concat(F.lit("["), "document", F.lit("]"))).otherwise(F.col("document"))
+    pair = F.concat(F.lit("["), listed, F.lit(f',[{{"{END_MARK}":"'), hashed, F.lit('"}]]'))
+    parsed = documents.select(
+        "document",
+        hashed.alias("hashed"),
+        single.alias("single"),
+        F.from_json(pair, T.ArrayType(T.ArrayType(marked)), FAIL_FAST).alias("pair"),
+    )
+    at_end = F.get(F.get("pair", F.lit(1)), F.lit(0))[END_MARK]
+    whole = (F.size("pair") == 2) & (at_end == F.col("hashed")) & (~F.col("single") | (F.size(F.get("pair", F.lit(0))) == 1))
+    broken = F.concat(F.lit("more than one JSON value in a document: "), F.substring("document", 1, 200))
+    rows = F.when(whole, F.get("pair", F.lit(0))).otherwise(F.raise_error(broken).cast(T.ArrayType(marked)))
+    return parsed.select(F.inline(rows)).drop(END_MARK)
 
 
 def read_articles(
@@ -98,19 +126,16 @@ def read_articles(
     """Articles from JSON files that hold an array of records, or one record per line.
 
     Files are told apart by what they hold, so each is read by one task; ``per_line``
-    promises lines, and files are split. Text that is no JSON is an error.
+    promises lines, and files are split. Text that is no JSON, or has anything after its
+    first value, is an error.
     """
-    if per_line:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    documents = _documents(spark.read.text(path, wholetext=True))
-    rows = F.from_json("document", T.ArrayType(schema), FAIL_FAST)  # a record is an array of one
-    return documents.select(F.inline(rows))
+    return _records(_documents(spark.read.text(path, wholetext=not per_line)), schema)
 
 
 def page_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """The articles of whole files of result pages."""
     page = T.StructType([T.StructField("data", T.ArrayType(schema))])
-    return _documents(raw).select(F.inline(F.from_json("document", page, FAIL_FAST)["data"]))
+    return _records(_documents(raw), page).select(F.inline("data"))
 
 
 def read_article_pages(
@@ -120,7 +145,8 @@ def read_article_pages(
 ) -> DataFrame:
     """Articles from result pages ``{"data": [...]}``, a page per file or per line.
 
-    Empty pages give no rows; text that is no JSON is an error.
+    Empty pages give no rows; text that is no JSON, or has anything after its first value, is
+    an error.
     """
     return page_rows(spark.read.text(path, wholetext=True), schema)
 

@@ -105,6 +105,31 @@ def test_ids_that_do_not_parse_are_errors(spark, tmp_path):
         files.read_posts(spark, str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize("mark", ["\u2028", "\u2029", "\x85"])
+def test_articles_may_hold_other_line_breaks(spark, tmp_path, mark):
+    rows = [{"uuid": str(k), "title": f"T{k}", "description": f"a{mark}b" if k == 3 else "x"} for k in range(6)]
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows), encoding="utf-8")
+    got = files.read_articles(spark, str(tmp_path)).collect()
+    assert sorted(r["uuid"] for r in got) == list("012345")
+    assert {r["uuid"]: r["description"] for r in got}["3"] == f"a{mark}b"
+    pages = [{"data": [r]} for r in rows]
+    (tmp_path / "lines.json").write_text("\r\n".join(json.dumps(r, ensure_ascii=False) for r in pages), encoding="utf-8", newline="")
+    assert files.read_article_pages(spark, str(tmp_path)).count() == 6
+
+
+@pytest.mark.parametrize("tail", ['\n{"uuid": "5", "ti', "\nx", "]", "}", ' {"uuid": "6"}', ', {"uuid": "6"}', "\r{}\r[]"])
+def test_what_follows_a_document_is_an_error(spark, tmp_path, tail):
+    error = "MALFORMED_RECORD|more than one JSON value"
+    lines = "\n".join(json.dumps({"uuid": str(k)}) for k in range(5))
+    for text in (lines, json.dumps([{"uuid": "1"}]), json.dumps({"uuid": "1"}, indent=1)):
+        (tmp_path / "a.json").write_text(text + tail, newline="")
+        with pytest.raises(Exception, match=error):
+            files.read_articles(spark, str(tmp_path)).collect()
+    (tmp_path / "a.json").write_text(json.dumps({"data": [{"uuid": "1"}]}, indent=1) + tail, newline="")
+    with pytest.raises(Exception, match=error):
+        files.read_article_pages(spark, str(tmp_path)).collect()
+
+
 def test_pages_per_line(spark, tmp_path):
     pages = [{"data": [{"uuid": f"{k}-{i}"} for i in range(k)]} for k in range(4)]
     (tmp_path / "p.json").write_text("\n".join(map(json.dumps, pages)))
