@@ -7,6 +7,8 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodline.session import stage
+
 #: White space and words as the operators define them: space and the controls 9 to 13 only.
 SPACES = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -24,14 +26,19 @@ def text_of(column: str) -> Column:
 def numbered(docs: DataFrame) -> DataFrame:
     """Every row as ``row`` (a struct of all its columns) with its number ``rid``.
 
-    Whatever the columns are called, nothing else can clash with them. Numbers follow
-    files and rows, so each scan of a stored table gives the same ones; pass tables,
-    not plans with a shuffle below.
+    Whatever the columns are called, nothing else can clash with them. Numbers hold for this
+    scan only: splits, and numbers with them, follow the cores at hand when a scan is planned.
+    What needs the rows twice takes ``stored_rows``.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     return docs.select(whole, F.monotonically_increasing_id().alias("rid"))
 
 
+def stored_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``numbered`` rows, written once: each pass over them meets the same numbers."""
+    return stage(numbered(docs), name)
+
+
 def unpacked(rows: DataFrame, like: DataFrame) -> DataFrame:
     """The columns of ``like`` back out of ``row``."""
     return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in like.columns])

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodline.llm.common import SPACES, numbered, unpacked
+from moodline.llm.common import SPACES, numbered, stored_rows, unpacked
 from moodline.session import stage
 
 #: The filter's 64-bit words: at most 2^20, so that its broadcast stays below 64 MB at any size.
@@ -86,9 +86,9 @@ def _groups(hashes: DataFrame, bloom: DataFrame, words: int) -> DataFrame:
     )
 
 
-def _prepared(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
+def _prepared(rows: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
     hashes = stage(
-        numbered(docs).select(
+        rows.select(
             F.col(f"row.`{id_col}`").alias("id"),
             "rid",
             text_sha256(F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))).alias("sha"),
@@ -104,7 +104,7 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     The text is read once, for its hash; all else works on rows of some 50 bytes.
     """
-    hashes, bloom, words = _prepared(docs, id_col, text_col)
+    hashes, bloom, words = _prepared(numbered(docs), id_col, text_col)
     groups = stage(_groups(hashes, bloom, words), "dedup-groups")
     looked_up = _probe(hashes, bloom, words)
     suspects = looked_up.filter("maybe").join(groups, "sha", "left")
@@ -130,7 +130,8 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns. Rows that miss the filter are not shuffled."""
-    hashes, bloom, words = _prepared(docs, id_col, text_col)
+    rows = stored_rows(docs, "dedup-rows")
+    hashes, bloom, words = _prepared(rows, id_col, text_col)
     groups = stage(_groups(hashes, bloom, words), "dedup-groups")
     extra = stage(
         _probe(hashes, bloom, words)
@@ -141,7 +142,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "dedup-extra",
     )
     sha = text_sha256(F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")))
-    looked_up = _probe(numbered(docs).withColumn("sha", sha), bloom, words)
+    looked_up = _probe(rows.withColumn("sha", sha), bloom, words)
     alone = looked_up.filter("not maybe")
     suspects = looked_up.filter("maybe").join(extra, "rid", "left_anti")
     return unpacked(alone.unionByName(suspects), docs)

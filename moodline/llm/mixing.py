@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodline.llm.common import WORD, numbered, unpacked
+from moodline.llm.common import WORD, numbered, stored_rows, unpacked
 from moodline.session import stage
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -170,10 +170,10 @@ def sampled(units: DataFrame, block: int = BLOCK) -> DataFrame:
         left = flown.filter("p > 0 and p < 1")
 
 
-def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share, most):
+def _planned(rows: DataFrame, id_col: str, text_col: str, source_col: str, weights, share, most):
     size = F.coalesce(F.regexp_count(F.col(f"row.`{text_col}`").cast("string"), F.lit(WORD)), F.lit(0))
     sizes = stage(
-        numbered(docs).select(
+        rows.select(
             "rid",
             F.col(f"row.`{id_col}`").alias("id"),
             F.col(f"row.`{source_col}`").cast("string").alias("source"),
@@ -207,7 +207,7 @@ def mix(
     most: float = MOST,
 ) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, times."""
-    plan = _planned(docs, id_col, text_col, source_col, weights, share, most)
+    plan = _planned(numbered(docs), id_col, text_col, source_col, weights, share, most)
     return plan.select(
         F.col("id").alias("doc_id"),
         "size",
@@ -228,13 +228,14 @@ def take(
     most: float = MOST,
 ) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
+    rows = stored_rows(docs, "mix-rows")
     plan = stage(
-        _planned(docs, id_col, text_col, source_col, weights, share, most)
+        _planned(rows, id_col, text_col, source_col, weights, share, most)
         .filter("times > 0")
         .select("rid", "times"),
         "mix-plan",
     )
-    rows = numbered(docs).join(plan, "rid")
+    rows = rows.join(plan, "rid")
     return unpacked(
         rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("times")))), docs
     )

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodline.llm.common import numbered, unpacked, words
+from moodline.llm.common import stored_rows, unpacked, words
 from moodline.operators.lookup import fits_broadcast
 from moodline.session import stage
 
@@ -98,8 +98,8 @@ def links(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """rid, id, n, sig (of the whole set), prefix. The only pass over all texts."""
+def _sets(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """rid, id, n, sig (of the whole set), prefix."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
@@ -116,7 +116,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 names=["rid", "id", "n", "sig", "prefix"],
             )
 
-    return numbered(docs).select(
+    return rows.select(
         "rid",
         F.col(f"row.`{id_col}`").cast("long").alias("id"),
         F.col(f"row.`{text_col}`").cast("string").alias("text"),
@@ -324,12 +324,12 @@ def _linked(index: DataFrame, sets: DataFrame) -> DataFrame:
     return comps
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """rid, id, n, first (the row that leads its component), component_id per document.
+def join(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """rid, id, n, first (the row that leads its component), component_id per row of ``stored_rows``.
 
     ``first`` is the rid of the component's smallest id, of its first row if ids repeat.
     """
-    every = stage(_sets(docs, id_col, text_col), "join-sets")
+    every = stage(_sets(rows, id_col, text_col), "join-sets")
     lead = F.struct(F.col("id").isNull().alias("last"), "id", "rid")
     some = every.filter("n > 0").groupBy("sig").agg(
         F.min(lead).alias("lead"), F.min("rid").alias("rep"), F.count(F.lit(1)).alias("copies")
@@ -349,7 +349,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             sets = pa.array([shingles(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["rid", "shingles"])
 
-    texts = numbered(docs).select("rid", F.col(f"row.`{text_col}`").cast("string").alias("text"))
+    texts = rows.select("rid", F.col(f"row.`{text_col}`").cast("string").alias("text"))
     sets = stage(with_only(texts, sharing, "rid").mapInArrow(whole, "rid long, shingles array<long>"), "join-full")
     comps = _linked(_index(_shared(sets)), sets)
     # lead of a component: the least lead of its classes
@@ -374,12 +374,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
-    return join(docs, id_col, text_col).select(
+    rows = stored_rows(docs.select(f"`{id_col}`", f"`{text_col}`"), "join-rows")
+    return join(rows, id_col, text_col).select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first row of each component, with all columns."""
-    gone = stage(join(docs, id_col, text_col).filter("first <> rid").select("rid"), "join-gone")
-    return unpacked(without(numbered(docs), gone, "rid"), docs)
+    rows = stored_rows(docs, "join-rows")
+    gone = stage(join(rows, id_col, text_col).filter("first <> rid").select("rid"), "join-gone")
+    return unpacked(without(rows, gone, "rid"), docs)

@@ -212,6 +212,39 @@ def test_mixing_meets_targets(spark):
     assert taken.columns == docs.columns and taken.count() == got["times"].sum()
 
 
+@pytest.mark.parametrize("step", ["near", "exact", "mix"])
+def test_row_numbers_hold_when_cores_change_between_passes(spark, tmp_path, monkeypatch, step):
+    """Each pass over a table is planned for the cores of its moment."""
+    module, between, run = {
+        "near": (ngram_join, "_sharing", ngram_join.drop_near_copies),
+        "exact": (exact_dedup, "_groups", exact_dedup.drop_copies),
+        "mix": (mixing, "targets", mixing.take),
+    }[step]
+    rnd = random.Random(8)
+    texts = [" ".join(f"w{rnd.randrange(5000)}" for _ in range(rnd.randrange(20, 60))) for _ in range(150)]
+    awkward(spark, [(k, texts[k % 150], "en", "ab"[k % 2]) for k in range(300)]).repartition(8).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    cores, cost = "spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"
+    monkeypatch.setattr(module, between, (lambda f: lambda *a: (spark.conf.set(cores, "1"), f(*a))[1])(getattr(module, between)))
+    try:
+        spark.conf.set(cost, "1")
+        if step == "mix":
+            want = Counter({(r.doc_id): r.times for r in mixing.mix(docs).collect() if r.times})
+        spark.conf.set(cores, "8")
+        got = Counter(r.doc_id for r in run(docs).collect())
+    finally:
+        spark.conf.unset(cores)
+        spark.conf.unset(cost)
+    if step == "mix":
+        taken = {k: sum(len(texts[i % 150].split()) * n for i, n in x.items() if i % 2 == k) for x in (got,) for k in (0, 1)}
+        due = {k: sum(len(texts[i % 150].split()) * n for i, n in want.items() if i % 2 == k) for k in (0, 1)}
+        assert all(abs(taken[k] - due[k]) < 5 for k in (0, 1))
+    elif step == "exact":
+        assert got == Counter(range(150))
+    else:
+        assert sorted(k % 150 for k in got.elements()) == list(range(150))
+
+
 def test_flight_keeps_both_totals():
     rng = np.random.default_rng(0)
     p, size = rng.random(500), rng.integers(1, 400, 500)
