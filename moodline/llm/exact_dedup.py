@@ -1,8 +1,8 @@
-"""Exact deduplication by two passes over a Bloom filter, in DataFrame functions only.
+"""Exact deduplication by a count of filter cells and a Bloom filter, in DataFrame functions only.
 
-The first pass sets bits for every text's hash and notes those that were set before; they make
-up a second, bounded filter of possibly repeated hashes. The second pass looks every row up in it.
-Rows that miss it are alone for certain and pass straight through; only the others shuffle, by
+The first pass is an exact count: each text's hash falls into a cell, a word and two bits of it,
+and every distinct cell of a task is shuffled, as one narrow row. Cells of more than one row make
+up a bounded Bloom filter of possibly repeated hashes. The second pass looks every row up in it. Rows that miss it are alone for certain and pass straight through; only the others shuffle, by
 the SHA-256 of their text, so a false hit costs time and never a wrong result.
 
 A null text is the empty text; empty texts are copies of each other. Of rows that share the
