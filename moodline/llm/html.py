@@ -49,6 +49,7 @@ NAMES = frozenset(
     "sidebar signup social sponsor sponsored subscribe toolbar widget complementary contentinfo dialog".split()
 )
 OUTSIDE_ONLY = frozenset("header masthead topbar alert side".split())  # inside an article these are its own
+STATES = frozenset("has with without no layout".split())  # say what is beside an element: has-sidebar
 CONTENT = frozenset("article body container content entry has layout main page post story text with wrapper".split())
 
 #: Default weights. Words: plain text, links, boilerplate beside an article, others beside it, and
@@ -90,10 +91,11 @@ def _boilerplate(name: str, attributes: str, inside: bool) -> bool:
         return False
     if _HIDDEN.search(attributes):
         return True
-    parts = {p for _, v in _NAMED.findall(attributes) for p in _PARTS.split(v.lower())}
-    if parts & CONTENT and not parts & {"comment", "comments"}:
-        return False
-    return bool(parts & NAMES) or (not inside and bool(parts & OUTSIDE_ONLY))
+    names = [set(_PARTS.split(n)) for _, v in _NAMED.findall(attributes) for n in v.lower().split()]
+    if any(n & NAMES and not n & STATES for n in names):
+        return True
+    parts = set().union(*names)
+    return not inside and not parts & CONTENT and bool(parts & OUTSIDE_ONLY)
 
 
 @dataclass

@@ -415,6 +415,14 @@ def test_html_main_text(element):
     assert html.main_text(PAGE.replace("{0}", element), html.DEFAULTS) == want
 
 
+@pytest.mark.parametrize("name", ["ad-container", "ad-wrapper", "sidebar-content", "newsletter-body", "text ad"])
+def test_html_boilerplate_names_win(name):
+    page = PAGE.replace("{0}", "article")
+    assert html.main_text(page.replace('class="ad"', f'class="{name}"'), html.DEFAULTS) == html.main_text(page, html.DEFAULTS)
+    state = page.replace("<article><h1>", '<article class="content has-sidebar"><h1>')
+    assert html.main_text(state, html.DEFAULTS) == html.main_text(page, html.DEFAULTS)
+
+
 def test_html_edges(spark):
     pages = spark.createDataFrame(
         [(1, "u", None, "x"), (2, None, "", "x"), (2, None, "", "x"), (3, "u", "<p>only", "x"), (4, "u", "<" * 5000, "x"),
