@@ -91,7 +91,7 @@ class Scorers:
 
 
 def score_texts(
-    processed: DataFrame, run: Run, scorers: Scorers, *, key: str, carry: Sequence[str] = ()
+    processed: DataFrame, run: Run, scorers: Scorers, *, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Sentiment columns per entity: (carry..., timestamp, post columns, flags, labels, scores).
 
@@ -143,7 +143,6 @@ def execute(
     run: Run,
     scorers: Scorers,
     *,
-    key: str,
     sentiment: DataFrame | None = None,
     params_root: str | None = None,
 ) -> tuple[Fit, DataFrame]:
@@ -157,7 +156,7 @@ def execute(
         tables, run.label_type, run.trade_type, split=run.split, market_only=run.market_only
     )
     if sentiment is None:
-        sentiment = score_texts(processed, run, scorers, key=key)
+        sentiment = score_texts(processed, run, scorers)
     features = stage(feature_table(sentiment, labels, run), "features")
     fit = fit_run(features, run)
     if params_root is not None and fit.betas:
@@ -184,7 +183,6 @@ def scenario_grid(
     scorers: Scorers,
     base: Run,
     *,
-    key: str,
     sentiments: Iterable[str],
     features: Iterable[str],
     models: Sequence[tuple[str, Mapping[str, object]]],
@@ -203,7 +201,7 @@ def scenario_grid(
     feature_sets = list(features)
     for name in sentiments:
         scoring = replace(base, sentiment=name)
-        scored = score_texts(processed, scoring, scorers, key=key)
+        scored = score_texts(processed, scoring, scorers)
         if len(feature_sets) > 1:
             scored = stage(scored, "sentiment")
         for feature_set in feature_sets:

@@ -94,23 +94,23 @@ BASE = run.Run(("trump", "biden"))
     ],
 )
 def test_run(processed, tables, scorers, plan, features):
-    fit, metrics = run.execute(processed, tables, plan, scorers, key="tweet_id")
+    fit, metrics = run.execute(processed, tables, plan, scorers)
     assert fit.features == features
     row = metrics.first()
     assert row["n"] == DAYS and 0 <= row["accuracy"] <= 1
 
 
 def test_stored_sentiment_skips_scoring(processed, tables, scorers):
-    scored = run.score_texts(processed, BASE, scorers, key="tweet_id")
+    scored = run.score_texts(processed, BASE, scorers)
     assert "trump_sentiment_score" in scored.columns and "textdata" not in scored.columns
-    a, _ = run.execute(processed, tables, BASE, scorers, key="tweet_id")
-    b, _ = run.execute(None, tables, BASE, run.Scorers(), key="tweet_id", sentiment=scored)
+    a, _ = run.execute(processed, tables, BASE, scorers)
+    b, _ = run.execute(None, tables, BASE, run.Scorers(), sentiment=scored)
     assert a.betas == pytest.approx(b.betas)
 
 
 def test_aspect_scores_are_not_carried(processed, scorers):
     plan = run.Run(BASE.entities, sentiment=run.ASPECT)
-    out = run.score_texts(processed, plan, scorers, key="tweet_id")
+    out = run.score_texts(processed, plan, scorers)
     assert not [c for c in out.columns if c.endswith("_score")]
 
 
@@ -120,7 +120,6 @@ def test_grid(processed, tables, scorers):
         tables,
         scorers,
         BASE,
-        key="tweet_id",
         sentiments=[run.COMPOUND, run.ASPECT],
         features=[TWO_RATIOS, ONE_RATIO],
         models=[("OLS", {}), ("Ridge", {"alpha": 1.0})],
@@ -155,7 +154,7 @@ def test_enhanced_per_entity(processed, tables, scorers):
 
     labels = L.label_series(tables)
     keep = ["timestamp", "is_en", "likes", "user_join_date", "user_followers_count"]
-    scored = run.score_texts(processed, BASE, scorers, key="tweet_id")
+    scored = run.score_texts(processed, BASE, scorers)
     rows = long_by_entity(scored, BASE.entities, keep)
     mixed = build_features(rows, labels, BASE.entities, ENHANCED)
     own = build_features(rows, labels, BASE.entities, ENHANCED, per_entity=True)
@@ -204,8 +203,8 @@ def test_article_preparation(spark):
 
 def test_a_run_stores_its_coefficients(spark, processed, tables, scorers, tmp_path):
     plan = replace(BASE, label_type=L.FORECAST, market_only=True)
-    fit, _ = run.execute(processed, tables, plan, scorers, key="tweet_id", params_root=str(tmp_path))
-    same, _ = run.execute(processed, tables, replace(BASE, label_type=L.MARKET), scorers, key="tweet_id")
+    fit, _ = run.execute(processed, tables, plan, scorers, params_root=str(tmp_path))
+    same, _ = run.execute(processed, tables, replace(BASE, label_type=L.MARKET), scorers)
     assert fit.betas == pytest.approx(same.betas)
     path = f"{tmp_path}/train/VADER_{plan.features}_{fit.name}_params"
     row = spark.read.option("header", True).csv(path).first()

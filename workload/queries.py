@@ -265,7 +265,6 @@ def _scored_posts(spark: SparkSession, sf: str) -> DataFrame:
         t.flagged_posts(spark, sf),
         lexicon.compound_scorer(t.lexicon(spark), None),
         ENTITIES,
-        key="tweet_id",
     )
 
 
@@ -500,7 +499,6 @@ def scenario_grid(spark: SparkSession, sf: str) -> DataFrame:
         tables,
         scorers,
         run.Run(ENTITIES),
-        key="tweet_id",
         sentiments=[run.COMPOUND, run.POLARITY, run.ASPECT],
         features=[features.TWO_RATIOS, features.ONE_RATIO],
         models=[
@@ -516,7 +514,7 @@ def news_run(spark: SparkSession, sf: str) -> DataFrame:
     """One run of the test split: market labels, two ratios, OLS without intercept."""
     processed, tables, scorers = _run_inputs(spark, sf)
     plan = run.Run(ENTITIES, split="test", label_type=labels.MARKET, sentiment=run.POLARITY)
-    fit, _ = run.execute(processed, tables, plan, scorers, key="tweet_id")
+    fit, _ = run.execute(processed, tables, plan, scorers)
     return _params(fit)
 
 
@@ -526,7 +524,7 @@ def news_run_market_only(spark: SparkSession, sf: str) -> DataFrame:
     plan = run.Run(
         ENTITIES, split="test", label_type=labels.FORECAST, market_only=True, sentiment=run.POLARITY
     )
-    fit, _ = run.execute(processed, tables, plan, scorers, key="tweet_id")
+    fit, _ = run.execute(processed, tables, plan, scorers)
     return _params(fit)
 
 
