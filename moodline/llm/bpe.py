@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from moodline.llm.common import Parcel
+
 #: The published split pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -212,7 +214,7 @@ def tokenize(
     kept = [c for c in keep if c not in own.names]
     chosen = docs.select(docs[f"`{text_col}`"].cast("string").alias("ids"), *[docs[f"`{c}`"] for c in kept])
     schema = T.StructType([*chosen.schema.fields[1:], *own.fields])
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
+    shared = Parcel(docs.sparkSession.sparkContext, Vocabulary.read(path))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared.value

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+from pyspark import SparkContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,22 @@ def unpacked(rows: DataFrame, like: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in like.columns])
 
 
+class Parcel:
+    """A broadcast of objects whose classes travel with them: workers may lack this package."""
+
+    def __init__(self, context: SparkContext, value: object):
+        self.sent, self.held = context.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self) -> dict:
+        return {"sent": self.sent, "held": None}
+
+    @property
+    def value(self):
+        if self.held is None:
+            self.held = cloudpickle.loads(self.sent.value)
+        return self.held
+
+
 def words(text: str | None) -> list[bytes]:
     """Words with A-Z in lower case. Bytes split at space and controls 9 to 13, nothing else."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

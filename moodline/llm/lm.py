@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodline.llm.common import words
+from moodline.llm.common import Parcel, words
 from moodline.session import stage
 
 END = b""  # no word is empty
@@ -428,7 +428,7 @@ def score(
     table = counts.filter(F.col("c") >= least).toPandas()  # at most TABLE rows
     lexicon = Lexicon.of([bytes(t) for t in table["token"]], table["c"].to_numpy(np.int64))
     others = _others(counts, least, len(table)) if len(table) < kinds else None
-    texts = numbered_texts(docs, learn, id_col, text, context.broadcast(lexicon), others)
+    texts = numbered_texts(docs, learn, id_col, text, Parcel(context, lexicon), others)
     tree = Tree(kinds + 1)
     ends = np.concatenate(([0], np.cumsum(n), [kinds + 1]))
     mass = np.concatenate(([0.0], np.cumsum((c + 1.0) * n), [total + kinds + 1.0]))
