@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import bpe, exact_dedup, html, langid, lm, mixing, ngram_join, pii, topk, toxicity
+from moodline.llm import alignment, bpe, exact_dedup, html, langid, lm, mixing, ngram_join, pii, quality, runs, topk, toxicity
 from moodline.llm.common import fold_of, table
 from moodline.session import configure
 
@@ -71,6 +71,29 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.digest(table(configure(spark), sf, "documents"))
+
+
+def op12_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(configure(spark), sf, "documents"), table(spark, sf, "labels")
+    found = quality.classify(docs, labels, fold_of("doc_id", 5) != 0)
+    return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    first, second = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    hashed = alignment.align(
+        table(configure(spark), sf, "documents"),
+        first,
+        second,
+        groups_as=lambda g: F.when(g == "", F.lit("")).otherwise(F.sha2(g, 256)),
+    )
+    return hashed.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)
 }

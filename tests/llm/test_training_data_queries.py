@@ -24,6 +24,9 @@ COLUMNS = {
     8: "doc_id n_shingles component_id",
     9: "doc_id size source_size target taken",
     10: "doc_id held_out lang_pred score",
+    11: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    12: "doc_id held_out score predicted",
+    13: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
@@ -38,7 +41,7 @@ def duck():
 
 def test_all_are_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries() and set(registry.ORACLE) <= set(names)
 
 
