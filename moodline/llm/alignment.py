@@ -38,11 +38,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from moodline.llm.bpe import byte_letters
+from moodline.llm.bpe import PATTERN, byte_letters
 from moodline.llm.common import Parcel, text_of
 from moodline.operators.lookup import lookup_join
 from moodline.session import stage
@@ -225,21 +226,47 @@ def numbers_as_text(n: int) -> np.ndarray:
     return np.array([[b"%d%s" % (k, mark) for k in range(n)] for mark in (b",", b"|", b";")], object)
 
 
+def _by_ranks(spec: dict, vocab: dict[str, int], of: np.ndarray) -> Callable[[list[str]], Iterator[list[int]]] | None:
+    """Encoder for a file whose ids are in the order of its merges and that splits in the published way.
+
+    Ids are then ranks, which the faster library takes. None for other files.
+    """
+    merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    ranked = all(vocab.get(a + b) == 256 + k for k, (a, b) in enumerate(merges)) and len(vocab) == 256 + len(merges)
+    split = spec.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    options = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+    if not (ranked and plain) or spec.get("normalizer") or any(spec["model"].get(o) for o in options):
+        return None
+    ranks = {of[i]: i for i in vocab.values()}
+    encoding = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: map(encoding.encode_ordinary, texts)
+
+
+def _by_file(byte_bpe: str) -> Callable[[list[str]], Iterator[list[int]]]:
+    """Encoder for any file, by the library whose format it has."""
+    whole = Tokenizer.from_str(byte_bpe)
+    whole.no_truncation()
+    whole.no_padding()
+    whole.encode_special_tokens = True
+    return lambda texts: (e.ids for e in whole.encode_batch_fast(texts, add_special_tokens=False))
+
+
 class Tokenizers:
     """Both tokenizers with the bytes of their tokens. Built from the files' contents, once per worker."""
 
     def __init__(self, byte_bpe: str, pieces: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
-        self.first = Tokenizer.from_str(byte_bpe)
-        self.first.no_truncation()
-        self.first.no_padding()
-        self.first.encode_special_tokens = True
         letters = byte_letters()
         spec = json.loads(byte_bpe)
-        vocab = {**{t["content"]: t["id"] for t in spec.get("added_tokens") or []}, **spec["model"]["vocab"]}
-        self.bytes_a = np.full(max(vocab.values()) + 1, b"", object)
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
+        vocab = {t: i for t, i in spec["model"]["vocab"].items() if t not in added}
+        self.bytes_a = np.full(max([*vocab.values(), *added.values()]) + 1, b"", object)
         for token, i in vocab.items():
-            self.bytes_a[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+            self.bytes_a[i] = bytes(letters[c] for c in token)
+        for token, i in added.items():
+            self.bytes_a[i] = token.encode()
+        self.first = _by_ranks(spec, vocab, self.bytes_a) or _by_file(byte_bpe)
         self.second = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         n = self.second.get_piece_size()
         self.bytes_b = np.full(n, b"", object)
@@ -263,10 +290,9 @@ class Tokenizers:
         ends = np.cumsum([len(t) for t in texts])
         for k in np.unique(ends // ENCODED).tolist():
             some = [t.decode("utf-8", "replace") for t, e in zip(texts, ends, strict=True) if e // ENCODED == k]
-            firsts = self.first.encode_batch_fast(some, add_special_tokens=False)
             seconds = self.second.encode([t[1:] for t in some], out_type=int, num_threads=1)
-            for a, b in zip(firsts, seconds, strict=True):
-                yield np.array(a.ids, np.int32), np.array(b, np.int32)
+            for a, b in zip(self.first(some), seconds, strict=True):
+                yield np.array(a, np.int32), np.array(b, np.int32)
 
     def faithful(self, a: np.ndarray, b: np.ndarray, text: bytes) -> bool:
         return b"".join(self.bytes_a[a].tolist()) == text and b"".join(self.bytes_b[b].tolist()) == text

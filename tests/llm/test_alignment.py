@@ -24,6 +24,12 @@ def both():
         return alignment.Tokenizers(first.read(), second.read())
 
 
+@pytest.fixture(scope="module")
+def by_file():
+    with open(FILES[0], encoding="utf-8") as first:
+        return alignment._by_file(first.read())
+
+
 def parts(n):
     """Token sizes that add up to n."""
     return st.lists(st.integers(0, 1), min_size=n, max_size=n).map(
@@ -73,6 +79,12 @@ def test_any_grouping_gives_the_same(stream, random):
     assert got == want and len(links([])[0]) == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(st.text(alphabet=st.sampled_from("ab é漢😀\n\t  ‍'sdt1²½_-%<|endoftext|>") | st.characters(codec="utf-8"), max_size=60)))
+def test_both_encoders_agree(both, by_file, texts):
+    assert [list(x) for x in both.first(texts)] == [list(x) for x in by_file(texts)]
+
+
 def test_ranges_cover_the_text():
     text = b" " + b"some words " * 500 + b"x" * 9000 + b" and so on " * 50
     found = ranges_of(text, 512)
