@@ -400,28 +400,25 @@ def aligned(docs: DataFrame, byte_bpe: str, pieces: bytes, id_col: str, text_col
         return done
     tree = stage(ranges.repartition("rid", "place").mapInArrow(by_range, f"{lead}, {FIELDS}"), "align-fragments")
 
-    def composed(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("place")
-        total = reduce(Fragment.__add__, (Fragment.unpacked(*row) for row in frame[_NAMES].itertuples(index=False)))
-        row = frame.iloc[0]
-        return pd.DataFrame(
-            [(row["doc_id"], row["rid"], row["place"] // FAN, row["parts"], *total.packed())],
-            columns=["doc_id", "rid", "place", "parts", *_NAMES],
-        )
-
-    while most > 1:
-        tree = (
-            tree.groupBy("rid", F.floor(F.col("place") / FAN).alias("branch"))
-            .applyInPandas(composed, f"{lead}, {FIELDS}")
-        )
-        most = -(-most // FAN)
-
-    def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(*[c.to_pylist() for c in batch.columns[4:]], strict=True)
-            yield _rows([Fragment.unpacked(*r).whole() for r in rows], [batch.column(0)], ["doc_id"])
-
-    return done.unionByName(tree.mapInArrow(closed, f"doc_id {kind}, {FIELDS}"))
+    def composing(last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def composed(frame: pd.DataFrame) -> pd.DataFrame:
+            frame = frame.sort_values("place")
+            total = reduce(Fragment.__add__, (Fragment.unpacked(*row) for row in frame[_NAMES].itertuples(index=False)))
+            total = total.whole() if last else total
+            row = frame.iloc[0]
+            return pd.DataFrame(
+                [(row["doc_id"], row["rid"], row["place"] // FAN, row["parts"], *total.packed())],
+                columns=["doc_id", "rid", "place", "parts", *_NAMES],
+            )
+
+        return composed
+
+    while most:
+        last = most <= FAN
+        branch = F.floor(F.col("place") / FAN).alias("branch")
+        tree = tree.groupBy("rid", branch).applyInPandas(composing(last), f"{lead}, {FIELDS}")
+        most = 0 if last else -(-most // FAN)
+    return done.unionByName(tree.select("doc_id", *_NAMES))
 
 
 def pair_counts(texts: DataFrame) -> DataFrame:
