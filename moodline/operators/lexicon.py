@@ -1,29 +1,44 @@
-"""Lexicon scores: tokens joined with a table of word valences.
+"""Lexicon scores: the words and phrases of a text that a table has valences for.
 
-The lexicon is an input table (token, valence); none is built in. The method
+The lexicon is an input table (token, valence); none is built in. A token is a word, or
+words with blanks between: a phrase, which counts as a whole and in place of its words. The method
 follows Hutto & Gilbert (2014): valences are summed over a text and normalised,
-words nearby shift a valence. Texts are taken apart and summed up again within a
-task, so only one narrow row per text is shuffled.
+words nearby shift a valence.
+
+A table measured small travels to the tasks, and texts are scored on their rows, without a
+shuffle. With a larger one texts are taken apart, joined and summed up again, and one narrow row
+per match is shuffled. Both give the same scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodline.functions.columns import as_column
-from moodline.functions.text import bare_word, tokens
-from moodline.operators.lookup import lookup_join
+from moodline.functions.text import TOKEN_BREAK, bare_word, tokens
+from moodline.operators.lookup import fits_broadcast, lookup_join
+from moodline.operators.phrases import Matcher, entry, entry_lengths, grams, without_overlaps
 from moodline.session import stage
 
+# Code of this module travels to the Python workers with the job, so they need not
+# have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROW = "_row_number"
 
 # A scorer takes (texts, key, text column), with a key that tells rows apart (``score_rows``
 # makes one), and returns (key, score) for every text
 # that has a score other than 0; unreadable (null) texts come back with a null score.
+# One with a method ``in_place``, text column -> score column or None, may score texts on their rows.
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 
 # Fixed values of the published method.
@@ -36,6 +51,8 @@ BEFORE_CONTRAST, AFTER_CONTRAST = 0.5, 1.5
 EXCLAMATION, MOST_EXCLAMATIONS = 0.292, 4  # per mark, up to so many
 QUESTION, MOST_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96  # from two marks on
 
+IN_PLACE = 200_000  # entries of a table that travels to the tasks, at most
+
 
 @dataclass(frozen=True)
 class Shifters:
@@ -58,6 +75,11 @@ def plain_words(texts: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def following_names(lengths: Sequence[int]) -> list[str]:
+    """Columns for the words behind a word that entries of these lengths may need."""
+    return [f"after{step}" for step in range(1, max(lengths, default=1))]
+
+
 def emphasis(text: Column | str) -> Column:
     """How much the exclamation and question marks of a text add to its total."""
     text = as_column(text)
@@ -71,24 +93,29 @@ def emphasis(text: Column | str) -> Column:
     ).when(questions > 1, questions * QUESTION).otherwise(0.0)
 
 
-def words_in_context(texts: DataFrame, key: str, text: str, contrast: str) -> DataFrame:
-    """(key, emphasis, token, before1.., side): a token, those before it, its side of the contrast.
+def words_in_context(
+    texts: DataFrame, key: str, text: str, contrast: str | None, following: Sequence[str] = ()
+) -> DataFrame:
+    """(key, emphasis, place, token, before1.., side, after1..): a token, those around it, its side of the contrast.
 
     The neighbours come from shifted copies of the token array, so no window and
     no shuffle of tokens is needed.
     """
+    steps = range(1, len(DECAY) + 1)
     shifted = [F.col("_words")]
-    for step in range(1, len(DECAY) + 1):
+    for step in steps:
         pad = F.array(*[F.lit(None).cast("string")] * step)
         shifted.append(F.concat(pad, F.col("_words")))
+    shifted += [F.slice("_words", step + 1, 2**31 - 1) for step in range(1, len(following) + 1)]
     # all of an array's expressions come before the explode: behind it they would be
     # evaluated, and the array copied, once per token
+    turn = F.array_position("_words", F.lit(contrast)) if contrast is not None else F.lit(0).cast("long")
     zipped = texts.select(
         key, emphasis(text).alias("emphasis"), tokens(text).alias("_words")
     ).select(
         key,
         "emphasis",
-        F.array_position("_words", F.lit(contrast)).alias("_contrast"),
+        turn.alias("_contrast"),
         F.arrays_zip(*shifted).alias("_places"),
     )
     split = zipped.select(key, "emphasis", "_contrast", F.posexplode_outer("_places").alias("_pos", "_at"))
@@ -98,15 +125,15 @@ def words_in_context(texts: DataFrame, key: str, text: str, contrast: str) -> Da
     side = F.when((F.col("_contrast") == 0) | (place == F.col("_contrast")), 0).otherwise(
         F.when(place < F.col("_contrast"), -1).otherwise(1)
     )
+    behind = range(len(DECAY) + 1, len(DECAY) + len(following) + 1)
     return inside.select(
         key,
         "emphasis",
+        F.col("_pos").alias("place"),
         bare_word(F.col("_at").getField("_words")).alias("token"),
-        *[
-            bare_word(F.col("_at").getField(str(step))).alias(f"before{step}")
-            for step in range(1, len(DECAY) + 1)
-        ],
+        *[bare_word(F.col("_at").getField(str(step))).alias(f"before{step}") for step in steps],
         side.alias("side"),
+        *[bare_word(F.col("_at").getField(str(k))).alias(n) for k, n in zip(behind, following, strict=True)],
     )
 
 
@@ -146,32 +173,146 @@ def compound(total: Column | str) -> Column:
     return F.round(total / F.sqrt(total * total + F.lit(NORMALISER)), DIGITS)
 
 
-def compound_scorer(lexicon: DataFrame, shifters: Shifters | None = None) -> Scorer:
-    """Normalised sum of valences in [-1, 1], shifted by nearby words unless there are none."""
+def _phrase_sums(words: DataFrame, lexicon: DataFrame, key: str, valence: Column, lengths: Sequence[int]) -> DataFrame:
+    """``_sums`` for entries of several words: what overlaps is settled per text, by row of matches."""
+    shown = grams(words, lengths, following_names(lengths))
+    table = lexicon.select(entry("token").alias("token"), "valence")
+    joined = lookup_join(shown, table, "token", how="left", spread=key).filter(
+        F.col("valence").isNotNull() | F.col("token").isNull()
+    )
+    match = F.struct("place", "size", valence.alias("value"))
+    found = joined.groupBy(key).agg(
+        F.collect_list(F.when(F.col("valence").isNotNull(), match)).alias("found"),
+        F.count("token").alias("n"),
+        F.max("emphasis").alias("emphasis"),
+    )
+    sums = found.select(key, "n", "emphasis", without_overlaps(F.col("found")).alias("s"))
+    total = F.col("s.total") + F.signum("s.total") * F.col("emphasis")
+    # a null text has no words at all and no score
+    return sums.select(key, F.when(F.col("n") > 0, total).alias("total"), F.col("s.matched").alias("matched"))
 
-    def score(texts: DataFrame, key: str, text: str) -> DataFrame:
-        if shifters is None:
-            words, valence = plain_words(texts, key, text), F.col("valence")
-        else:
-            words = words_in_context(texts, key, text, shifters.contrast)
-            valence = shifted_valence(shifters)
-        return _sums(words, lexicon, key, valence).select(key, compound("total").alias("score"))
 
-    return score
+class Weights:
+    """Valences of a text's entries, shifted by the words around them: what ``shifted_valence`` says, in a task."""
+
+    def __init__(self, shifters: Shifters):
+        self.boost = {**dict.fromkeys(shifters.dampeners, -BOOST), **dict.fromkeys(shifters.intensifiers, BOOST)}
+        self.negations = frozenset(shifters.negations)
+        self.contrast = shifters.contrast
+
+    def turn(self, raw: Sequence[str]) -> int | None:
+        """Place of the contrast among the words as they are written."""
+        return raw.index(self.contrast) if self.contrast in raw else None
+
+    def shifted(self, words: Sequence[str], place: int, valence: float, turn: int | None) -> float:
+        boost, flip = 0.0, 1.0
+        for step, decay in enumerate(DECAY, start=1):
+            before = words[place - step] if place >= step else None
+            boost = boost + self.boost.get(before, 0.0) * decay
+            flip = flip * (NEGATED if before in self.negations else 1.0)
+        weight = 1.0 if turn is None or place == turn else BEFORE_CONTRAST if place < turn else AFTER_CONTRAST
+        return (valence + float(np.sign(valence)) * boost) * flip * weight
+
+
+@dataclass(frozen=True)
+class LexiconScorer:
+    """Scores from a table of valences: in place where it is measured small, else by join."""
+
+    lexicon: DataFrame
+    mean: bool = False  # of the valences, instead of their normalised sum
+    shifters: Shifters | None = None
+    most: int = IN_PLACE
+
+    @cached_property
+    def _lengths(self) -> list[int]:
+        return entry_lengths(self.lexicon)
+
+    def _score(self, total: Column, matched: Column) -> Column:
+        return F.try_divide(total, matched) if self.mean else compound(total)
+
+    def __call__(self, texts: DataFrame, key: str, text: str) -> DataFrame:
+        """(key, score) by join, for tables of any size."""
+        valence = shifted_valence(self.shifters) if self.shifters else F.col("valence")
+        plural = any(n > 1 for n in self._lengths)
+        if self.shifters or plural:
+            contrast = self.shifters.contrast if self.shifters else None
+            names = following_names(self._lengths) if plural else ()
+            words = words_in_context(texts, key, text, contrast, names)
+            if not self.shifters:
+                words = words.withColumn("emphasis", F.lit(0.0))
+        else:
+            words = plain_words(texts, key, text)
+        if plural:
+            sums = _phrase_sums(words, self.lexicon, key, valence, self._lengths)
+        else:
+            sums = _sums(words, self.lexicon, key, valence)
+        return sums.select(key, self._score(F.col("total"), F.col("matched")).alias("score"))
+
+    @cached_property
+    def _sums_in_place(self) -> Callable | None:
+        """UDF (words joined by blanks, emphasis) -> total and number of matches; None for a large table."""
+        if not fits_broadcast(self.lexicon.select("token", "valence"), self.most):
+            return None
+        rows = self.lexicon.select(entry("token"), F.col("valence").cast("double")).dropna().collect()
+        matcher = Matcher((text, valence) for text, valence in rows)
+        weights = Weights(self.shifters) if self.shifters else None
+        sent = self.lexicon.sparkSession.sparkContext.broadcast(cloudpickle.dumps((matcher, weights)))
+
+        @F.pandas_udf("total double, matched long")
+        def sums(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            matcher, weights = cloudpickle.loads(sent.value)
+            for texts, marks in batches:
+                totals, counts = np.full(len(texts), np.nan), np.zeros(len(texts), np.int64)
+                for row, (text, mark) in enumerate(zip(texts, marks, strict=True)):
+                    if text is None:
+                        continue
+                    raw = text.split(" ")
+                    words = [w.strip("'") for w in raw] if "'" in text else raw
+                    found = matcher.matches(words)
+                    if weights:
+                        turn = weights.turn(raw)
+                        total = sum(weights.shifted(words, i, v, turn) for i, _, v in found)
+                        total = total + float(np.sign(total)) * mark
+                    else:
+                        total = sum(v for _, _, v in found)
+                    totals[row], counts[row] = total, len(found)
+                yield pd.DataFrame({"total": totals, "matched": counts})
+
+        return sums
+
+    def in_place(self, text: Column | str) -> Column | None:
+        """The score of a text column: 0 without a match, null for a null text."""
+        sums = self._sums_in_place
+        if sums is None:
+            return None
+        text = as_column(text)
+        words = F.regexp_replace(F.lower(text), TOKEN_BREAK, " ")
+        marks = emphasis(text) if self.shifters else F.lit(0.0)
+        found = sums(words, F.coalesce(marks, F.lit(0.0)).cast("double"))
+        score = self._score(found["total"], found["matched"])
+        return F.when(text.isNotNull(), F.when(found["matched"] > 0, score).otherwise(0.0))
+
+
+def compound_scorer(lexicon: DataFrame, shifters: Shifters | None = None) -> LexiconScorer:
+    """Normalised sum of valences in [-1, 1], shifted by nearby words unless there are none."""
+    return LexiconScorer(lexicon, shifters=shifters)
 
 
-def polarity_scorer(lexicon: DataFrame) -> Scorer:
+def polarity_scorer(lexicon: DataFrame) -> LexiconScorer:
     """Mean valence of the matched words in [-1, 1]."""
+    return LexiconScorer(lexicon, mean=True)
 
-    def score(texts: DataFrame, key: str, text: str) -> DataFrame:
-        sums = _sums(plain_words(texts, key, text), lexicon, key, F.col("valence"))
-        return sums.select(key, F.try_divide("total", "matched").alias("score"))
 
-    return score
+def score_in_place(scorer: Scorer, text: Column | str) -> Column | None:
+    """The score column of a scorer that can score texts on their rows."""
+    return scorer.in_place(text) if hasattr(scorer, "in_place") else None
 
 
 def score_rows(df: DataFrame, scorer: Scorer, text: str, column: str = "score") -> DataFrame:
     """Add a score per row, whatever its keys: repeated and null ones are scored by row."""
+    score = score_in_place(scorer, text)
+    if score is not None:
+        return df.withColumn(column, score)
     rows = stage(df.withColumn(ROW, F.monotonically_increasing_id()), "scored-rows")
     return attach_scores(rows, scorer(rows.select(ROW, text), ROW, text), ROW, column).drop(ROW)
 

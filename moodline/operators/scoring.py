@@ -19,7 +19,7 @@ from moodline.functions.measures import (
     top_label,
 )
 from moodline.functions.text import PROMPT
-from moodline.operators.lexicon import ROW, Scorer, attach_scores
+from moodline.operators.lexicon import ROW, Scorer, attach_scores, score_in_place
 from moodline.schemas import label_of, mention, score_of
 from moodline.session import stage
 
@@ -46,13 +46,18 @@ def score_mentions(
     """Score and label per entity; rows that do not mention it get 0 and neutral.
 
     Each text is scored once, however many entities it mentions, and not at all if
-    it mentions none. Rows are told apart by a number of their own, so keys may repeat or
-    be null: the table is stored once, which also spares what made it a second run. The
-    text column is gone from the result.
+    it mentions none. With a small word table that happens in place, without a shuffle. With a
+    large one rows are told apart by a number of their own, so keys may repeat or be null: the
+    table is stored once, which also spares what made it a second run. The text column is gone
+    from the result.
     """
-    rows = stage(df.withColumn(ROW, F.monotonically_increasing_id()), "mentions")
-    texts = rows.filter(mentions_any(entities)).select(ROW, text)
-    scored = attach_scores(rows.drop(text), scorer(texts, ROW, text), ROW, "_score_once").drop(ROW)
+    once = score_in_place(scorer, F.when(mentions_any(entities), F.col(text)))
+    if once is not None:
+        scored = df.withColumn("_score_once", once).drop(text)
+    else:
+        rows = stage(df.withColumn(ROW, F.monotonically_increasing_id()), "mentions")
+        texts = rows.filter(mentions_any(entities)).select(ROW, text)
+        scored = attach_scores(rows.drop(text), scorer(texts, ROW, text), ROW, "_score_once").drop(ROW)
     gated = {
         score_of(e): F.when(F.col(mention(e)) == 1, F.col("_score_once")).otherwise(F.lit(0.0))
         for e in entities

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from moodline.functions.measures import CLASS_LABELS
 from moodline.functions.text import WHITESPACE_CHARS, WORD_CHARS
-from workload.tables import CANDIDATES, ENTITIES, SHIFTING, VALENCES
+from workload.tables import CANDIDATES, ENTITIES, PHRASES, SHIFTING, VALENCES
 
 A, B = ENTITIES
 
@@ -337,8 +337,7 @@ def _flip(step: int) -> str:
     return f"case when {word} in ({_list(SHIFTING['negations'])}) then -0.74 else 1 end"
 
 
-SHIFTED = f"""{LEXICON},
-{TOKENS},
+SHIFT = f"""{TOKENS},
 turns as (select doc_id, min(pos) as turn from tokens
   where raw = '{SHIFTING["contrast"]}' group by doc_id),
 marks as (
@@ -352,7 +351,9 @@ context as (
   select doc_id, pos, trim(raw, '''') as token,
          cast({" + ".join(_boost(k) for k in (1, 2, 3))} as double) as boost,
          cast({" * ".join(_flip(k) for k in (1, 2, 3))} as double) as flip
-  from tokens window w as (partition by doc_id order by pos)),
+  from tokens window w as (partition by doc_id order by pos))"""
+SHIFTED = f"""{LEXICON},
+{SHIFT},
 plain as (
   select c.doc_id, sum((valence + sign(valence) * boost) * flip
          * case when pos < turn then cast(0.5 as double) when pos > turn then cast(1.5 as double)
@@ -364,6 +365,53 @@ sums as (
   from plain join emphasis on emphasis.doc_id = plain.doc_id)"""
 
 
+# Entries of several words: all that occur, then for each text from left to right the longest at a
+# place, unless an earlier one reaches into it.
+_LONGEST = max(len(p.split()) for p in PHRASES)
+ENTRIES = "entries(entry, size, valence) as (values " + ", ".join(
+    f"('{p}', {len(p.split())}, cast({v} as double))" for p, v in (VALENCES | PHRASES).items()
+) + ")"
+OCCURRING = f"""{ENTRIES},
+grams as (
+  select doc_id, pos, n, {" || ".join(
+      ["token"] + [f"case when n > {k} then ' ' || lead(token, {k}) over w else '' end" for k in range(1, _LONGEST)]
+  )} as gram
+  from context, range(1, {_LONGEST + 1}) r(n) window w as (partition by doc_id, n order by pos)),
+occurring as (
+  select g.doc_id, g.pos, g.n, e.valence from grams g join entries e on e.entry = g.gram and e.size = g.n),
+longest as (
+  select doc_id, pos, max(n) as n, arg_max(valence, n) as valence from occurring group by doc_id, pos)"""
+
+
+def _apart(value: str, joins: str = "") -> str:
+    """CTE ``sums``: total and number of the entries that stay."""
+    return f"""listed as (
+  select m.doc_id, list({{'pos': m.pos, 'free': m.pos + m.n, 'total': {value}, 'n': 1}} order by m.pos) as found
+  from longest m {joins} group by m.doc_id),
+reduced as (
+  select doc_id, list_reduce(found, lambda a, x: case when x.pos >= a.free
+    then {{'pos': x.pos, 'free': x.free, 'total': a.total + x.total, 'n': a.n + 1}} else a end) as r
+  from listed)"""
+
+
+PHRASES_SHIFTED = f"""{SHIFT},
+{OCCURRING},
+{_apart(
+    "(m.valence + sign(m.valence) * c.boost) * c.flip * case when m.pos < turn then cast(0.5 as double) "
+    "when m.pos > turn then cast(1.5 as double) else cast(1 as double) end",
+    "join context c on c.doc_id = m.doc_id and c.pos = m.pos left join turns on turns.doc_id = m.doc_id",
+)},
+sums as (
+  select r.doc_id, r.r.total + sign(r.r.total) * added as total
+  from reduced r join emphasis on emphasis.doc_id = r.doc_id)"""
+
+PHRASED = f"""{TOKENS},
+context as (select doc_id, pos, trim(raw, '''') as token from tokens),
+{OCCURRING},
+{_apart("m.valence")},
+sums as (select doc_id, r.total as total, r.n as matched from reduced)"""
+
+
 def _thirds(n: int) -> str:
     start = {0: "1", 1: "k + 1", 2: "2 * k + 1"}[n]
     stop = {0: "k", 1: "2 * k", 2: "len(embedding)"}[n]
@@ -463,6 +511,15 @@ def oracle_sql() -> dict[str, str]:
         "lexicon_score_shifters": f"""with {SHIFTED}
             select d.doc_id, {_r(f"coalesce({COMPOUND}, 0)")} as score
             from documents d left join sums on sums.doc_id = d.doc_id""",
+        "phrase_score": f"""with {PHRASED}
+            select d.doc_id, {_r(f"coalesce({COMPOUND}, 0)")} as score
+            from documents d left join sums on sums.doc_id = d.doc_id""",
+        "phrase_score_shifters": f"""with {PHRASES_SHIFTED}
+            select d.doc_id, {_r(f"coalesce({COMPOUND}, 0)")} as score
+            from documents d left join sums on sums.doc_id = d.doc_id""",
+        "phrase_polarity": f"""with {PHRASED}
+            select d.doc_id, {_r("coalesce(total / matched, 0)")} as score
+            from documents d left join sums on sums.doc_id = d.doc_id""",
         "mean_polarity": f"""with {SUMS}
             select d.doc_id, {_r("coalesce(total / matched, 0)")} as score
             from documents d left join sums on sums.doc_id = d.doc_id""",
@@ -660,5 +717,7 @@ def oracle_sql() -> dict[str, str]:
     scores, flags = sql["lexicon_score"], sql["language_id"]
     sql["lexicon_score_by_row"] = f"select {key}, score from ({scores})"
     sql["language_id_by_row"] = f"select {key}, is_en as in_place, is_en as by_join from ({flags})"
+    sql["phrase_score_by_join"] = sql["phrase_score"]
+    sql["lexicon_score_by_join"] = sql["lexicon_score_shifters"]
     sql["feature_export"] = sql["features_two_ratios"]
     return sql

@@ -179,6 +179,32 @@ def lexicon_score_shifters(spark: SparkSession, sf: str) -> DataFrame:
     return _scored_texts(spark, sf, lexicon.compound_scorer(t.lexicon(spark), shifters))
 
 
+def phrase_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Words and phrases, found in place by an automaton."""
+    return _scored_texts(spark, sf, lexicon.compound_scorer(t.lexicon(spark, phrases=True)))
+
+
+def phrase_score_by_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as for a table too large for the tasks: by join with the grams of the texts."""
+    return _scored_texts(spark, sf, lexicon.LexiconScorer(t.lexicon(spark, phrases=True), most=0))
+
+
+def phrase_score_shifters(spark: SparkSession, sf: str) -> DataFrame:
+    """Words and phrases, shifted by the words before them."""
+    shifters = lexicon.Shifters(**t.SHIFTING)
+    return _scored_texts(spark, sf, lexicon.compound_scorer(t.lexicon(spark, phrases=True), shifters))
+
+
+def phrase_polarity(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored_texts(spark, sf, lexicon.polarity_scorer(t.lexicon(spark, phrases=True)))
+
+
+def lexicon_score_by_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Shifted words by join, as for a table too large for the tasks."""
+    shifters = lexicon.Shifters(**t.SHIFTING)
+    return _scored_texts(spark, sf, lexicon.LexiconScorer(t.lexicon(spark), shifters=shifters, most=0))
+
+
 def mean_polarity(spark: SparkSession, sf: str) -> DataFrame:
     return _scored_texts(spark, sf, lexicon.polarity_scorer(t.lexicon(spark)))
 
@@ -710,6 +736,11 @@ QUERIES: dict[str, Query] = {
         lexicon_score,
         lexicon_score_shifters,
         lexicon_score_by_row,
+        lexicon_score_by_join,
+        phrase_score,
+        phrase_score_by_join,
+        phrase_score_shifters,
+        phrase_polarity,
         language_id_by_row,
         news_run_market_only,
         posts_csv_wide,

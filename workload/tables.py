@@ -35,6 +35,26 @@ VALENCES = {
     "con": 1.0,
     "para": -1.0,
 }
+# Phrases of the test texts; some begin, end or hold others, or hold words with a valence.
+PHRASES = {
+    "of the": 1.25,
+    "the and": -1.75,
+    "the and attion": 2.25,
+    "and the": -0.5,
+    "and the of": 0.75,
+    "is the": 0.75,
+    "that is": -2.0,
+    "that is the": 1.5,
+    "to the": 0.25,
+    "the to": -0.25,
+    "attion to thanedble": 1.5,
+    "thanedble the": -0.75,
+    "the the the the": 0.5,
+    "de la": 0.5,
+    "la de": -0.75,
+    "de la de": 1.0,
+    "der der": 0.25,
+}
 # Words of the test texts that stand for shifting words.
 SHIFTING = {
     "intensifiers": ("the", "le"),
@@ -52,8 +72,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
 
 
-def lexicon(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"('{word}', {value}D)" for word, value in VALENCES.items())
+def lexicon(spark: SparkSession, phrases: bool = False) -> DataFrame:
+    entries = VALENCES | PHRASES if phrases else VALENCES
+    rows = ", ".join(f"('{word}', {value}D)" for word, value in entries.items())
     return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(token, valence)")
 
 
