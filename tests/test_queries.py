@@ -35,7 +35,7 @@ def ordered(rows):
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(QUERIES) - set(SQL) == {"gbt_fit", "scenario_grid"}
+    assert set(QUERIES) - set(SQL) == {"gbt_fit", "scenario_grid", "aspect_model"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from moodline.functions.measures import CLASS_LABELS
 from moodline.functions.text import WHITESPACE_CHARS, WORD_CHARS
-from workload.tables import CANDIDATES, ENTITIES, PHRASES, SHIFTING, VALENCES
+from workload.tables import ASPECT_VALENCES, CANDIDATES, ENTITIES, PHRASES, SHIFTING, VALENCES
 
 A, B = ENTITIES
 
@@ -107,6 +107,11 @@ sums as (
   select doc_id, sum(valence) as total, count(*) as matched
   from tokens join lexicon on token = trim(raw, '''') group by doc_id)"""
 
+# The same with valences for the entities too.
+PROMPT_SUMS = SUMS.replace(
+    LEXICON, LEXICON[:-1] + "".join(f", ('{w}', cast({v} as double))" for w, v in ASPECT_VALENCES.items()) + ")"
+)
+
 COMPOUND = "round(total / sqrt(total * total + 15), 4)"
 
 FLAGGED = f"""flagged as materialized (
@@ -542,6 +547,19 @@ def oracle_sql() -> dict[str, str]:
               else '{NEU}' end as label from means)
             select doc_id, case when mentions_{A} = 1 then label end as {A}_sentiment_label,
               case when mentions_{B} = 1 then label end as {B}_sentiment_label from named""",
+        "aspect_prompt": f"""with {PROMPT_SUMS}, {FLAGGED},
+            means as (
+              select f.doc_id, mentions_{A}, mentions_{B},
+                {", ".join(
+                    f"(coalesce(total, 0) + {v}) / (coalesce(matched, 0) + 1) as {e}_mean"
+                    for e, v in ASPECT_VALENCES.items()
+                )}
+              from flagged f left join sums s on s.doc_id = f.doc_id)
+            select doc_id, {", ".join(
+                f"case when mentions_{e} = 1 then case when {e}_mean <= -{BAND} then '{NEG}' "
+                f"when {e}_mean > {BAND} then '{POS}' else '{NEU}' end end as {e}_sentiment_label"
+                for e in ENTITIES
+            )} from means""",
         "unpivot_entities": f"""with {SCORED}
             select doc_id, '{A}' as candidate, {A}_label as sentiment_label
             from scored where mentions_{A} = 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodline.functions import measures, text, time
-from moodline.operators import daily, evaluation, labels, language, lexicon, models, scoring
+from moodline.operators import aspects, daily, evaluation, labels, language, lexicon, models, scoring
 from moodline.operators.prepare import propagate_flags, quality_filter, tag_sources
 from moodline.plans import features, preparation, run
 from moodline.schemas import TOPLINES, label_of, mention, processed_news, score_of
@@ -254,6 +254,24 @@ def aspect_batch(spark: SparkSession, sf: str) -> DataFrame:
     ).select("doc_id", *[label_of(e) for e in ENTITIES])
 
 
+def aspect_prompt(spark: SparkSession, sf: str) -> DataFrame:
+    """The scorer reads prompts, which hold the aspect a second time; aspects have valences here."""
+    scorer = scoring.LexiconAspectScorer(t.VALENCES | t.ASPECT_VALENCES)
+    out = scoring.label_aspects(t.flagged_documents(spark, sf), scorer, ENTITIES, prompt=True)
+    return out.select("doc_id", *[label_of(e) for e in ENTITIES])
+
+
+def aspect_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A model fitted on four fifths of the labelled mentions, applied to all."""
+    docs = t.flagged_documents(spark, sf)
+    marks = t.table(spark, sf, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+    label = F.when(F.col("toxic") == 1, 0).otherwise(F.col("quality") + 1)
+    model = aspects.train_aspect_model(docs.join(marks.filter(learn), "doc_id"), ENTITIES, label)
+    out = scoring.label_aspects(docs, model, ENTITIES)
+    return out.select("doc_id", (~learn).alias("held_out"), *[label_of(e) for e in ENTITIES])
+
+
 def unpivot_entities(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.long_by_entity(_scored_documents(spark, sf), ENTITIES, ["doc_id"])
 
@@ -750,6 +768,8 @@ QUERIES: dict[str, Query] = {
         sentiment_label,
         softmax_label,
         aspect_batch,
+        aspect_prompt,
+        aspect_model,
         unpivot_entities,
         entity_summary,
         label_counts,

@@ -35,6 +35,8 @@ VALENCES = {
     "con": 1.0,
     "para": -1.0,
 }
+# What the entities themselves count where a text is read as a prompt.
+ASPECT_VALENCES = {"with": 1.25, "was": -0.75}
 # Phrases of the test texts; some begin, end or hold others, or hold words with a valence.
 PHRASES = {
     "of the": 1.25,
