@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,10 @@ def _share(hits: Column, total: Column) -> Column:
     return F.coalesce(F.try_divide(hits.cast("double"), total.cast("double")), F.lit(0.0))
 
 
-def evaluate(df: DataFrame, truth: str, prediction: str = "prediction") -> DataFrame:
-    """One row: n, accuracy, below_accuracy, above_accuracy, mae, rmse, r2, mape.
+def evaluate(
+    df: DataFrame, truth: str, prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    """One row (for each value of ``by``): n, accuracy, below_accuracy, above_accuracy, mae, rmse, r2, mape.
 
     ``accuracy`` calls only values above 0.5 a win; the accuracies per class call
     everything not below 0.5 one, so exactly 0.5 falls on different sides. A class
@@ -28,7 +32,8 @@ def evaluate(df: DataFrame, truth: str, prediction: str = "prediction") -> DataF
     sse, sst = F.sum(error * error), F.var_pop(y) * F.count(y)
     missed_zero = F.when(error == 0, F.lit(None)).otherwise(F.lit(float("inf")))
     relative = F.when(y == 0, missed_zero).otherwise(F.abs(F.try_divide(error, y)))
-    return df.filter(y.isNotNull() & p.isNotNull()).agg(
+    rows = df.filter(y.isNotNull() & p.isNotNull())
+    return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg((binarise(y) == binarise(p)).cast("double")).alias("accuracy"),
         _share(F.count_if(below & right), F.count_if(below)).alias("below_accuracy"),

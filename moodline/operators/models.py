@@ -11,12 +11,15 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodline.operators import boosting
+from moodline.operators.moments import INTERCEPT
+
 PREDICTION = "prediction"
-INTERCEPT = "intercept"
+TREES = 100
 LABEL_COLUMNS = ("p_win", "p_lose", "p_win_rolling")
 
 
@@ -111,27 +114,22 @@ def fit_lasso(df: DataFrame, label: str, features: Sequence[str], alpha: float =
     return _linear(df, label, features, "lasso", l1=alpha)
 
 
-def fit_boosting(
+def fit_trees(
     df: DataFrame,
     label: str,
     features: Sequence[str],
-    n_estimators: int = 100,
+    n_estimators: int = TREES,
     max_depth: int = 3,
     step: float = 0.1,
-    seed: int = 0,
-) -> Fit:
-    """Gradient-boosted trees on the squared error."""
-    data = _assemble(df, features)
-    model = GBTRegressor(
-        featuresCol="_features",
-        labelCol=label,
-        predictionCol=PREDICTION,
-        maxIter=n_estimators,
-        maxDepth=max_depth,
-        stepSize=step,
-        seed=seed,
-    ).fit(data)
-    return Fit("boosting", label, tuple(features), model.transform(data).drop("_features"))
+    bins: int = boosting.BINS,
+) -> boosting.Boosted:
+    return boosting.fit(df, label, features, n_estimators, max_depth, step, bins)
+
+
+def fit_boosting(df: DataFrame, label: str, features: Sequence[str], **options) -> Fit:
+    """Gradient-boosted trees on the squared error; options are those of ``fit_trees``."""
+    model = fit_trees(df, label, features, **options)
+    return Fit("boosting", label, tuple(features), df.withColumn(PREDICTION, boosting.prediction(features, model)))
 
 
 def fit_arimax(
@@ -200,11 +198,16 @@ MODELS: dict[str, Callable[..., Fit]] = {
 }
 
 
+def target_of(rolling: bool, label: str = "p_win") -> str:
+    """The column a model explains."""
+    return f"{label}_rolling" if rolling else label
+
+
 def fit_model(
     df: DataFrame, name: str, *, label: str = "p_win", rolling: bool = False, **options
 ) -> Fit:
     """Fit by name on every feature column; ``rolling`` targets the trailing mean."""
     if name not in MODELS:
         raise ValueError(f"unknown model: {name!r}")
-    target = f"{label}_rolling" if rolling else label
+    target = target_of(rolling, label)
     return MODELS[name](df, target, feature_columns(df, target), **options)

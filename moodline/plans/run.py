@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
-from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodline.functions.measures import DEFAULT_THRESHOLD
+from moodline.operators import boosting
 from moodline.operators.evaluation import evaluate
 from moodline.operators.labels import (
     FORECAST,
@@ -23,7 +23,8 @@ from moodline.operators.labels import (
     label_series,
 )
 from moodline.operators.lexicon import Scorer, compound_scorer, polarity_scorer
-from moodline.operators.models import MODELS, Fit, fit_model
+from moodline.operators.models import MODELS, TREES, Fit, feature_columns, fit_model, fit_trees, target_of
+from moodline.operators.moments import FROM_MOMENTS, INTERCEPT, moments
 from moodline.operators.scoring import (
     AspectScorer,
     label_aspects,
@@ -39,6 +40,10 @@ from moodline.sources.sinks import write_params
 COMPOUND, POLARITY, ASPECT = "VADER", "TextBlob", "ABSA"
 BATCH_SIZES = {TRAIN: 32, TEST: 16}
 OLS_BY_SPLIT = {TRAIN: "OLS", TEST: "OLS no intercept"}
+METRICS = (
+    "n long, accuracy double, below_accuracy double, above_accuracy double, mae double, rmse double, "
+    "r2 double, mape double"
+)
 POST_COLUMNS = ("country", "is_en", "likes", "user_join_date", "user_followers_count")
 
 
@@ -56,6 +61,7 @@ class Run:
     trade_type: str = "close"
     market_only: bool = False  # market labels, whatever the label type
     rolling: bool = False
+    drop_missing: bool = False  # days on which a feature has no value, instead of an error
     model_options: Mapping[str, object] = field(default_factory=dict)
     feature_options: Mapping[str, object] = field(default_factory=dict)
 
@@ -137,6 +143,72 @@ def fit_run(features: DataFrame, run: Run) -> Fit:
     return fit_model(features, name, rolling=run.rolling, **run.model_options)
 
 
+def _linear_predictions(table: DataFrame, runs: Sequence[Run]) -> list[tuple[Column, Column]]:
+    """(truth, prediction) of linear runs, all solved from one pass over their feature table."""
+    targets = {target_of(run.rolling) for run in runs}
+    inputs = {t: feature_columns(table, t) for t in targets}
+    found = moments(table, [*dict.fromkeys([*targets, *(c for columns in inputs.values() for c in columns)])])
+    pairs = []
+    for run in runs:
+        target = target_of(run.rolling)
+        name = OLS_BY_SPLIT[run.split] if run.model == "OLS" else run.model
+        solved = FROM_MOMENTS[name](found, target, inputs[target], **run.model_options)
+        truth = F.col(target).cast("double")
+        # without an intercept a missing label counts as 0, as in the fit
+        truth = truth if INTERCEPT in solved.betas else F.coalesce(truth, F.lit(0.0))
+        pairs.append((truth, solved.column()))
+    return pairs
+
+
+def _boosted_predictions(table: DataFrame, runs: Sequence[Run]) -> list[tuple[Column, Column]]:
+    """(truth, prediction) of boosting runs; those that differ in the number of trees share one fit."""
+    fitted: dict[tuple, tuple[list[str], boosting.Boosted]] = {}
+
+    def key(run: Run) -> tuple:
+        return (run.rolling, *sorted((k, v) for k, v in run.model_options.items() if k != "n_estimators"))
+
+    def trees(run: Run) -> int:
+        return int(run.model_options.get("n_estimators", TREES))
+
+    pairs = []
+    for run in runs:
+        target = target_of(run.rolling)
+        if key(run) not in fitted:
+            most = max(trees(r) for r in runs if key(r) == key(run))
+            names = feature_columns(table, target)
+            options = {k: v for k, v in run.model_options.items() if k != "n_estimators"}
+            fitted[key(run)] = names, fit_trees(table, target, names, n_estimators=most, **options)
+        names, model = fitted[key(run)]
+        pairs.append((F.col(target).cast("double"), boosting.prediction(names, model.first(trees(run)))))
+    return pairs
+
+
+#: Models whose runs on one feature table are fitted together.
+TOGETHER = {**dict.fromkeys(FROM_MOMENTS, _linear_predictions), "Gradient Boosting": _boosted_predictions}
+
+
+def fits_together(table: DataFrame, runs: Sequence[Run]) -> list[tuple[Run, Sequence]]:
+    """Metrics of runs of ``TOGETHER`` models on one feature table.
+
+    Moments take one pass over the table, trees three for each set of options; the predictions of all
+    runs are evaluated in one more.
+    """
+    done: list[tuple[Run, Column, Column]] = []
+    for fit in dict.fromkeys(TOGETHER.values()):
+        own = [r for r in runs if TOGETHER[r.model] is fit]
+        done += [(r, *pair) for r, pair in zip(own, fit(table, own) if own else [], strict=True)]
+    pairs = [
+        F.struct(F.lit(place).alias("place"), truth.alias("truth"), guess.alias("prediction"))
+        for place, (_, truth, guess) in enumerate(done)
+    ]
+    if not pairs:
+        return []
+    found = evaluate(table.select(F.inline(F.array(*pairs))), "truth", by=["place"]).collect()  # a row per run
+    if len(found) < len(done):
+        raise ValueError("no rows to fit on")
+    return [(done[row["place"]][0], row[1:]) for row in sorted(found)]
+
+
 def execute(
     processed: DataFrame | None,
     tables: LabelTables,
@@ -158,23 +230,29 @@ def execute(
     if sentiment is None:
         sentiment = score_texts(processed, run, scorers)
     features = stage(feature_table(sentiment, labels, run), "features")
+    if run.drop_missing:
+        features = features.dropna()
     fit = fit_run(features, run)
     if params_root is not None and fit.betas:
         write_params(fit, params_root, run.split, run.sentiment, run.features)
     return fit, evaluate(fit.predictions, fit.label)
 
 
+def description(run: Run) -> dict[str, str]:
+    """The names of a run; models are judged on their own input."""
+    return {
+        "split": run.split,
+        "sentiment": run.sentiment,
+        "features": run.features,
+        "model": run.model,
+        "options": ", ".join(f"{k}={v}" for k, v in sorted(run.model_options.items())),
+        "evaluated_on": "train",
+    }
+
+
 def describe(run: Run, metrics: DataFrame) -> DataFrame:
-    """Metrics with the names of the run in front; models are judged on their own input."""
-    return metrics.select(
-        F.lit(run.split).alias("split"),
-        F.lit(run.sentiment).alias("sentiment"),
-        F.lit(run.features).alias("features"),
-        F.lit(run.model).alias("model"),
-        F.lit(", ".join(f"{k}={v}" for k, v in sorted(run.model_options.items()))).alias("options"),
-        F.lit("train").alias("evaluated_on"),
-        "*",
-    )
+    """Metrics with the names of the run in front."""
+    return metrics.select(*[F.lit(v).alias(k) for k, v in description(run).items()], "*")
 
 
 def scenario_grid(
@@ -190,14 +268,15 @@ def scenario_grid(
 ) -> DataFrame:
     """All combinations as one table of metrics.
 
-    Texts are scored once per scorer and rolled up once per feature set; every model
-    is then fitted on the stored daily table. Fits are small and independent jobs, so
-    some run side by side.
+    Texts are scored once per scorer and rolled up once per feature set. All linear models of a
+    feature table are solved from one pass over it, and so are trees of any number; every other model is
+    fitted on the stored daily table. Those fits are small and independent jobs, so some run side by side.
     """
     labels = label_series(
         tables, base.label_type, base.trade_type, split=base.split, market_only=base.market_only
     )
     jobs: list[tuple[DataFrame, Run]] = []
+    rows: list[tuple] = []
     feature_sets = list(features)
     for name in sentiments:
         scoring = replace(base, sentiment=name)
@@ -207,16 +286,19 @@ def scenario_grid(
         for feature_set in feature_sets:
             shaped = replace(scoring, features=feature_set)
             table = stage(feature_table(scored, labels, shaped), "features")
-            jobs += [
-                (table, replace(shaped, model=model, model_options=options))
-                for model, options in models
-            ]
+            if base.drop_missing:
+                table = table.dropna()
+            runs = [replace(shaped, model=model, model_options=options) for model, options in models]
+            together = fits_together(table, [r for r in runs if r.model in TOGETHER])
+            rows += [(*description(r).values(), *row) for r, row in together]
+            jobs += [(table, r) for r in runs if r.model not in TOGETHER]
 
-    def metrics(job: tuple[DataFrame, Run]) -> DataFrame:
+    def metrics(job: tuple[DataFrame, Run]) -> tuple:
         fit = fit_run(*job)
-        row = describe(job[1], evaluate(fit.predictions, fit.label))
-        return row.sparkSession.createDataFrame([row.first()], row.schema)
+        return (*description(job[1]).values(), *evaluate(fit.predictions, fit.label).first())
 
-    target = inheritable_thread_target(processed.sparkSession)(metrics)
+    spark = processed.sparkSession
     with ThreadPoolExecutor(parallelism) as pool:
-        return reduce(DataFrame.unionAll, pool.map(target, jobs))
+        rows += pool.map(inheritable_thread_target(spark)(metrics), jobs)
+    names = ", ".join(f"{k} string" for k in description(base))
+    return spark.createDataFrame(rows, f"{names}, {METRICS}")

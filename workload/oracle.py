@@ -205,6 +205,13 @@ m as (
   from sales)"""
 
 
+SALES_ROLLED = SALES.replace("sales as (", """daily as (
+  select cast(l_shipdate as date) as date,""", 1).replace("""
+  select avg(""", " avg(", 1).replace("group by cast(l_shipdate as date)),", """group by 1),
+sales as (
+  select x1, x2, avg(y) over (order by date rows between 6 preceding and current row) as y from daily),""", 1)
+
+
 def _two_features(b1: str, b2: str) -> str:
     """Coefficients and R² of a plane with given slopes through the means."""
     r2 = "(2 * (b1 * s1y + b2 * s2y) - b1 * b1 * s11 - 2 * b1 * b2 * s12 - b2 * b2 * s22) / syy"
@@ -232,6 +239,109 @@ select 'discount' as feature, {_r("b")} as beta, {_r(r2)} as r2 from slope
 union all select 'intercept', {_r("my - b * mx")}, {_r(r2)} from slope"""
 
 
+PATH = f"""{SALES},
+marks as (
+  select 'p_win' as label, m.* from m
+  union all
+  select 'p_lose', n, m1, m2, 1 - my, s11, s22, s12, -s1y, -s2y, syy from m),
+ridge as (
+  select *, 'Ridge' as model, alpha,
+    (s1y * (s22 + alpha) - s2y * s12) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) as b1,
+    (s2y * (s11 + alpha) - s1y * s12) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) as b2
+  from marks, (values (0.0::double), (0.5::double), (2.0::double), (8.0::double)) a(alpha)),
+-- a lasso of two features: the best of what is stationary with both, one or none of them
+tried as (
+  select *, alpha * n as pen
+  from marks, (values (0.0::double), (0.0001::double), (0.0002::double), (0.001::double), (0.01::double)) a(alpha)),
+stationary as (
+  select *, ((s1y - pen * g1) * s22 - (s2y - pen * g2) * s12) / (s11 * s22 - s12 * s12) as b1,
+    ((s2y - pen * g2) * s11 - (s1y - pen * g1) * s12) / (s11 * s22 - s12 * s12) as b2
+  from tried, (values (1, 1), (1, -1), (-1, 1), (-1, -1)) g(g1, g2)
+  union all select *, 0, 0, sign(s1y) * greatest(abs(s1y) - pen, 0) / s11, 0 from tried
+  union all select *, 0, 0, 0, sign(s2y) * greatest(abs(s2y) - pen, 0) / s22 from tried),
+lasso as (
+  select label, alpha, arg_min(b1, cost) as b1, arg_min(b2, cost) as b2 from (
+    select *, b1 * b1 * s11 / 2 + b1 * b2 * s12 + b2 * b2 * s22 / 2 - b1 * s1y - b2 * s2y
+      + pen * (abs(b1) + abs(b2)) as cost
+    from stationary where g1 = 0 or (b1 * g1 >= 0 and b2 * g2 >= 0))
+  group by label, alpha),
+fits as (
+  select label, model, alpha, b1, b2 from ridge
+  union all select label, 'Lasso', alpha, b1, b2 from lasso),
+path as (
+  select f.*, my - b1 * m1 - b2 * m2 as b0,
+    (2 * (b1 * s1y + b2 * s2y) - b1 * b1 * s11 - 2 * b1 * b2 * s12 - b2 * b2 * s22) / syy as r2
+  from fits f join marks on marks.label = f.label)"""
+
+
+GRID_INDICATOR = {e: _indicator(f"({_label(f'{e}_score')})") for e in ENTITIES}
+GRID = f"""{SUMS},
+{FLAGGED},
+{POSTS},
+{LABELS},
+gated as (
+  select sentiment, f.doc_id, mentions_{A}, mentions_{B}, {", ".join(
+    f"case when mentions_{e} = 1 then coalesce(case sentiment when 'VADER' then {COMPOUND} "
+    f"else total / matched end, 0) else 0 end as {e}_score" for e in ENTITIES)}
+  from (values ('VADER'), ('TextBlob')) v(sentiment), flagged f left join sums s on s.doc_id = f.doc_id),
+marked as (
+  select sentiment, cast(created_at as date) as date, is_en, mentions_{A} = 1 as about_a,
+    mentions_{B} = 1 as about_b, {GRID_INDICATOR[A]} as a, {GRID_INDICATOR[B]} as b
+  from gated join posts on posts.tweet_id = gated.doc_id),
+shapes as (
+  select 'train' as split, sentiment, '2RATIOS' as features, date, avg(a) filter (where about_a) as x1,
+    avg(b) filter (where about_b) as x2 from marked where is_en and (about_a or about_b) group by all
+  union all
+  select 'train', sentiment, '1RATIO', date, avg(a), cast(0 as double) from marked
+  where is_en and about_a group by all
+  union all
+  select 'test', sentiment, '2RATIOS', date, avg(a), avg(b) from marked group by all
+  union all
+  select 'test', sentiment, '1RATIO', date, avg(a), cast(0 as double) from marked where about_a group by all),
+shaped as (select shapes.*, p_win as y from shapes join labels_daily on labels_daily.date = shapes.date),
+m as (
+  select split, sentiment, features, count(*) as n, avg(x1) as m1, avg(x2) as m2, avg(y) as my,
+    regr_sxx(y, x1) as s11, regr_sxx(y, x2) as s22, regr_sxy(x1, x2) as s12, regr_sxy(y, x1) as s1y,
+    regr_sxy(y, x2) as s2y, sum(x1 * x1) as o11, sum(x1 * x2) as o12, sum(x2 * x2) as o22,
+    sum(x1 * y) as o1y, sum(x2 * y) as o2y
+  from shaped group by all),
+sided as (
+  select *, split = 'test' as raw,
+    case when split = 'test' then o11 else s11 end as u11, case when split = 'test' then o12 else s12 end as u12,
+    case when split = 'test' then o22 else s22 end as u22, case when split = 'test' then o1y else s1y end as u1y,
+    case when split = 'test' then o2y else s2y end as u2y from m),
+tried as (select *, 0.01 * n as pen from m),
+stationary as (
+  select *, ((s1y - pen * g1) * s22 - (s2y - pen * g2) * s12) / (s11 * s22 - s12 * s12) as b1,
+    ((s2y - pen * g2) * s11 - (s1y - pen * g1) * s12) / (s11 * s22 - s12 * s12) as b2
+  from tried, (values (1, 1), (1, -1), (-1, 1), (-1, -1)) g(g1, g2) where features = '2RATIOS'
+  union all select *, 0, 0, sign(s1y) * greatest(abs(s1y) - pen, 0) / s11, 0 from tried
+  union all select *, 0, 0, 0, sign(s2y) * greatest(abs(s2y) - pen, 0) / s22 from tried
+    where features = '2RATIOS'),
+lasso as (
+  select split, sentiment, features, arg_min(b1, cost) as b1, arg_min(b2, cost) as b2 from (
+    select *, b1 * b1 * s11 / 2 + b1 * b2 * s12 + b2 * b2 * s22 / 2 - b1 * s1y - b2 * s2y
+      + pen * (abs(b1) + abs(b2)) as cost
+    from stationary where g1 = 0 or (b1 * g1 >= 0 and b2 * g2 >= 0))
+  group by all),
+slopes as (
+  select split, sentiment, features, 'OLS' as model, '' as options, raw,
+    case when features = '1RATIO' then u1y / u11 else (u1y * u22 - u2y * u12) / (u11 * u22 - u12 * u12) end as b1,
+    case when features = '1RATIO' then 0 else (u2y * u11 - u1y * u12) / (u11 * u22 - u12 * u12) end as b2 from sided
+  union all
+  select split, sentiment, features, 'Ridge', 'alpha=0.1', false,
+    (s1y * (s22 + 0.1) - s2y * s12) / ((s11 + 0.1) * (s22 + 0.1) - s12 * s12),
+    (s2y * (s11 + 0.1) - s1y * s12) / ((s11 + 0.1) * (s22 + 0.1) - s12 * s12) from m
+  union all
+  select split, sentiment, features, 'Lasso', 'alpha=0.01', false, b1, b2 from lasso),
+guessed as (
+  select s.split, s.sentiment, s.features, model, options, y,
+    case when raw then 0 else my - b1 * m1 - b2 * m2 end + b1 * x1 + b2 * x2 as p
+  from slopes s
+  join m on m.split = s.split and m.sentiment = s.sentiment and m.features = s.features
+  join shaped on shaped.split = s.split and shaped.sentiment = s.sentiment and shaped.features = s.features)"""
+
+
 def _less(target: str, by: str) -> str:
     """A column without its component along another one."""
     return f"{target} - {by} * sum({target} * {by}) over () / sum({by} * {by}) over ()"
@@ -495,6 +605,10 @@ def oracle_sql() -> dict[str, str]:
             where {AGE} > 2 and user_followers_count > 100 and likes > 5 and is_en""",
         "epoch_roundtrip": """select event_id, epoch_us(ts) // 1000 as ms,
             cast(cast(ts as date) as varchar) as day from events""",
+        "parsed_timestamps": """select event_id,
+              case when event_id % 7 <> 0 then epoch_us(ts) end as at,
+              case when event_id % 7 <> 0 then epoch_us(date_trunc('minute', ts)) end as at_minute
+            from events""",
         "parsed_dates": """select o_orderkey, cast(cast(o_orderdate as date) as varchar) as day
             from orders""",
         "prepare_posts": f"""with {MERGED}, {IS_EN}
@@ -661,6 +775,38 @@ def oracle_sql() -> dict[str, str]:
         "linear_fit_two": _two_features(*_ridge_slopes(0)),
         "ridge_fit_two": _two_features(*_ridge_slopes(2)),
         "lasso_fit_two": _two_features(LASSO_KEEPS, LASSO_DROPS),
+        "penalty_path": f"""with {PATH} {" union all ".join(
+            f"select label, model, {_r('alpha')} as alpha, '{name}' as feature, {_r(b)} as beta, {_r('r2')} as r2 from path"
+            for name, b in (("price", "b1"), ("tax", "b2"), ("intercept", "b0")))}""",
+        "rolling_target_fit": _two_features(*_ridge_slopes(0)).replace(SALES, SALES_ROLLED),
+        "gbt_stump": f"""with items as (
+              select l_extendedprice / 100000 as y, l_discount, l_quantity, l_tax from lineitem),
+            long as ({" union all ".join(
+                f"select {k} as place, '{c}' as feature, {c} as x, y from items"
+                for k, c in enumerate(("l_discount", "l_quantity", "l_tax")))}),
+            vals as (select place, feature, x, count(*) as n, sum(y) as s from long group by 1, 2, 3),
+            sides as (
+              select *, sum(n) over lower as ln, sum(s) over lower as ls, sum(n) over feat as alln,
+                sum(s) over feat as alls, (x + lead(x) over (partition by place order by x)) / 2 as cut
+              from vals window feat as (partition by place),
+                lower as (partition by place order by x rows unbounded preceding)),
+            gains as (
+              select *, ls * ls / ln + (alls - ls) * (alls - ls) / (alln - ln) as gain
+              from sides where cut is not null)
+            select feature, {_r("cut")} as threshold, {_r("ls / ln")} as below,
+              {_r("(alls - ls) / (alln - ln)")} as above
+            from gains order by gain desc limit 1""",
+        "scenario_grid_linear": f"""with {GRID}
+            select split, sentiment, features, model, options, 'train' as evaluated_on, count(*) as n,
+              {_r("avg(case when (y > 0.5) = (p > 0.5) then cast(1 as double) else 0 end)")} as accuracy,
+              {_r("coalesce(avg(case when p < 0.5 then cast(1 as double) else 0 end) filter (where y < 0.5), 0)")}
+                as below_accuracy,
+              {_r("coalesce(avg(case when p >= 0.5 then cast(1 as double) else 0 end) filter (where y >= 0.5), 0)")}
+                as above_accuracy,
+              {_r("avg(abs(y - p))")} as mae, {_r("sqrt(avg((y - p) * (y - p)))")} as rmse,
+              {_r("1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))")} as r2,
+              {_r("avg(abs((y - p) / y)) * 100")} as mape
+            from guessed group by split, sentiment, features, model, options""",
         "arimax_fit": f"""with {SERIES}, {ARIMAX}
             select 'discount' as feature, {_r("beta")} as beta from b_x
             union all select 'ar1', {_r("beta")} from b_ar

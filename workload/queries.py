@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodline.functions import measures, text, time
-from moodline.operators import aspects, daily, evaluation, labels, language, lexicon, models, scoring
+from moodline.operators import aspects, boosting, daily, evaluation, labels, language, lexicon, models, moments, scoring
 from moodline.operators.prepare import propagate_flags, quality_filter, tag_sources
 from moodline.plans import features, preparation, run
 from moodline.schemas import TOPLINES, label_of, mention, processed_news, score_of
@@ -112,6 +113,24 @@ def epoch_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def parsed_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Times written in two layouts, some of them broken, read back."""
+    events = t.table(spark, sf, "events")
+    long = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    short = F.date_format("ts", "M/d/yyyy H:mm")
+    broken = F.col("event_id") % 7 == 0
+    written = events.select(
+        "event_id",
+        F.when(broken, F.concat(long, F.lit(" or so"))).otherwise(long).alias("long"),
+        F.when(broken, "13/45/2024 7:00").otherwise(short).alias("short"),
+    )
+    return written.select(
+        "event_id",
+        time.parse_timestamp("long").alias("at"),
+        time.parse_timestamp("short", "M/d/yyyy H:mm").alias("at_minute"),
+    )
+
+
 def parsed_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Dates written in two formats, read back by one parser."""
     orders = t.table(spark, sf, "orders")
@@ -480,11 +499,41 @@ def lasso_fit_two(spark: SparkSession, sf: str) -> DataFrame:
     return _params(models.fit_model(_sales(spark, sf), "Lasso", alpha=0.0002))
 
 
+def penalty_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Ridge and lasso with a path of penalties for two labels, from one pass."""
+    sales = _sales(spark, sf).withColumn("p_lose", 1 - F.col("p_win"))
+    penalties = {"Ridge": [0.0, 0.5, 2.0, 8.0], "Lasso": [0.0, 0.0001, 0.0002, 0.001, 0.01]}
+    return moments.penalty_path(sales, ["p_win", "p_lose"], ["price", "tax"], penalties)
+
+
+def rolling_target_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """A model of the label's trailing mean; the label itself is no feature."""
+    rolled = t.daily_sales(spark, sf).withColumn("p_win_rolling", daily.trailing_mean("p_win", ["date"]))
+    return _params(models.fit_model(stage(rolled, "sales-rolled"), "Linear Regression", rolling=True))
+
+
 def gbt_fit(spark: SparkSession, sf: str) -> DataFrame:
-    fit = models.fit_model(
-        _series(spark, sf), "Gradient Boosting", n_estimators=20, max_depth=2
+    """Metrics of 20, 50 and 100 trees."""
+    series = _series(spark, sf)
+    fits = [models.fit_model(series, "Gradient Boosting", n_estimators=n, max_depth=2) for n in (20, 50, 100)]
+    return reduce(
+        DataFrame.unionAll,
+        [
+            evaluation.evaluate(fit.predictions, fit.label).select(F.lit(n).alias("trees"), "*")
+            for n, fit in zip((20, 50, 100), fits, strict=True)
+        ],
+    )
+
+
+def gbt_stump(spark: SparkSession, sf: str) -> DataFrame:
+    """The first split over all line items, and the means of its sides."""
+    items = t.table(spark, sf, "lineitem").select(
+        (F.col("l_extendedprice") / 100000).alias("y"), "l_discount", "l_quantity", "l_tax"
     )
-    return evaluation.evaluate(fit.predictions, fit.label)
+    names = ["l_discount", "l_quantity", "l_tax"]
+    model = boosting.fit(items, "y", names, trees=1, depth=1, step=1.0)
+    schema = "feature string, threshold double, below double, above double"
+    return spark.createDataFrame([boosting.first_split(model, names)], schema)
 
 
 def arimax_fit(spark: SparkSession, sf: str) -> DataFrame:
@@ -536,22 +585,39 @@ def _run_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, labels.LabelTa
     return t.flagged_posts(spark, sf), tables, scorers
 
 
-def scenario_grid(spark: SparkSession, sf: str) -> DataFrame:
+LINEAR = [("OLS", {}), ("Ridge", {"alpha": 0.1}), ("Lasso", {"alpha": 0.01})]
+TREES = [("Gradient Boosting", {"n_estimators": n, "max_depth": 2}) for n in (20, 50, 100)]
+
+
+def _grid(spark: SparkSession, sf: str, sentiments, models, sets=None) -> DataFrame:
+    """Both splits, and every feature set a split has."""
     processed, tables, scorers = _run_inputs(spark, sf)
-    return run.scenario_grid(
-        processed,
-        tables,
-        scorers,
-        run.Run(ENTITIES),
-        sentiments=[run.COMPOUND, run.POLARITY, run.ASPECT],
-        features=[features.TWO_RATIOS, features.ONE_RATIO],
-        models=[
-            ("OLS", {}),
-            ("Ridge", {"alpha": 0.1}),
-            ("Lasso", {"alpha": 0.1}),
-            ("Gradient Boosting", {"n_estimators": 10, "max_depth": 2}),
-        ],
-    )
+    every_post = {"min_account_age": 0, "min_followers": 0, "min_likes": 0, "english_only": False}
+    plans = [
+        (run.Run(ENTITIES), [features.TWO_RATIOS, features.ONE_RATIO]),
+        (run.Run(ENTITIES, feature_options=every_post, drop_missing=True), [features.ENHANCED]),
+        (run.Run(ENTITIES, split=labels.TEST, label_type=labels.MARKET), [features.TWO_RATIOS, features.ONE_RATIO]),
+    ]
+    grids = []
+    for base, names in plans:
+        wanted = [n for n in names if sets is None or n in sets]
+        if wanted:
+            grids.append(
+                run.scenario_grid(processed, tables, scorers, base, sentiments=sentiments, features=wanted, models=models)
+            )
+    return reduce(DataFrame.unionAll, grids)
+
+
+def scenario_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Every scorer, feature set and model of both splits; boosting with 20, 50 and 100 trees."""
+    models = [*LINEAR, *TREES, ("SARIMAX", {})]
+    return _grid(spark, sf, [run.COMPOUND, run.POLARITY, run.ASPECT], models)
+
+
+def scenario_grid_linear(spark: SparkSession, sf: str) -> DataFrame:
+    """The part of the grid that has closed forms: linear models of one and two ratios, both splits."""
+    sets = [features.TWO_RATIOS, features.ONE_RATIO]
+    return _grid(spark, sf, [run.COMPOUND, run.POLARITY], LINEAR, sets)
 
 
 def news_run(spark: SparkSession, sf: str) -> DataFrame:
@@ -746,6 +812,7 @@ QUERIES: dict[str, Query] = {
         account_age_filter,
         epoch_roundtrip,
         parsed_dates,
+        parsed_timestamps,
         prepare_posts,
         prepare_articles,
         language_profiles,
@@ -799,13 +866,17 @@ QUERIES: dict[str, Query] = {
         linear_fit_two,
         ridge_fit_two,
         lasso_fit_two,
+        rolling_target_fit,
+        penalty_path,
         gbt_fit,
+        gbt_stump,
         arimax_fit,
         ols_predictions,
         eval_metrics,
         class_accuracy,
         class_counts,
         scenario_grid,
+        scenario_grid_linear,
         news_run,
         posts_csv,
         sentiment_table,
