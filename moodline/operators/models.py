@@ -15,7 +15,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodline.operators import boosting
+from moodline.operators import arimax, boosting
 from moodline.operators.moments import INTERCEPT
 
 PREDICTION = "prediction"
@@ -186,6 +186,34 @@ def fit_arimax(
     )
 
 
+def fit_arimax_likelihood(
+    df: DataFrame, label: str, features: Sequence[str], *, order_by: str = "date"
+) -> Fit:
+    """ARIMA(1,1,1) with regressors by likelihood; the table is one series with a row per ``order_by``."""
+    series = df.withColumn("_series", F.lit(0))
+    row = arimax.fit_series(series, ["_series"], label, features, order_by).first()
+    if row is None or row["phi"] is None:
+        raise ValueError("a series too short for its regressors")
+    betas = {f: row[f"beta_{f}"] for f in features} | {"ar1": row["phi"], "ma1": row["theta"]}
+    predictions = arimax.predict_series(series, ["_series"], label, features, order_by, PREDICTION)
+    return Fit("arimax", label, tuple(features), predictions.drop("_series"), betas)
+
+
+ARIMAX_METHODS: dict[str, Callable[..., Fit]] = {
+    "regressions": fit_arimax,
+    "likelihood": fit_arimax_likelihood,
+}
+
+
+def fit_sarimax(
+    df: DataFrame, label: str, features: Sequence[str], *, method: str = "regressions", **options
+) -> Fit:
+    """ARIMA(1,1,1) with regressors, by two regressions or by likelihood."""
+    if method not in ARIMAX_METHODS:
+        raise ValueError(f"unknown method: {method!r}")
+    return ARIMAX_METHODS[method](df, label, features, **options)
+
+
 # The model names a run may ask for.
 MODELS: dict[str, Callable[..., Fit]] = {
     "OLS no intercept": fit_ols_no_intercept,
@@ -194,7 +222,7 @@ MODELS: dict[str, Callable[..., Fit]] = {
     "Ridge": fit_ridge,
     "Lasso": fit_lasso,
     "Gradient Boosting": fit_boosting,
-    "SARIMAX": fit_arimax,
+    "SARIMAX": fit_sarimax,
 }
 
 

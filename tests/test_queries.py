@@ -35,7 +35,9 @@ def ordered(rows):
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(QUERIES) - set(SQL) == {"gbt_fit", "scenario_grid", "aspect_model"}
+    assert set(QUERIES) - set(SQL) == {
+        "gbt_fit", "scenario_grid", "aspect_model", "arimax_series", "arimax_forecasts",
+    }
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodline.functions import measures, text, time
-from moodline.operators import aspects, boosting, daily, evaluation, labels, language, lexicon, models, moments, scoring
+from moodline.operators import arimax, aspects, boosting, daily, evaluation, labels, language, lexicon, models, moments, scoring
 from moodline.operators.prepare import propagate_flags, quality_filter, tag_sources
 from moodline.plans import features, preparation, run
 from moodline.schemas import TOPLINES, label_of, mention, processed_news, score_of
@@ -30,6 +30,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 OFF_TIES = 1e-10
 
 
+FORECAST_FROM = date(2001, 5, 1)
+
+
 def report(df: DataFrame) -> DataFrame:
     """Results in types both engines print alike: long, double of 6 digits, string."""
     shown = []
@@ -540,6 +543,27 @@ def arimax_fit(spark: SparkSession, sf: str) -> DataFrame:
     return models.fit_model(_series(spark, sf), "SARIMAX").params()
 
 
+def _supplier_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Per supplier and month, with the months that have line items: mean price and mean discount."""
+    month = F.date_trunc("month", F.col("l_shipdate")).cast("date")
+    return t.table(spark, sf, "lineitem").groupBy("l_suppkey", month.alias("month")).agg(
+        (F.avg("l_extendedprice") / 100000).alias("price"), (F.avg("l_discount") * 10).alias("discount")
+    )
+
+
+def arimax_series(spark: SparkSession, sf: str) -> DataFrame:
+    """A likelihood fit for each supplier."""
+    return arimax.fit_series(_supplier_series(spark, sf), ["l_suppkey"], "price", ["discount"], "month")
+
+
+def arimax_forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    """The last half year of each supplier forecast from all before it."""
+    series = _supplier_series(spark, sf)
+    known = series.withColumn("known", F.when(F.col("month") < F.lit(FORECAST_FROM), F.col("price")))
+    out = arimax.predict_series(known, ["l_suppkey"], "known", ["discount"], "month")
+    return out.filter(F.col("month") >= F.lit(FORECAST_FROM)).select("l_suppkey", "month", "price", "prediction")
+
+
 def _ols_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return models.fit_model(_signal_features(spark, sf), "OLS no intercept").predictions
 
@@ -610,7 +634,7 @@ def _grid(spark: SparkSession, sf: str, sentiments, models, sets=None) -> DataFr
 
 def scenario_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Every scorer, feature set and model of both splits; boosting with 20, 50 and 100 trees."""
-    models = [*LINEAR, *TREES, ("SARIMAX", {})]
+    models = [*LINEAR, *TREES, ("SARIMAX", {"method": "likelihood"})]
     return _grid(spark, sf, [run.COMPOUND, run.POLARITY, run.ASPECT], models)
 
 
@@ -871,6 +895,8 @@ QUERIES: dict[str, Query] = {
         gbt_fit,
         gbt_stump,
         arimax_fit,
+        arimax_series,
+        arimax_forecasts,
         ols_predictions,
         eval_metrics,
         class_accuracy,
