@@ -588,6 +588,13 @@ def oracle_sql() -> dict[str, str]:
               and published_at < timestamp '2024-01-12'
               and ({" or ".join(f"{_mention('title', w)} = 1" for w in ("for", "is", "that"))})
               and ({" or ".join(f"{_mention('title', w)} = 1" for w in ("of the", "and the", "the", "with"))})""",
+        "search_index_without": f"""with {ARTICLES}
+            select article_id, title, epoch_us(published_at) as published_at from articles
+            where language = 'en' and published_at >= timestamp '2024-01-02'
+              and published_at < timestamp '2024-01-12'
+              and ({" or ".join(f"{_mention('title', w)} = 1" for w in ("the", "and"))})
+              and ({" or ".join(f"{_mention('title', w)} = 1" for w in ("of the", "is"))})
+              and not ({" or ".join(f"{_mention('title', w)} = 1" for w in ("to the", "in"))})""",
         "tag_union_dedup": f"""with {MERGED}
             select tweet_id, tweet, country, epoch_us(created_at) as created_at,
               {_r("likes")} as likes, {_r("user_followers_count")} as user_followers_count,
@@ -872,6 +879,7 @@ def oracle_sql() -> dict[str, str]:
             from lineitem group by 1"""
     news = f"with {NEWS} select textdata, timestamp // 1000 as timestamp, mentions_{A}, mentions_{B} from news"
     sql["news_records_json"] = sql["nested_json"] = news
+    sql["search_index"] = sql["search_articles"]
     sql["collected_pages"] = sql["article_pages"]
     sql["news_run_market_only"] = sql["news_run"]
     sql["articles_array_json"] = sql["articles_json"]

@@ -17,7 +17,7 @@ from moodline.plans import features, preparation, run
 from moodline.schemas import TOPLINES, label_of, mention, processed_news, score_of
 from moodline.session import configure, stage, stage_path
 from moodline.sources import articles as article_search
-from moodline.sources import files, sinks
+from moodline.sources import files, sinks, title_index
 from moodline.streaming.pages import collect_pages
 from workload import tables as t
 from workload.tables import CANDIDATES, ENTITIES
@@ -85,6 +85,35 @@ def search_articles(spark: SparkSession, sf: str) -> DataFrame:
     ).select("article_id", "title", "published_at")
 
 
+def _title_index(spark: SparkSession, sf: str) -> str:
+    path = stage_path(spark, "title-index")
+    title_index.add_articles(t.articles(spark, sf), path)
+    return path
+
+
+SEARCHED = {"after": date(2024, 1, 2), "before": date(2024, 1, 12), "equals": {"language": "en"}}
+
+
+def search_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search through a stored index of the titles' words."""
+    found = title_index.search_index(
+        spark,
+        _title_index(spark, sf),
+        words=("for", "is", "that"),
+        phrases=("of the", "and the", "the", "with"),
+        **SEARCHED,
+    )
+    return found.select("article_id", "title", "published_at")
+
+
+def search_index_without(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles with a word and a phrase, and without others."""
+    found = title_index.search_index(
+        spark, _title_index(spark, sf), words=("the", "and"), phrases=("of the", "is"), none_of=("to the", "in"), **SEARCHED
+    )
+    return found.select("article_id", "title", "published_at")
+
+
 # --- preparation ----------------------------------------------------------------------
 
 
@@ -831,6 +860,8 @@ QUERIES: dict[str, Query] = {
         compose_text,
         prompt_template,
         search_articles,
+        search_index,
+        search_index_without,
         flag_propagation,
         tag_union_dedup,
         account_age_filter,
