@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodline.schemas import LEXICON, RAW_ARTICLES, RAW_POSTS, processed_news
+from moodline.sources.json_arrays import array_documents
 
 ROW_ORDER = "row_order"
 
@@ -132,6 +133,19 @@ def read_articles(
     return _records(_documents(spark.read.text(path, wholetext=not per_line)), schema)
 
 
+def read_article_arrays(spark: SparkSession, path: str, schema: T.StructType = RAW_ARTICLES) -> DataFrame:
+    """Articles from JSON files of any size that hold one array of records each, read by byte ranges.
+
+    Text that is no array of objects, or has anything after it, is an error.
+    """
+    return _records(array_documents(spark, path), schema)
+
+
+def read_nested_arrays(spark: SparkSession, path: str, entities: Sequence[str]) -> DataFrame:
+    """Processed news from files ``[[{...}, ...]]`` of any size, with one inner array, read by byte ranges."""
+    return _records(array_documents(spark, path, level=2), processed_news(entities))
+
+
 def page_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """The articles of whole files of result pages."""
     page = T.StructType([T.StructField("data", T.ArrayType(schema))])
@@ -142,13 +156,16 @@ def read_article_pages(
     spark: SparkSession,
     path: str,
     schema: T.StructType = RAW_ARTICLES,
+    *,
+    per_line: bool = False,
 ) -> DataFrame:
-    """Articles from result pages ``{"data": [...]}``, a page per file or per line.
+    """Articles from result pages ``{"data": [...]}``, a page per file or per line. ``per_line``
+    promises lines, and files are split.
 
     Empty pages give no rows; text that is no JSON, or has anything after its first value, is
     an error.
     """
-    return page_rows(spark.read.text(path, wholetext=True), schema)
+    return page_rows(spark.read.text(path, wholetext=not per_line), schema)
 
 
 def read_nested_records(
