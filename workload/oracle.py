@@ -870,6 +870,18 @@ def oracle_sql() -> dict[str, str]:
         "article_pages": f"""with {ARTICLES}
             select article_id as uuid, title, description, epoch_us(published_at) as published_at
             from articles""",
+        "stored_predictions": f"""with {OLS},
+            centred as (
+              select avg(x1) as m1, avg(x2) as m2, avg(y) as my, regr_sxx(y, x1) as s11, regr_sxx(y, x2) as s22,
+                regr_sxy(x1, x2) as s12, regr_sxy(y, x1) as s1y, regr_sxy(y, x2) as s2y from filled),
+            slopes as (
+              select name, m1, m2, my, (s1y * (s22 + alpha) - s2y * s12) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) as b1,
+                (s2y * (s11 + alpha) - s1y * s12) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) as b2
+              from centred, (values ('linear', cast(0 as double)), ('ridge', cast(2 as double))) a(name, alpha))
+            select {_day()}, 'train/VADER_2RATIOS_ols_no_intercept' as run, {_r("p")} as prediction from fitted
+            union all
+            select {_day()}, 'train/VADER_2RATIOS_' || name, {_r("my + b1 * (x1 - m1) + b2 * (x2 - m2)")}
+            from filled, slopes""",
         "params_table": f"""with {OLS}
             select 'betas' as params, {_r("b1")} as {C}, {_r("b2")} as {V} from betas""",
     }
@@ -882,6 +894,9 @@ def oracle_sql() -> dict[str, str]:
     sql["search_index"] = sql["search_articles"]
     sql["collected_pages"] = sql["article_pages"]
     sql["news_run_market_only"] = sql["news_run"]
+    sql["sentiment_days"] = sql["sentiment_table"]
+    sql["merged_batches"] = sql["tag_union_dedup"]
+    sql["articles_array_ranges"] = sql["articles_json"]
     sql["articles_array_json"] = sql["articles_json"]
     sql["posts_csv_wide"] = sql["posts_csv"]
     sql["toplines_csv"] = sql["topline_labels"]

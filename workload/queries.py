@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodline.functions import measures, text, time
-from moodline.operators import arimax, aspects, boosting, daily, evaluation, labels, language, lexicon, models, moments, scoring
+from moodline.operators import arimax, aspects, boosting, daily, evaluation, labels, language, lexicon, models, moments, scoring, stored
 from moodline.operators.prepare import propagate_flags, quality_filter, tag_sources
 from moodline.plans import features, preparation, run
 from moodline.schemas import TOPLINES, label_of, mention, processed_news, score_of
 from moodline.session import configure, stage, stage_path
 from moodline.sources import articles as article_search
-from moodline.sources import files, sinks, title_index
+from moodline.sources import days, files, sinks, title_index
+from moodline.streaming import merging
 from moodline.streaming.pages import collect_pages
 from workload import tables as t
 from workload.tables import CANDIDATES, ENTITIES
@@ -845,6 +846,53 @@ def params_table(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv(spark, path, T.StructType.fromDDL(schema))
 
 
+def sentiment_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The sentiment table by day, written in three runs that overlap: the last one of a day counts."""
+    path = stage_path(spark, "sentiment-days")
+    scored = daily.with_day(_scored_posts(spark, sf)).select("tweet_id", "date", *[label_of(e) for e in ENTITIES])
+    scored = stage(scored, "sentiment-scored")
+    middle = F.lit(date(2024, 1, 15))
+    wrong = scored.withColumns({label_of(e): F.lit("neutral") for e in ENTITIES})
+    days.write_days(wrong, path)
+    days.write_days(scored.filter(F.col("date") <= middle), path)
+    days.write_days(scored.filter(F.col("date") >= middle), path)
+    return days.read_days(spark, path)
+
+
+def merged_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts merged in four batches, later rows of each source first."""
+    path = stage_path(spark, "merged")
+    sources = t.post_sources(spark, sf)
+    for part in (3, 1, 2, 0):
+        batch = {e: df.filter(F.floor(F.col("tweet_id") / 7) % 4 == part) for e, df in sources.items()}
+        merging.add_batch(spark, path, batch, ENTITIES)
+    return merging.merged_rows(spark, path, ENTITIES).drop("is_en", "source_rank", "row_order")
+
+
+def stored_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Three stored models applied to the daily features at once."""
+    root = stage_path(spark, "params")
+    table = _signal_features(spark, sf)
+    for name, options in (("OLS no intercept", {}), ("Linear Regression", {}), ("Ridge", {"alpha": 2.0})):
+        sinks.write_params(models.fit_model(table, name, **options), root, "train", run.COMPOUND, features.TWO_RATIOS)
+    return stored.apply_params(table.drop("p_win"), stored.read_params(spark, root))
+
+
+def articles_array_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles from files that hold an array of up to 500 each, read by byte ranges."""
+    path = stage_path(spark, "articles-ranges")
+    record = F.struct(F.col("article_id").cast("string").alias("uuid"), "title", "description", "published_at")
+    (
+        t.articles(spark, sf)
+        .groupBy(F.floor(F.col("article_id") / 500).alias("file"))
+        .agg(F.to_json(F.collect_list(record), {"timestampFormat": sinks.MICROSECONDS}).alias("value"))
+        .select("value")
+        .write.option("maxRecordsPerFile", 1)
+        .text(path)
+    )
+    return files.read_article_arrays(spark, path).select("uuid", "title", "description", "published_at")
+
+
 def feature_export(spark: SparkSession, sf: str) -> DataFrame:
     path = stage_path(spark, "features")
     table = features_two_ratios(spark, sf)
@@ -886,6 +934,10 @@ QUERIES: dict[str, Query] = {
         posts_csv_wide,
         toplines_csv,
         articles_array_json,
+        articles_array_ranges,
+        sentiment_days,
+        merged_batches,
+        stored_predictions,
         mean_polarity,
         sentiment_label,
         softmax_label,
