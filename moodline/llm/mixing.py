@@ -9,8 +9,10 @@ round by round, until the landing problem of a source is two documents, which ar
 the source comes nearest to its target.
 
 Sizes of 0 take no part and are taken 0 times. A null text has size 0; a null source is a source
-of its own, the last one. Repeated rows are separate documents. The order within blocks is drawn
-from a hash of id, source and size, so reruns agree. An empty table gives an empty result.
+of its own, the last one. Repeated rows are separate documents. Blocks, and the order within them, are
+drawn from a hash of id, source and text and, among equal rows, of their rank, so reruns agree however
+the rows are dealt out; which of equal rows has which rank makes no difference to the mix. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodline.llm.common import WORD, numbered, stored_rows, unpacked
+from moodline.operators.lookup import fits_broadcast
 from moodline.session import stage
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -41,16 +44,9 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     weight. Only two sums a round come to the driver; a round stops at least one source.
     """
     n = len(weights)
-    in_order = "row_number() over (order by source is null, source)"  # one row per source
-    totals = stage(
-        sizes.groupBy("source")
-        .agg(F.sum("size").alias("source_size"))
-        .select("source", "source_size", (F.expr(in_order) - 1).cast("int").alias("src"))
-        .withColumn(
-            "weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("src") % n + 1)
-        ),
-        "mix-sources",
-    )
+    by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("src") % n + 1)
+    totals = stage(in_order(by_source).withColumn("weight", weight), "mix-sources")
     wanted = share * (totals.agg(F.sum("source_size")).first()[0] or 0)
     cap = F.lit(float(most)) * F.col("source_size")
     level = 0.0
@@ -69,6 +65,40 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     )
 
 
+def in_order(sources: DataFrame) -> DataFrame:
+    """Sources numbered (``src``) by code point, null last: a sort by ranges, and each range's offset."""
+    ordered = sources.orderBy(F.col("source").isNull(), "source")
+    rows = stage(ordered.withColumn("place", F.monotonically_increasing_id()), "mix-ordered")
+    part = F.shiftright("place", 33)
+    offsets, at = [], 0
+    for x in rows.groupBy(part.alias("part")).count().orderBy("part").collect():  # a row for each task
+        offsets.append((x["part"], at))
+        at += x["count"]
+    table = sources.sparkSession.createDataFrame(offsets or [(0, 0)], "part long, at long")
+    number = F.col("at") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = rows.withColumn("part", part).join(F.broadcast(table), "part")
+    return placed.select("source", "source_size", number.cast("int").alias("src"))
+
+
+def ranked(units: DataFrame) -> DataFrame:
+    """Units with ``mix``, a hash of their content, made distinct by the rank among equal ones.
+
+    Equal rows are ranked within the part of the scan they come from, and parts follow one another: a
+    content that a third of all rows share is not ranked by one task.
+    """
+    part = F.shiftright("rid", 33)
+    inside = F.row_number().over(Window.partitionBy("mix", part).orderBy("rid"))
+    counts = units.groupBy("mix", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    several = Window.partitionBy("mix").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # only contents of more than one part have an offset; a row for each of these parts
+    offsets = counts.select("mix", "part", F.sum("n").over(several).alias("before")).filter("before > 0")
+    placed = units.withColumns({"part": part, "inside": inside})
+    rank = F.col("inside") + F.coalesce("before", F.lit(0))
+    return placed.join(offsets, ["mix", "part"], "left").withColumn(
+        "mix", F.when(rank > 1, F.xxhash64("mix", rank)).otherwise(F.col("mix"))
+    ).select(*units.columns)
+
+
 def fly(p: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """The flight phase with the constraints sum(p) and sum(p * size).
 
@@ -158,7 +188,7 @@ def sampled(units: DataFrame, block: int = BLOCK) -> DataFrame:
         # blocks of a source hold equal shares of the hash, so a hot source is many blocks
         last = most <= block
         blocks = max(1, -(-most // block))
-        place = F.pmod(F.xxhash64("mix", "rid"), F.lit(blocks)) if not last else F.lit(0)
+        place = F.pmod(F.xxhash64("mix"), F.lit(blocks)) if not last else F.lit(0)
         flown = left.withColumn("place", place).groupBy("src", "place").applyInPandas(
             lambda f: (_landed if last else _flown)(f.drop(columns="place")), UNIT
         )
@@ -170,7 +200,7 @@ def sampled(units: DataFrame, block: int = BLOCK) -> DataFrame:
         left = flown.filter("p > 0 and p < 1")
 
 
-def _planned(rows: DataFrame, id_col: str, text_col: str, source_col: str, weights, share, most):
+def _planned(rows: DataFrame, id_col: str, text_col: str, source_col: str, weights, share, most, block):
     size = F.coalesce(F.regexp_count(F.col(f"row.`{text_col}`").cast("string"), F.lit(WORD)), F.lit(0))
     sizes = stage(
         rows.select(
@@ -178,21 +208,25 @@ def _planned(rows: DataFrame, id_col: str, text_col: str, source_col: str, weigh
             F.col(f"row.`{id_col}`").alias("id"),
             F.col(f"row.`{source_col}`").cast("string").alias("source"),
             size.cast("long").alias("size"),
+            F.xxhash64(F.col(f"row.`{text_col}`").cast("string")).alias("text_hash"),
         ),
         "mix-sizes",
     )
     aims = stage(targets(sizes, weights, share, most), "mix-targets")
     same = F.col("s.source").eqNullSafe(F.col("t.source"))
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    joined = sizes.alias("s").join(F.broadcast(aims.alias("t")), same).select(
-        "rid", "id", "size", "src", "source_size", "target", due.alias("due"),
+    # a row for each source: few, or as many as a crawl has hosts, so it is measured
+    known = aims if not fits_broadcast(aims.select("source", "src")) else F.broadcast(aims)
+    joined = sizes.alias("s").join(known.alias("t"), same).select(
+        "rid", "id", "size", "text_hash", "src", "source_size", "target", due.alias("due"),
     )
     whole = F.floor(F.col("due") + EPS)
     share_of = F.greatest(F.col("due") - whole, F.lit(0.0))
     units = joined.filter(F.col("size") > 0).select(
-        "rid", "src", "size", share_of.alias("p"), F.xxhash64("id", "size", "src").alias("mix")
+        "rid", "src", "size", share_of.alias("p"), F.xxhash64("id", "text_hash", "src").alias("mix")
     ).filter(F.col("p") > EPS)
-    extra = sampled(units)
+    # written once: the blocks of a round must not change between its passes
+    extra = sampled(stage(ranked(units), "mix-units"), block)
     times = F.when(F.col("size") > 0, whole + F.coalesce("extra", F.lit(0))).otherwise(0)
     return joined.join(extra, "rid", "left").withColumn("times", times.cast("int"))
 
@@ -205,9 +239,10 @@ def mix(
     weights: Sequence[float] = WEIGHTS,
     share: float = SHARE,
     most: float = MOST,
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, times."""
-    plan = _planned(numbered(docs), id_col, text_col, source_col, weights, share, most)
+    plan = _planned(numbered(docs), id_col, text_col, source_col, weights, share, most, block)
     return plan.select(
         F.col("id").alias("doc_id"),
         "size",
@@ -226,11 +261,12 @@ def take(
     weights: Sequence[float] = WEIGHTS,
     share: float = SHARE,
     most: float = MOST,
+    block: int = BLOCK,
 ) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
     rows = stored_rows(docs, "mix-rows")
     plan = stage(
-        _planned(rows, id_col, text_col, source_col, weights, share, most)
+        _planned(rows, id_col, text_col, source_col, weights, share, most, block)
         .filter("times > 0")
         .select("rid", "times"),
         "mix-plan",
