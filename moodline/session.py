@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,7 +66,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/moodline/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/moodline/{name}-{uuid.uuid4().hex}"
+    for made in _recording:
+        made.append(path)
+    return path
+
+
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def stages_made() -> Iterator[list[str]]:
+    """The paths of the stage tables made inside, in order, to be dropped once their last reader is done."""
+    made: list[str] = []
+    _recording.append(made)
+    try:
+        yield made
+    finally:
+        _recording[:] = [m for m in _recording if m is not made]  # by identity: equal lists are others
+
+
+def drop_stages(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete stage tables by their paths; those that are gone already don't matter."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
