@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from moodline.llm.common import stored_rows, unpacked, words
 from moodline.operators.lookup import fits_broadcast
-from moodline.session import stage
+from moodline.session import drop_stages, stage, stages_made
 
 SHINGLE = 5
 NUM, DEN = 80, 100  # Jaccard similarity of a link, at least
@@ -139,12 +139,16 @@ def _common(rows: DataFrame) -> DataFrame:
 
 def _sharing(prefixes: DataFrame) -> DataFrame:
     """rid of the classes whose prefix shares enough shingles with other classes."""
+    spark = prefixes.sparkSession
     # a partner has 0.8 n shingles at least, and k with it
     least = F.greatest(F.lit(1), F.expr(f"n * {NUM} div {DEN * 10}"))
     rows = prefixes.select("rid", "n", F.explode("prefix").alias("token"))
-    common = stage(_common(rows).select("token"), "join-common")
-    found = rows.join(common, "token").groupBy("rid", "n").count()
-    return stage(found.filter(F.col("count") >= least).select("rid"), "join-sharing")
+    with stages_made() as made:
+        common = stage(_common(rows).select("token"), "join-common")
+        found = rows.join(common, "token").groupBy("rid", "n").count()
+        out = stage(found.filter(F.col("count") >= least).select("rid"), "join-sharing")
+    drop_stages(spark, made[:-1])
+    return out
 
 
 def _shared(sets: DataFrame) -> DataFrame:
@@ -277,6 +281,20 @@ SIZES_FIT = f"least(n, hub_n) * {DEN} >= greatest(n, hub_n) * {NUM}"
 
 def _linked(index: DataFrame, sets: DataFrame) -> DataFrame:
     """rid, comp of every class in ``index``."""
+    with stages_made() as made:
+        return _linked_by_rounds(index, sets, made)
+
+
+def _used_up(spark, made: list[str]) -> None:
+    """Drops what a finished round doesn't hand on: all but the last components and entries, and the pairs tried."""
+    names = ("join-nodes", "join-comps"), ("join-entries",)
+    last = [[p for p in made if p.rsplit("/", 1)[1].startswith(n)][-1:] for n in names]
+    kept = {p for p in made if "/join-candidates-" in p}.union(*last)
+    drop_stages(spark, [p for p in made if p not in kept])
+    made[:] = [p for p in made if p in kept]
+
+
+def _linked_by_rounds(index: DataFrame, sets: DataFrame, made: list[str]) -> DataFrame:
     comps = stage(index.select("rid", F.col("rid").alias("comp")).distinct(), "join-nodes")
     entries = index.withColumn("comp", F.col("rid"))
     checked = None
@@ -321,14 +339,24 @@ def _linked(index: DataFrame, sets: DataFrame) -> DataFrame:
         # a hub has met all of its list
         entries = entries.join(lists.select("key", F.col("hub").alias("rid")), ["key", "rid"], "left_anti")
         entries = stage(entries.drop("comp").join(comps, "rid"), "join-entries")
+        _used_up(index.sparkSession, made)
     return comps
 
 
 def join(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """rid, id, n, first (the row that leads its component), component_id per row of ``stored_rows``.
 
-    ``first`` is the rid of the component's smallest id, of its first row if ids repeat.
+    ``first`` is the rid of the component's smallest id, of its first row if ids repeat. Of the tables made
+    on the way only the two that the result reads are left.
     """
+    with stages_made() as made:
+        found = _joined(rows, id_col, text_col)
+    kept = [p for p in made if "/join-sets-" in p or "/join-heads-" in p]
+    drop_stages(rows.sparkSession, [p for p in made if p not in kept])
+    return found
+
+
+def _joined(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     every = stage(_sets(rows, id_col, text_col), "join-sets")
     lead = F.struct(F.col("id").isNull().alias("last"), "id", "rid")
     some = every.filter("n > 0").groupBy("sig").agg(
@@ -351,7 +379,10 @@ def join(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     texts = rows.select("rid", F.col(f"row.`{text_col}`").cast("string").alias("text"))
     sets = stage(with_only(texts, sharing, "rid").mapInArrow(whole, "rid long, shingles array<long>"), "join-full")
-    comps = _linked(_index(_shared(sets)), sets)
+    with stages_made() as made:
+        index = _index(_shared(sets))
+    drop_stages(rows.sparkSession, made[:-1])  # the index was the last one
+    comps = _linked(index, sets)
     # lead of a component: the least lead of its classes
     member = classes.join(comps, classes["rep"] == comps["rid"]).select("sig", "lead", "comp")
     leads = member.groupBy("comp").agg(F.min("lead").alias("head"))
@@ -374,14 +405,17 @@ def join(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
-    rows = stored_rows(docs.select(f"`{id_col}`", f"`{text_col}`"), "join-rows")
-    return join(rows, id_col, text_col).select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
-    )
+    with stages_made() as made:
+        rows = stored_rows(docs.select(f"`{id_col}`", f"`{text_col}`"), "join-rows")
+    found = join(rows, id_col, text_col)
+    drop_stages(docs.sparkSession, made)  # no text is read from here on
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first row of each component, with all columns."""
     rows = stored_rows(docs, "join-rows")
-    gone = stage(join(rows, id_col, text_col).filter("first <> rid").select("rid"), "join-gone")
+    with stages_made() as made:
+        gone = stage(join(rows, id_col, text_col).filter("first <> rid").select("rid"), "join-gone")
+    drop_stages(docs.sparkSession, made[:-1])
     return unpacked(without(rows, gone, "rid"), docs)
