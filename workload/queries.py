@@ -650,7 +650,11 @@ def _grid(spark: SparkSession, sf: str, sentiments, models, sets=None) -> DataFr
     plans = [
         (run.Run(ENTITIES), [features.TWO_RATIOS, features.ONE_RATIO]),
         (run.Run(ENTITIES, feature_options=every_post, drop_missing=True), [features.ENHANCED]),
-        (run.Run(ENTITIES, split=labels.TEST, label_type=labels.MARKET), [features.TWO_RATIOS, features.ONE_RATIO]),
+        # an aspect scorer has no ratio for an entity that a day does not mention
+        (
+            run.Run(ENTITIES, split=labels.TEST, label_type=labels.MARKET, drop_missing=True),
+            [features.TWO_RATIOS, features.ONE_RATIO],
+        ),
     ]
     grids = []
     for base, names in plans:
