@@ -5,13 +5,15 @@ notice, advert, form and the like), tags score negative. The contiguous region w
 found in one scan, is the main text; what menus, notices and the like it encloses is left out.
 
 Weights are log-odds of standing inside the article, from pages that say themselves where that is by
-one <article> or <main> element; a bounded sample of these by the hash of their ids is read whole. A
-page with such an element has its other words held against it, a page without is scored by the rest.
+one <article> or <main> element; a bounded sample of these by the hash of their ids is read whole. The
+element serves to learn the weights and is no part of a page's score: the scan decides on every page.
 
 Scripts, styles and comments are no part of the sequence. Character references are decoded once, white
 space in a block becomes one space, blocks are joined by line breaks. A page that is null or empty, or has no
 region of positive score, has the empty text. Pages are looked at one by one: repeated rows have equal
-texts. Without labelled pages the default weights stand. An empty table gives an empty result.
+texts. Without labelled pages the default weights stand. An empty table gives an empty result. Time grows in
+proportion to a page, however long and broken it is: a tag ends at the next < or > outside of quotes, and a closing
+tag that closes nothing costs one look-up.
 """
 
 from __future__ import annotations
@@ -55,14 +57,14 @@ CONTENT = frozenset("article body container content entry has layout main page p
 #: Default weights. Words: plain text, links, boilerplate beside an article, others beside it, and
 #: boilerplate that the region may enclose, since it is left out anyway.
 DEFAULTS = {
-    "text": 1.0, "link": -0.5, "boilerplate": -1.5, "beside": -2.0, "within": -0.2,
+    "text": 1.0, "link": -0.5, "boilerplate": -1.5, "within": -0.2,
     "inline": -0.05, "p": -0.05, "heading": -0.05, "list": -0.5, "table": -0.5, "div": -0.5, "other": -0.5,
 }
 WORDS = ("text", "link", "boilerplate")
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|template)\b[^<>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.S | re.I,
 )
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
@@ -112,12 +114,14 @@ class Token:
 def tokens(page: str) -> list[Token]:
     out: list[Token] = []
     stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
+    opened: Counter = Counter()  # names in the stack: most stray closing tags have none
     dropped = articles = links = 0
 
     def pop(to: int) -> None:
         nonlocal dropped, articles, links
         while len(stack) > to:
             name, drop, article = stack.pop()
+            opened[name] -= 1
             dropped -= drop
             articles -= article
             links -= name == "a"
@@ -141,8 +145,10 @@ def tokens(page: str) -> list[Token]:
         if name == "body" and not closing:
             pop(0)  # whatever the head left open
         if closing:
-            here = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if here is not None:
+            if opened[name] > 0:
+                here = len(stack) - 1
+                while stack[here][0] != name:
+                    here -= 1
                 pop(here)
         elif name not in VOID and not attributes.endswith("/"):
             if block or name == "a":
@@ -152,6 +158,7 @@ def tokens(page: str) -> list[Token]:
             # of paragraphs and inline elements only those with a meaning here
             if drop or name == "a" or (block and name not in ("p", "li", "html", "body", "tr", "td", "th", "dt", "dd")):
                 stack.append((name, drop, name in ARTICLE))
+                opened[name] += 1
                 dropped += drop
                 articles += name in ARTICLE
                 links += name == "a"
@@ -176,19 +183,14 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     found = tokens(page)
-    marked = any(t.inside and t.kept and t.kind == "text" for t in found)
 
     def score(t: Token) -> float:
         if t.kind not in WORDS:
             return weights[t.kind]
-        if marked and not t.inside:
-            return weights["beside" if t.kept else "boilerplate"] * t.count
-        if not t.kept:
-            return weights["within"] * t.count
-        return (abs(weights["text"]) if marked else weights[t.kind]) * t.count
+        return weights[t.kind if t.kept else "within"] * t.count
 
     start, end = best_region([score(t) for t in found])
-    kept = (t for t in found[start:end] if t.kept and (t.inside or not marked))
+    kept = (t for t in found[start:end] if t.kept)
     blocks = (" ".join(b.split()) for b in _blocks(kept))
     return "\n".join(b for b in blocks if b)
 
@@ -226,7 +228,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
     weights = dict(DEFAULTS)
     for kind, default in DEFAULTS.items():
         n = totals.get((kind, True), 0) + totals.get((kind, False), 0)
-        if kind in ("beside", "within") or not n:
+        if kind == "within" or not n:
             continue
         share = 1 / (1 + math.exp(-default))
         odds = (totals.get((kind, True), 0) + PRIOR * share) / (totals.get((kind, False), 0) + PRIOR * (1 - share))

@@ -487,3 +487,22 @@ def test_language_id(spark, docs, empty):
     assert langid.predict(empty, model).count() == 0
     nothing = langid.fit(empty, F.lit(True))
     assert {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
+
+
+def test_html_of_broken_markup_takes_linear_time():
+    import time
+
+    for part in ("<a ", "<script ", '<a "', "</b>", "<div></p>", "<!", "< "):
+        start = time.perf_counter()
+        html.main_text("<div>" * 2000 + part * (10**6 // len(part)), html.DEFAULTS)
+        assert time.perf_counter() - start < 20, part
+
+
+def test_html_article_element_decides_nothing():
+    body = "<p>" + "real words of the story, many of them. " * 9 + "</p>"
+    menu = "<ul class='menu'><li><a href=x>home</a><li><a href=y>news</a></ul>"
+    with_element, without = (
+        html.main_text(f"<body>{menu}<{e}><h1>Title</h1>{body}</{e}><footer>end</footer></body>", html.DEFAULTS)
+        for e in ("article", "div")
+    )
+    assert with_element == without and "real words" in without and "home" not in without
