@@ -11,10 +11,14 @@ A document is the set of its distinct 5-word shingles. Two documents link when
    alone; frequent ones in combinations of two from an extended prefix. The prefix is extended so
    that a linking pair shares one more frequent shingle than there are bins, so some bin holds two.
 4. Classes that share a key are verified on their full sets, first against the key's most central
-   class only. What links is one component; then come those pairs of a key that lie in different
-   components, so a group of thousands of copies costs one comparison each.
+   class only, its hub. What links is one component, so a group of thousands of copies costs one
+   comparison each.
+5. Of long lists whose classes lie in different components, the index is made anew. A pair shares
+   4/9 (n1 + n2) shingles at least, and no more of them lie in the hub than either class shares with
+   it: so the two share a shingle outside the hub, and are listed by a prefix of those, or both share
+   that many with the hub, and are listed as close to it. Then 4 again; short lists go by all pairs.
 
-Nothing is capped: a long list takes more rounds of central classes, then its remaining pairs.
+Nothing is capped: after the last round the pairs that are left of any list are verified.
 
 A null or empty text, or one without words, has the empty set and links with nothing. Repeated rows
 and ties are equal sets. A null id is never the smallest unless a component has no other. An empty
@@ -40,9 +44,10 @@ from moodline.session import drop_stages, stage, stages_made
 SHINGLE = 5
 NUM, DEN = 80, 100  # Jaccard similarity of a link, at least
 FREQUENT = 256  # classes that share a shingle, over which it is indexed in combinations
-PAIRS_PER_ENTRY = 2  # go on with central classes while more pairs than this are left
+PAIRS_PER_ENTRY = 2  # of the first lists: go on with hubs while more pairs than this are left
 ROUNDS = 6
-BLOCK = 1 << 20  # shingles that one verifying group holds, about
+LONG = 16  # classes of a list, over which it is indexed anew by what its hub lacks
+BLOCK = 1 << 16  # shingles that one verifying group holds, about
 CACHE = 100_000  # word hashes kept by a task
 
 _MIX = np.array([xxhash.xxh64_intdigest(f"shingle {k}") | 1 for k in range(SHINGLE)], np.uint64)
@@ -91,11 +96,18 @@ def needed(n: int) -> int:
     return -(-NUM * n // DEN)
 
 
+def found_in(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of ``a`` are in ``b``; both sorted."""
+    return b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+
+
+def enough(both: int, a: int, b: int) -> bool:
+    return DEN * both >= NUM * (a + b - both)
+
+
 def links(a: np.ndarray, b: np.ndarray) -> bool:
     small, large = (a, b) if len(a) <= len(b) else (b, a)
-    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-    both = int((large[at] == small).sum())
-    return DEN * both >= NUM * (len(a) + len(b) - both)
+    return enough(int(found_in(small, large).sum()), len(a), len(b))
 
 
 def _sets(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -221,8 +233,14 @@ def _index(shared: DataFrame) -> DataFrame:
     return stage(rows.join(often, "key"), "join-index")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """hub, rid of the pairs that link. Pairs of a hub are dealt to blocks of bounded size."""
+MET = "hub long, rid long, n long, common long, linked boolean, outside array<long>"
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, outside: bool = False) -> DataFrame:
+    """hub, rid of the pairs that link; with ``outside`` all pairs as MET, with what rid has and its hub lacks.
+
+    Pairs of a hub are dealt to blocks of bounded size.
+    """
     load = pairs.groupBy("hub").agg((F.sum("n") / F.lit(BLOCK) + 1).cast("long").alias("blocks"))
     dealt = pairs.select("hub", "rid").join(load, "hub").select(
         "hub", F.pmod(F.xxhash64("rid"), "blocks").alias("block"), "rid"
@@ -239,7 +257,25 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         good = [links(hub, s) for s in rest["shingles"]]
         return rest.loc[good, ["hub", "rid"]]
 
-    return rows.groupBy("hub", "block").applyInPandas(verify, "hub long, rid long")
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        own = frame["rid"] == frame["hub"]
+        hub = frame.loc[own, "shingles"].iloc[0] if own.any() else np.zeros(0, np.int64)
+        rest = frame[~own] if len(hub) else frame.iloc[:0]
+        inside = [found_in(s, hub) for s in rest["shingles"]]
+        n, common = [len(i) for i in inside], [int(i.sum()) for i in inside]
+        return pd.DataFrame(
+            {
+                "hub": rest["hub"],
+                "rid": rest["rid"],
+                "n": n,
+                "common": common,
+                "linked": [enough(c, len(hub), m) for c, m in zip(common, n, strict=True)],
+                "outside": [s[~i] for s, i in zip(rest["shingles"], inside, strict=True)],
+            }
+        )
+
+    of = rows.groupBy("hub", "block")
+    return of.applyInPandas(meet, MET) if outside else of.applyInPandas(verify, "hub long, rid long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -294,10 +330,46 @@ def _used_up(spark, made: list[str]) -> None:
     made[:] = [p for p in made if p in kept]
 
 
+def _anew(met: DataFrame, ranks: DataFrame, comps: DataFrame) -> DataFrame:
+    """key, rid, n, rank, comp: the pairs of ``met`` (MET) classes of a hub that may link, listed anew.
+
+    Only pairs in different components count. ``ranks`` has rid and rank.
+    """
+    rows = met.join(comps, "rid").join(comps.select(F.col("rid").alias("hub"), F.col("comp").alias("hub_comp")), "hub")
+    rows = stage(rows, "join-met")
+    tokens = rows.select("hub", "rid", "n", "common", "comp", F.explode("outside").alias("token"))
+    of = tokens.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    of = of.filter("low <> high").select("hub", "token", "df")
+    lists = tokens.join(of, ["hub", "token"]).groupBy("hub", "rid", "n", "common", "comp").agg(
+        F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared")
+    )
+    # any partner shares 0.8 n, at most ``common`` of them in the hub
+    least = F.greatest(F.lit(1), F.expr(f"(n * {NUM} + {DEN - 1}) div {DEN} - common"))
+    lists = lists.withColumn("prefix", F.size("shared") - least + 1).filter("prefix > 0")
+    apart = lists.select("hub", "rid", "n", "comp", F.explode(F.expr("slice(shared, 1, int(prefix))")).alias("x")).select(
+        F.xxhash64("hub", "x.token").alias("key"), "rid", "n", "comp"
+    )
+    # pairs that need nothing outside: n1 + n2 <= reach of both, and one of them did not link with the hub
+    reach = F.expr(f"common * {NUM + DEN} div {NUM}")
+    rows = rows.withColumn("reach", reach).withColumn("away", F.col("comp") != F.col("hub_comp"))
+    rows = rows.withColumn("room", F.col("reach") - F.col("n"))
+    bounds = rows.groupBy("hub").agg(
+        F.min("n").alias("least_n"),
+        F.min(F.when(F.col("away"), F.col("n"))).alias("least_away"),
+        F.max(F.when(F.col("away"), F.col("room"))).alias("most_room"),
+    )
+    close = rows.select("hub", "rid", "n", "comp", "away", "room").join(bounds, "hub").filter(
+        "(away and room >= least_n) or (not away and n <= most_room and room >= least_away)"
+    )
+    close = close.select(F.xxhash64("hub", F.lit("close")).alias("key"), "rid", "n", "comp")
+    return apart.unionByName(close).distinct().join(ranks, "rid").select("key", "rid", "n", "rank", "comp")
+
+
 def _linked_by_rounds(index: DataFrame, sets: DataFrame, made: list[str]) -> DataFrame:
     comps = stage(index.select("rid", F.col("rid").alias("comp")).distinct(), "join-nodes")
+    ranks = index.select("rid", "rank").distinct()
     entries = index.withColumn("comp", F.col("rid"))
-    checked = None
+    checked, bound = None, 0
     for turn in range(ROUNDS + 1):
         lists = entries.groupBy("key").agg(
             F.count(F.lit(1)).alias("size"),
@@ -305,32 +377,33 @@ def _linked_by_rounds(index: DataFrame, sets: DataFrame, made: list[str]) -> Dat
             F.max("comp").alias("high"),
             F.min(F.struct("rank", "rid", "n", "comp")).alias("hub"),
         ).filter("low <> high")
-        lists = lists.select(
-            "key", "size", F.col("hub.rid").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.comp").alias("hub_comp")
-        )
-        lists = stage(lists, "join-lists")
+        lists = stage(lists.select("key", "size", F.col("hub.rid").alias("hub")), "join-lists")
         rows, pairs = lists.agg(F.sum("size"), F.sum(F.expr("size * (size - 1.0) / 2"))).first()
         if not rows:
             return comps
-        last = turn == ROUNDS or pairs <= PAIRS_PER_ENTRY * rows
+        if not turn:
+            bound = PAIRS_PER_ENTRY * rows
+        last = turn == ROUNDS or pairs <= bound
         if last:  # all pairs that are left, each once
             other = entries.join(lists.select("key"), "key", "left_semi").select(
                 "key", F.col("rid").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp")
             )
             pairs = entries.join(other, "key").filter(f"comp < hub_comp and {SIZES_FIT}")
         else:
-            pairs = entries.join(lists, "key").filter(f"comp <> hub_comp and {SIZES_FIT}")
+            pairs = entries.join(lists, "key").filter("rid <> hub")
         pairs = pairs.select("hub", "rid", "n").distinct()
-        if checked is not None:
+        if last and checked is not None:
             pairs = pairs.join(checked, ["hub", "rid"], "left_anti")
         pairs = stage(pairs, "join-candidates")
-        new = stage(_verified(pairs, sets), "join-links")
+        met = stage(_verified(pairs, sets, outside=not last), "join-links")
+        new = met if last else met.filter("linked").select("hub", "rid")
         both = [pairs.select("hub", "rid"), pairs.select(F.col("rid").alias("hub"), F.col("hub").alias("rid"))]
         tried = both[0].unionByName(both[1])
         checked = tried if checked is None else checked.unionByName(tried)
-        if new.limit(1).count():  # only components that a new link joins change
-            of = [comps.select(F.col("rid").alias(x), F.col("comp").alias(y)) for x, y in (("hub", "a"), ("rid", "b"))]
-            joined = components(new.join(of[0], "hub").join(of[1], "rid"))
+        of = [comps.select(F.col("rid").alias(x), F.col("comp").alias(y)) for x, y in (("hub", "a"), ("rid", "b"))]
+        across = new.join(of[0], "hub").join(of[1], "rid").filter("a <> b")
+        if across.limit(1).count():  # only components that a new link joins change
+            joined = components(across)
             joined = joined.select(F.col("rid").alias("comp"), F.col("comp").alias("into"))
             comps = comps.join(joined, "comp", "left")
             comps = stage(comps.select("rid", F.coalesce("into", "comp").alias("comp")), "join-comps")
@@ -338,7 +411,16 @@ def _linked_by_rounds(index: DataFrame, sets: DataFrame, made: list[str]) -> Dat
             return comps
         # a hub has met all of its list
         entries = entries.join(lists.select("key", F.col("hub").alias("rid")), ["key", "rid"], "left_anti")
-        entries = stage(entries.drop("comp").join(comps, "rid"), "join-entries")
+        entries = entries.join(lists.select("key", "hub"), "key").drop("comp").join(comps, "rid")
+        entries = stage(entries.select("key", "rid", "n", "rank", "comp", "hub"), "join-left")
+        sizes = entries.groupBy("key").agg(
+            F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")
+        ).filter("low <> high")
+        entries = stage(entries.join(sizes.select("key", "size"), "key"), "join-left")
+        long = entries.filter(f"size > {LONG}").select("hub", "rid").distinct()
+        anew = _anew(met.join(long, ["hub", "rid"], "left_semi"), ranks, comps)
+        entries = entries.filter(f"size <= {LONG}").select("key", "rid", "n", "rank", "comp").unionByName(anew)
+        entries = stage(entries, "join-entries")
         _used_up(index.sparkSession, made)
     return comps
 

@@ -135,6 +135,34 @@ def test_ngram_join(spark, monkeypatch):
     assert kept.count() == len(comps) + sum(not s for s in sets)
 
 
+def test_ngram_join_lists_what_a_hub_does_not_link_anew(spark, monkeypatch):
+    """Copies around the least similarity: few link with the hub, yet pairs don't grow with the square of their number."""
+    rnd = random.Random(7)
+    text = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(200):
+        copy = list(text)
+        for _ in range(rnd.randrange(1, 4)):
+            copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(12)}" if k % 4 == 0 else f"y{k}"
+        rows.append((1000 - k, " ".join(copy[: 60 - k % 3]), "en", "a"))
+    sizes = []
+    stage = ngram_join.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name == "join-candidates":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_copies(awkward(spark, rows)).collect()}
+    ids, sets = [i for i, *_ in rows], shingle_sets([t for _, t, *_ in rows])
+    want = dict(zip(ids, brute_components(ids, sets), strict=True))
+    assert got == want
+    assert len(set(want.values())) > 20
+    assert sum(sizes) < 10 * len(rows), sizes
+
+
 def test_linking_sets_share_an_index_key(monkeypatch):
     monkeypatch.setattr(ngram_join, "FREQUENT", 3)
     rng = np.random.default_rng(2)
