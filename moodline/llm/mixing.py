@@ -271,7 +271,8 @@ def take(
         .select("rid", "times"),
         "mix-plan",
     )
-    rows = rows.join(plan, "rid")
+    # narrow, so the texts stay where they are if it is measured small
+    rows = rows.join(F.broadcast(plan) if fits_broadcast(plan) else plan, "rid")
     return unpacked(
         rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("times")))), docs
     )

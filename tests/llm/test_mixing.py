@@ -60,3 +60,15 @@ def test_targets(spark, sizes):
     assert [got[s][0] for s in order] == list(range(len(order)))
     for s, t in want.items():
         assert got[s][1] == pytest.approx(float(t), abs=1e-6)
+
+
+def test_the_mix_leaves_texts_where_they_are(spark):
+    """The plan has a number and a count a row: measured small, it travels, not the texts."""
+    docs = spark.createDataFrame([(k, "w " * (k % 7 + 1), "ab"[k % 2]) for k in range(60)], "doc_id long, text string, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if too large to be guessed small
+    try:
+        plan = mixing.take(docs)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
