@@ -209,3 +209,22 @@ def test_a_run_stores_its_coefficients(spark, processed, tables, scorers, tmp_pa
     path = f"{tmp_path}/train/VADER_{plan.features}_{fit.name}_params"
     row = spark.read.option("header", True).csv(path).first()
     assert {k: float(row[k]) for k in fit.betas} == pytest.approx(dict(fit.betas))
+
+
+def test_grid_stores_the_posts_for_its_scorers(spark, monkeypatch):
+    """Each scorer of each plan reads them: what joins texts with events must not run again."""
+    from workload import queries
+
+    given = []
+
+    class Enough(Exception):
+        pass
+
+    def grid(processed, *args, **kwargs):
+        given.append(processed)
+        raise Enough
+
+    monkeypatch.setattr(queries.run, "scenario_grid", grid)
+    with pytest.raises(Enough):
+        queries.scenario_grid_linear(spark, "/root/testdata/sf0.001")
+    assert "Join" not in given[0]._jdf.queryExecution().optimizedPlan().toString()

@@ -646,6 +646,8 @@ TREES = [("Gradient Boosting", {"n_estimators": n, "max_depth": 2}) for n in (20
 def _grid(spark: SparkSession, sf: str, sentiments, models, sets=None) -> DataFrame:
     """Both splits, and every feature set a split has."""
     processed, tables, scorers = _run_inputs(spark, sf)
+    # each scorer of each plan reads the posts: stored once, or each would shuffle the texts for their events
+    processed = stage(processed, "posts")
     every_post = {"min_account_age": 0, "min_followers": 0, "min_likes": 0, "english_only": False}
     plans = [
         (run.Run(ENTITIES), [features.TWO_RATIOS, features.ONE_RATIO]),
