@@ -103,3 +103,28 @@ def test_forecasts(spark):
     assert got[0] is None and np.allclose(got[70:], want, atol=1e-8)
     one = [np.r_[c[t, :t] @ np.linalg.solve(c[:t, :t], w[:t])][0] if t else 0.0 for t in range(69)]
     assert np.allclose(got[1:70], y[:69] + np.diff(x[:70], axis=0) @ model.betas + one, atol=1e-8)
+
+
+def test_series_of_one_length_are_filtered_together(spark, monkeypatch):
+    calls = []
+    filtered = A.filtered
+    monkeypatch.setattr(A, "filtered", lambda *a: (calls.append(1), filtered(*a))[1])
+    series = [simulated(30 + k % 2, seed=k) for k in range(24)]
+    alone = [A.fit_values(*s) for s in series]
+    one_by_one = len(calls)
+    side_by_side = A.fit_many(series)
+    assert (len(calls) - one_by_one) * 6 <= one_by_one
+    for a, b in zip(alone, side_by_side, strict=True):
+        assert [a.loglik, a.phi, a.theta, *a.betas] == pytest.approx([b.loglik, b.phi, b.theta, *b.betas], abs=1e-5)
+    monkeypatch.setattr(A, "filtered", filtered)
+    monkeypatch.setattr(A, "SIDE", 3)  # series that cross what a task reads at once
+    rows = [r for k, (y, x) in enumerate(series) for r in rows_of(k, y, x)] + rows_of(None, *simulated(50, seed=77))
+    df = spark.createDataFrame(rows, "key int, date date, a double, y double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r.key: r for r in A.fit_series(df, ["key"], "y", ["a"]).collect()}
+        assert A.predict_series(df, ["key"], "y", ["a"]).filter("prediction is not null").count() == len(rows) - 25
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    assert len(got) == 25 and got[None].n == 49
+    assert all(got[k].loglik == pytest.approx(m.loglik) and got[k].n == m.n for k, m in enumerate(alone))
