@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with an index of pair occurrences.
 
-Texts of a partition are split into pre-tokens, and the distinct ones are laid out as one array of
-symbols. An index maps the rank of each mergeable pair to all its positions. Ranks that occur are
+Texts of a partition are split into pre-tokens, and the distinct ones are laid out as arrays of
+symbols, of a bounded size each. An index maps the rank of each mergeable pair to all its positions. Ranks that occur are
 taken in ascending order; all positions of a rank merge at once, and the pairs that appear or vanish
 beside them update the lists of their ranks. A rank nobody uses costs nothing, and a word that occurs
 a million times is merged once.
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,10 @@ from moodline.llm.common import Parcel
 #: The published split pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Characters of a partition that share one index: bounds a task's memory, not its result.
+#: Characters of a partition whose distinct words are encoded once, and bytes of them that share an
+#: index: both bound a task's memory, not its result.
 INDEXED_CHARS = 5_000_000
+INDEXED_BYTES = 1 << 18
 
 END, GONE = -1, -2  # end of a word; a symbol merged into the one before it
 
@@ -178,20 +180,36 @@ class Splitter:
         return np.array(out, np.int32)
 
 
-def encode_texts(texts: Sequence[np.ndarray], numbers: dict[str, int], vocab: Vocabulary) -> list[np.ndarray]:
-    """Ids of each text, given as its word numbers."""
-    flat, sizes = encode_words([w.encode("utf-8") for w in numbers], vocab)
+def slices(words: Iterable[str], most: int) -> Iterator[list[bytes]]:
+    """The words in order, as many at a time as have ``most`` bytes; a longer one comes with those before it."""
+    held, size = [], 0
+    for word in words:
+        held.append(word.encode("utf-8"))
+        size += len(held[-1])
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def encode_texts(
+    texts: Sequence[np.ndarray], numbers: Iterable[str], vocab: Vocabulary, most: int = INDEXED_BYTES
+) -> Iterator[np.ndarray]:
+    """Ids of each text, given as its word numbers; ``most`` bytes of words share an index."""
+    parts = [encode_words(words, vocab) for words in slices(numbers, most)] or [encode_words([], vocab)]
+    flat, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
+    n_words = len(sizes)
     # special tokens follow the words: -1 - id becomes a place behind them
     flat = np.concatenate((flat, np.arange(vocab.size, dtype=np.int32)))
     starts = np.concatenate((np.cumsum(sizes) - sizes, len(flat) - vocab.size + np.arange(vocab.size)))
     sizes = np.concatenate((sizes, np.ones(vocab.size, np.int64)))
-    out = []
     for words in texts:
-        place = np.where(words >= 0, words, len(numbers) - 1 - words)
+        place = np.where(words >= 0, words, n_words - 1 - words)
         size = sizes[place]
         offset = np.cumsum(size) - size
-        out.append(flat[np.repeat(starts[place] - offset, size) + np.arange(int(size.sum()))])
-    return out
+        yield flat[np.repeat(starts[place] - offset, size) + np.arange(int(size.sum()))]
 
 
 def decode(ids: np.ndarray, tokens: np.ndarray) -> str:
@@ -221,7 +239,7 @@ def tokenize(
         tokens = np.array(vocab.tokens, object)
 
         def indexed(held: list[tuple[pa.RecordBatch, list[np.ndarray]]], numbers: dict[str, int]):
-            ids = iter(encode_texts([t for _, texts in held for t in texts], numbers, vocab))
+            ids = encode_texts([t for _, texts in held for t in texts], numbers, vocab)
             for rest, texts in held:
                 mine = [next(ids) for _ in texts]
                 yield pa.RecordBatch.from_arrays(

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -223,6 +224,24 @@ def test_bpe_equals_the_library(docs):
         assert r.decoded == text and r.n_tokens * 4 == len(r.ids) and r.n == 2
 
 
+def test_bpe_memory_is_bounded_by_slices_of_words():
+    files = pytest.importorskip("public_tokenizers")
+    vocab = bpe.Vocabulary.read(files.path("byte_bpe_50k.json"))
+    rnd = random.Random(3)
+    numbers: dict[str, int] = {}
+    while len(numbers) < 100_000:
+        numbers.setdefault(" " + "".join(rnd.choices("etaoinshrdlu", k=rnd.randint(3, 14))), len(numbers))
+    text = np.arange(len(numbers), dtype=np.int32)
+    tracemalloc.start()
+    got = next(iter(bpe.encode_texts([text], numbers, vocab)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole, _ = bpe.encode_words([w.encode() for w in numbers], vocab)
+    assert np.array_equal(got, whole)
+    assert peak < 30e6
+    assert bpe.decode(got, np.array(vocab.tokens, object)) == "".join(numbers)
+
+
 def test_mixing_meets_targets(spark):
     rnd = random.Random(4)
     rows = [(k, "w " * rnd.randrange(60), "en", rnd.choice(["hot"] * 6 + ["b", "c", None])) for k in range(3000)]
