@@ -42,7 +42,8 @@ CLASSES, WIDTH = 32, 32  # branches of a root, the last one the escape, and of a
 ROWS = (1 << 14, 1 << 15)  # their sum is the size of the weight table of a small vocabulary
 KINDS_PER_ROW = 8  # of a large one
 BATCH, STEP = 512, 0.2  # positions of an update; AdaGrad's step
-CHUNK = 1 << 13  # positions scored at once
+CHUNK = 1 << 11  # positions scored at once
+OFTEN = 64  # occurrences of a row in an update from which on they are summed on their own
 FLUSH = 400_000  # distinct tokens a task counts before it passes them on
 BLOCK = 1 << 11  # rows of a block
 PER_ROW = 64  # positions that a training task has for each row of the table, if there are tasks enough
@@ -124,6 +125,45 @@ def contexts(numbers: np.ndarray, starts: Sequence[int] = (0,)) -> np.ndarray:
     )
 
 
+def exponents(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """exp(z - top), its sum by row, and top: 0 unless a row's sum leaves the range of the type."""
+    with np.errstate(over="ignore"):
+        e = np.exp(z)
+    total = np.einsum("ij->i", e)
+    if not len(z) or (total.min() > 1e-20 and total.max() < 1e20):
+        return e, total, 0.0
+    top = z.max(axis=1)
+    np.exp(z - top[:, None], out=e)
+    return e, e.sum(axis=1), top
+
+
+def grouped(keys: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, how often each occurs, and the sums of its rows; key i belongs to row i % len(z).
+
+    Most keys occur once or twice: their rows are taken as they are, only the others are summed as segments.
+    """
+    bits = np.int64(len(z).bit_length())
+    packed = (keys << bits).reshape(-1, len(z))
+    packed |= np.arange(len(z))
+    packed = np.sort(packed, axis=None)
+    row = packed & ((1 << bits) - 1)
+    packed >>= bits
+    first = np.flatnonzero(np.r_[True, packed[1:] != packed[:-1]])
+    times = np.diff(first, append=len(packed))
+    sums = z.take(row[first], axis=0)
+    twice = np.flatnonzero(times > 1)
+    sums[twice] += z.take(row[first[twice] + 1], axis=0)
+    for k in np.flatnonzero(times >= OFTEN):
+        sums[k] = z.take(row[first[k] : first[k] + times[k]], axis=0).sum(axis=0)
+    some = np.flatnonzero((times > 2) & (times < OFTEN))
+    if len(some):
+        length = times[some] - 2
+        start = np.cumsum(length) - length
+        rest = np.repeat(first[some] + 2 - start, length) + np.arange(int(length.sum()))
+        sums[some] += np.add.reduceat(z.take(row[rest], axis=0), start, axis=0)
+    return packed[first], times, sums
+
+
 class Tree:
     """Paths of the numbers below ``leaves``: shell k has a root and 31 classes of 32^(k+1) numbers."""
 
@@ -205,9 +245,9 @@ class Model:
     def sums(self, features: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Logits at nodes, and the hashed rows they came from."""
         rows = _mixed(features + node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), len(self.hashed))
-        z = self.constants[node]
+        z = self.constants.take(node, axis=0)
         for r in rows:
-            z += self.hashed[r]
+            z += self.hashed.take(r, axis=0)
         for partial, branches in self.tree.partial:
             z[node == partial, branches:] = -np.inf
         return z, rows
@@ -219,9 +259,9 @@ class Model:
             n = numbers[first : first + CHUNK]
             at, node, branch = self.tree.paths(n)
             z, _ = self.sums(features[:, first : first + CHUNK][:, at], node)
-            z -= z.max(axis=1, keepdims=True)
-            own = z[np.arange(len(z)), branch].astype(np.float64)
-            own -= np.log(np.exp(z, out=z).sum(axis=1))
+            _, total, top = exponents(z)
+            own = z[np.arange(len(z)), branch].astype(np.float64) - top
+            own -= np.log(total)
             out[first : first + CHUNK] = np.bincount(at, own, len(n))
         return out
 
@@ -243,21 +283,20 @@ class Trainer:
         model = self.model
         at, node, branch = model.tree.paths(numbers)
         z, rows = model.sums(features[:, at], node)
-        np.exp(z - z.max(axis=1, keepdims=True), out=z)
-        z /= z.sum(axis=1, keepdims=True)
+        z, total, _ = exponents(z)
+        z *= (1 / total)[:, None]
         z[np.arange(len(z)), branch] -= 1  # the gradient
         self._step(0, model.constants, node, z)
         self._step(1, model.hashed, rows.ravel(), z)
 
     def _step(self, which: int, table: np.ndarray, flat: np.ndarray, z: np.ndarray) -> None:
-        order = np.argsort(flat, kind="stable")
-        sorted_ = flat[order]
-        first = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
-        gradient = np.add.reduceat(z[order % len(z)], first, axis=0)
-        at = sorted_[first]
-        self.touched[which][at] += np.diff(first, append=len(flat))
-        self.squares[which][at] += (gradient**2).mean(axis=1)
-        table[at] -= STEP * gradient / np.sqrt(self.squares[which][at])[:, None]
+        at, times, gradient = grouped(flat, z)
+        self.touched[which][at] += times
+        squares = self.squares[which][at] + np.einsum("ij,ij->i", gradient, gradient) / np.float32(WIDTH)
+        self.squares[which][at] = squares
+        gradient *= (STEP / np.sqrt(squares))[:, None]
+        np.subtract(table.take(at, axis=0), gradient, out=gradient)
+        table[at] = gradient
 
     def moved(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Block, its touched rows, the positions that touched each, and what that changed."""
@@ -442,7 +481,8 @@ def score(
     steps, logs = ends[1:-1], np.append(np.log10(c + 1.0), 0.0)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm = Model.of(tree, *trained.value)
+        own, hashed = trained.value
+        lm = Model.of(tree, own, hashed.astype(np.float32))  # once: half floats are slow to add
         for batch in batches:
             if not batch.num_rows:
                 continue

@@ -392,6 +392,44 @@ def test_language_model_averages_by_touch():
     assert np.frombuffer(got["rows"], np.uint16).tolist() == [1, 5] and data[:, 0].tolist() == [1.25, 1.0]
 
 
+def test_lm_update_is_that_of_a_plain_loop():
+    rng = np.random.default_rng(5)
+    tree = lm.Tree(3000)
+    start = rng.normal(size=(tree.nodes, lm.WIDTH)).astype(np.float32)
+    numbers = np.minimum(rng.zipf(1.2, 700), 2999)
+    features = lm.contexts(numbers, [0, 300])
+    trainer = lm.Trainer(tree, start, 997)  # keys occur once, twice and often
+    trainer.update(numbers, features)
+    model = lm.Model.of(tree, start, np.zeros((997, lm.WIDTH), np.float32))
+    at, node, branch = tree.paths(numbers)
+    z, rows = model.sums(features[:, at], node)
+    z = z.astype(np.float64)
+    z = np.exp(z - z.max(axis=1, keepdims=True))
+    z /= z.sum(axis=1, keepdims=True)
+    z[np.arange(len(z)), branch] -= 1
+    keys = ((trainer.model.constants, start, node[None]), (trainer.model.hashed, model.hashed, rows))
+    met = set()
+    for which, (table, old, flat) in enumerate(keys):
+        total, times = np.zeros(table.shape), np.zeros(len(table), np.int64)
+        for r in flat:
+            np.add.at(total, r, z)
+            np.add.at(times, r, 1)
+        squares = 1 + (total**2).mean(axis=1)
+        assert np.array_equal(trainer.touched[which], times)
+        met |= set(times.tolist())
+        np.testing.assert_allclose(trainer.squares[which], squares, rtol=1e-4)
+        np.testing.assert_allclose(table, old - lm.STEP * total / np.sqrt(squares)[:, None], atol=2e-5)
+    assert max(met) >= lm.OFTEN and {1, 2, 3} <= met
+
+
+def test_lm_softmax_of_any_size():
+    z = np.array([[0, -np.inf], [200, 100], [-300, -301], [1, 2]], np.float32)
+    e, total, top = lm.exponents(z)
+    want = np.exp(z - z.max(axis=1, keepdims=True))
+    np.testing.assert_allclose(e / total[:, None], want / want.sum(axis=1, keepdims=True), rtol=1e-6)
+    assert lm.exponents(z[[0, 3]])[2] == 0.0 and np.array_equal(top, z.max(axis=1))
+
+
 def test_language_model_beats_the_base_score_on_rare_tokens(spark):
     """Beyond the most frequent tokens, too, what follows what is learned."""
     rnd = random.Random(6)
