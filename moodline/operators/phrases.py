@@ -6,8 +6,8 @@ right, and of those that start at one place the longest. Two ways give the same
 * ``Matcher``: an Aho-Corasick automaton over the numbers of the table's words, for tables small enough to
   travel to the tasks. One pass over a text's words, whatever the number and length of phrases; texts
   stay on their rows.
-* ``grams`` and ``without_overlaps``: a row for each word and length of entry, to be joined with a table
-  of any size, and what is found put together again by row.
+* ``grams`` and ``without_overlaps``: a row for each length of entry behind the words that entries begin
+  with, to be joined with a table of any size, and what is found put together again by row.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodline.functions.columns import as_column
+from moodline.functions.text import bare_word
 
 # Code of this module travels to the Python workers with the job, so they need not
 # have the package installed.
@@ -119,17 +120,30 @@ class Matcher:
         return self.__dict__
 
 
+def first_words(table: DataFrame) -> DataFrame:
+    """token, longest: the words that entries begin with, and of how many words the longest of those has."""
+    words = F.split("token", " ")
+    return table.select(F.get(words, F.lit(0)).alias("token"), F.size(words).alias("size")).groupBy("token").agg(
+        F.max("size").alias("longest")
+    )
+
+
 def grams(words: DataFrame, lengths: Sequence[int], following: Sequence[str]) -> DataFrame:
     """A row for each length of entry that fits behind a word: ``size`` and ``token``, the words joined.
 
-    ``words`` has ``token``, a word, and in the columns ``following`` the words after it, null past the end.
+    ``words`` has ``token``, a word, in the columns ``following`` the words after it as they are written,
+    null past the end, and ``longest``, the most words that an entry that begins with it has.
     """
-    column = {n: F.concat(F.col("token"), *[F.concat(F.lit(" "), F.col(c)) for c in following[: n - 1]]) for n in lengths}
-    pairs = F.array(*[F.struct(F.lit(n).alias("size"), c.alias("gram")) for n, c in column.items()])
-    kept = [c for c in words.columns if c not in ("token", *following)]
+    after = [bare_word(c) for c in following]
+    column = {n: F.concat(F.col("token"), *[x for c in after[: n - 1] for x in (F.lit(" "), c)]) for n in lengths}
+    pairs = F.array(
+        *[F.struct(F.lit(n).alias("size"), F.when(F.col("longest") >= n, c).alias("gram")) for n, c in column.items()]
+    )
+    kept = [c for c in words.columns if c not in ("token", "longest", *following)]
     # a null word is a text without words: it stays, as one row
-    some = F.filter(pairs, lambda p: p["gram"].isNotNull())
-    return words.select(*kept, F.explode_outer(some).alias("_gram")).select(
+    some = F.filter(pairs, lambda p: p["gram"].isNotNull() | F.col("token").isNull())
+    each = F.when(F.col("token").isNull(), F.slice(some, 1, 1)).otherwise(some)
+    return words.select(*kept, F.explode(each).alias("_gram")).select(
         *kept, F.col("_gram.size").alias("size"), F.col("_gram.gram").alias("token")
     )
 

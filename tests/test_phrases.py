@@ -87,3 +87,27 @@ def test_scored_on_their_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
     assert {r.a_sentiment_label for r in out.collect()} == {"negative"}
+
+
+def test_by_join_with_phrases_only(spark):
+    """The last word of a text begins no phrase, but that doesn't make the text unreadable."""
+    df = spark.createDataFrame([(0, "x y"), (1, "'not' good"), (2, None), (3, "so not"), (4, "")], "id int, t string")
+    entries = {"not good": -1.5, "not good at all": -3.0}
+    got = []
+    for scorer in (lexicon.LexiconScorer(table(spark, entries), True), lexicon.LexiconScorer(table(spark, entries), True, most=0)):
+        got.append({r.id: r.score for r in lexicon.score_rows(df, scorer, "t").collect()})
+    assert got[0] == got[1] == {0: 0.0, 1: -1.5, 2: None, 3: 0.0, 4: 0.0}
+
+
+def test_words_that_begin_no_entry_make_no_grams(spark):
+    from moodline.operators import phrases
+
+    entries = table(spark, {"a": 1.0, "a b c": 1.0, "b c": 1.0})
+    longest = {r.token: r.longest for r in phrases.first_words(entries).collect()}
+    assert longest == {"a": 3, "b": 2}
+    words = spark.createDataFrame(
+        [(0, "a", "b'", "c", 3), (1, "b", "c", "x", 2), (2, "b", None, None, 2), (3, None, None, None, None), (4, "x", "a", "b", None)],
+        "place int, token string, after1 string, after2 string, longest int",
+    )
+    got = [(r.place, r.token) for r in phrases.grams(words, [1, 2, 3], ["after1", "after2"]).collect()]
+    assert got == [(0, "a"), (0, "a b"), (0, "a b c"), (1, "b"), (1, "b c"), (2, "b"), (3, None)]
