@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -442,6 +443,48 @@ def test_language_model_beats_the_base_score_on_rare_tokens(spark):
     assert (held_out["score"] - held_out["base_score"]).sum() > 0.2 * held_out["n_tokens"].sum()
 
 
+def test_lm_numbers_are_packed_and_texts_split_as_words():
+    numbers = np.array([0, -1, 1, 16383, 16384, -16384, -16385, 2**29 - 1, -(2**29), 5, -70000])
+    assert np.array_equal(lm.unpacked(lm.packed(numbers)), numbers) and lm.packed(np.arange(16384)).nbytes == 2 * 16384
+    rnd = random.Random(2)
+    alphabet = [chr(k) for k in range(256)] + list("\u2028\u3000\u0130\ud7ff \t\n") * 5
+    texts = ["".join(rnd.choice(alphabet) for _ in range(40)) for _ in range(500)] + [None, "", " ", " A  b ", LONG]
+    found, of = lm.split_texts(pa.array(texts, pa.string()))
+    got = [[] for _ in texts]
+    for token, k in zip(found.to_pylist(), of.tolist(), strict=True):
+        got[k].append(token)
+    assert got == [words(t) for t in texts]
+
+
+def test_lm_frequent_tokens_pass_few_softmaxes():
+    tree = lm.Tree(1_000_000)
+    at, _, _ = tree.paths(np.array([500, 5_000, 100_000, 900_000]))
+    assert np.bincount(at).tolist() == [2, 3, 4, 5]
+    assert len(lm.Tree(40_000_000).paths(np.array([39_999_999]))[0]) == 8  # beyond the first root
+
+
+def test_lm_ranked_tokens_are_numbered_by_count(spark):
+    rows = [(f"t{k}".encode(), 1 + k % 4) for k in range(400)]
+    counts = lm.ranked(spark.createDataFrame(rows, "token binary, c long").repartition(5))
+    got = lm._others(lm.stage(counts, "test-counts"), 4, 100).toPandas().sort_values("number")
+    assert got["number"].tolist() == list(range(100, 400))
+    of = {t: c for t, c in rows}
+    assert [of[bytes(t)] for t in got["rare"]] == sorted((c for c in of.values() if c < 4), reverse=True)
+
+
+def test_language_model_parcels(docs, monkeypatch):
+    """Rare tokens find their numbers, and texts their ids, however many texts share a row."""
+    whole = {(r.doc_id, r.n_tokens): (r.n_known, r.base_score) for r in lm.score(docs, F.lit(True)).collect()}
+    monkeypatch.setattr(lm, "TABLE", 3)
+    monkeypatch.setattr(lm, "PARCEL", 40)
+    monkeypatch.setattr(lm, "PARCELS", 2)
+    got = lm.score(docs, F.lit(True)).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        known, base = whole[r.doc_id, r.n_tokens]
+        assert r.n_known == known and r.base_score == pytest.approx(base) and math.isfinite(r.score)
+
+
 def luhn(digits):
     return sum((int(d) * 2 - 9 * (d > "4")) if k % 2 else int(d) for k, d in enumerate(reversed(digits))) % 10 == 0
 
